@@ -1,0 +1,3 @@
+"""Streaming: the reference has no streams (no readStream/writeStream, no
+watermarks), so nothing is built here.  Completed-project appends are batch
+commits (``crewspark.sources.tables.VersionedTable.append``)."""
