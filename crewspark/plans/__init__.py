@@ -7,14 +7,6 @@ from .registry import QUERIES, Query
 
 def all_queries() -> dict[str, Query]:
     """Import every query module once and return the registry."""
-    from . import reports  # noqa: F401
+    from . import reports, retrieval, staffing  # noqa: F401
 
-    try:
-        from . import retrieval  # noqa: F401
-    except ImportError:  # pragma: no cover - module added later in the build
-        pass
-    try:
-        from . import staffing  # noqa: F401
-    except ImportError:  # pragma: no cover
-        pass
     return QUERIES
