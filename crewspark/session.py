@@ -36,22 +36,30 @@ def local_session(cores: int | str = "*", app: str = "crewspark", **extra: str)
     return spark
 
 
+_LOCAL_FALLBACK: dict[str, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster the folder is configured by whoever runs the job (a shared
-    file system).  Only when nothing is configured — local tests — a fresh
-    folder under the system temp dir is set.
+    file system) and is only read here.  Only when nothing is configured —
+    local tests — one fresh folder under the system temp dir is used.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
-    if not current:
-        current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="crewspark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    sc.setCheckpointDir(current)
-    return sc.getCheckpointDir() or current
+    base = sc.getConf().get("spark.checkpoint.dir", None)
+    if not base:
+        try:
+            base = spark.conf.get("spark.checkpoint.dir", None)
+        except Exception:  # pragma: no cover
+            base = None
+    if not base:
+        if sc.applicationId not in _LOCAL_FALLBACK:
+            _LOCAL_FALLBACK[sc.applicationId] = tempfile.mkdtemp(prefix="crewspark-ckpt-")
+        base = _LOCAL_FALLBACK[sc.applicationId]
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(base)
+    return base
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

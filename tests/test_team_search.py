@@ -1,0 +1,129 @@
+"""Exact team search against brute-force enumeration, and the per-brief outcomes."""
+
+from __future__ import annotations
+
+import itertools
+
+import numpy as np
+import pandas as pd
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from crewspark.operators import teams as TM
+
+
+def brute_force(p, c, a, req, soft, budget, max_size, penalty, ids):
+    n = len(p)
+    best = None
+    for r in range(1, n + 1):
+        if max_size is not None and r > max_size:
+            break
+        for combo in itertools.combinations(range(n), r):
+            cost = sum(int(c[i]) for i in combo)
+            if cost > budget or sum(int(a[i]) for i in combo) < 0:
+                continue
+            if any(not any(cov[i] for i in combo) for cov in req):
+                continue
+            miss = sum(1 for cov in soft if not any(cov[i] for i in combo))
+            val = sum(int(p[i]) for i in combo) - penalty * miss
+            key = (-val, cost, sorted(int(ids[i]) for i in combo))
+            if best is None or key < best[0]:
+                best = (key, combo)
+    return best
+
+
+@settings(max_examples=120, deadline=None)
+@given(st.integers(min_value=1, max_value=10), st.integers(min_value=0, max_value=2**31 - 1),
+       st.integers(min_value=0, max_value=3), st.integers(min_value=0, max_value=3),
+       st.sampled_from([None, 2, 3]))
+def test_search_matches_brute_force(n, seed, n_req, n_soft, max_size):
+    rng = np.random.default_rng(seed)
+    p = rng.integers(0, 6000, n).astype(np.int64)
+    c = rng.integers(1, 14000, n).astype(np.int64)
+    a = ((rng.integers(22, 59, n) - 30) * 100).astype(np.int64)
+    req = [rng.random(n) < 0.4 for _ in range(n_req)]
+    soft = [rng.random(n) < 0.4 for _ in range(n_soft)]
+    ids = rng.permutation(1000)[:n].astype(np.int64)
+    budget = int(rng.integers(0, 40000))
+    got, val, complete = TM.search(p, c, a, req, soft, budget, max_size, 1000, 10**7, ids)
+    want = brute_force(p, c, a, req, soft, budget, max_size, 1000, ids)
+    assert complete
+    if want is None:
+        assert got is None
+    else:
+        assert got is not None
+        assert val == -want[0][0]
+        assert sorted(int(ids[i]) for i in got) == want[0][2]
+
+
+def _pool(rows):
+    pdf = pd.DataFrame(rows, columns=["EmployeeID", "cost", "age", "perf", "skills", "Domain_Expertise"])
+    return TM._pool_arrays(pdf, TM.TeamParams(), True)
+
+
+def test_required_skill_missing_relaxes():
+    pool = _pool([(1, 50.0, 40, 0.8, "python, sql", "Finance"),
+                  (2, 60.0, 35, 0.7, "react", "Retail")])
+    brief = {"BriefID": 7, "budget": 200.0, "explicit": ["Scala"], "soft": ["Python"], "Domain": "Finance",
+             "fits": [{"EmployeeID": 2, "base_fit": 1.0}]}
+    out = TM.solve_brief(pool, brief, TM.TeamParams(), {})
+    assert out["relaxed"] is True
+    assert out["budget"] == 260.0
+    assert out["status"] == "ok"
+    assert out["team"] == [1, 2]
+
+
+def test_budget_too_small_reports_no_team():
+    pool = _pool([(1, 500.0, 40, 0.8, "python", "Finance")])
+    brief = {"BriefID": 1, "budget": 100.0, "explicit": [], "soft": [], "Domain": None, "fits": []}
+    out = TM.solve_brief(pool, brief, TM.TeamParams(), {})
+    assert out["team"] == []
+    assert out["status"].startswith("No feasible team")
+
+
+def test_min_average_age_holds():
+    pool = _pool([(1, 20.0, 22, 1.0, "python", "Finance"),
+                  (2, 20.0, 23, 1.0, "python", "Finance"),
+                  (3, 90.0, 50, 0.1, "go", "Media")])
+    brief = {"BriefID": 1, "budget": 1000.0, "explicit": [], "soft": [], "Domain": None, "fits": []}
+    out = TM.solve_brief(pool, brief, TM.TeamParams(), {})
+    assert out["team"] == [1, 2, 3]
+    assert out["avg_age"] >= 30
+
+
+def test_nobody_available(spark):
+    emp = spark.createDataFrame(
+        [(1, "A", 30, "QA Engineer", "Finance", "Busy", "python", 50.0, 0.5)],
+        "EmployeeID long, Name string, Age int, Role string, Domain_Expertise string, Availability string, "
+        "Skills string, Cost_per_Hour double, Avg_Performance double")
+    briefs = spark.createDataFrame(
+        [(1, 100.0, [], ["python"], "Finance", [])],
+        "BriefID long, budget double, explicit array<string>, soft array<string>, Domain string, "
+        "fits array<struct<EmployeeID:long,base_fit:double>>")
+    out = TM.best_teams(briefs, emp).collect()
+    assert out[0]["status"] == "No available employees."
+    assert out[0]["team"] == []
+
+
+def test_budget_heuristic(spark):
+    emp = spark.createDataFrame(
+        [(1, "Available", 10.0), (2, "Available", 30.0), (3, "Busy", 1000.0)],
+        "EmployeeID long, Availability string, Cost_per_Hour double")
+    b = spark.createDataFrame([(1, 0.0), (2, 250.0), (3, None)], "BriefID long, max_budget_per_hour double")
+    got = {r["BriefID"]: r["budget"] for r in TM.budget_heuristic(b, emp).collect()}
+    assert got == {1: 80.0, 2: 250.0, 3: 80.0}
+    busy = emp.withColumn("Availability", emp["Availability"].substr(0, 0))
+    got = {r["BriefID"]: r["budget"] for r in TM.budget_heuristic(b, busy).collect()}
+    assert got[1] == 100.0
+
+
+@pytest.mark.parametrize("node_limit", [1, 5])
+def test_node_limit_reports_feasible(node_limit):
+    rng = np.random.default_rng(3)
+    n = 40
+    p = rng.integers(1000, 6000, n)
+    c = rng.integers(2000, 9000, n)
+    a = np.zeros(n, dtype=np.int64)
+    chosen, val, complete = TM.search(p, c, a, [], [], 30000, None, 1000, node_limit, np.arange(n))
+    assert complete is False
