@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import skills as X
+from ..session import materialize
 from . import similarity as V
 from . import teams as TM
 
@@ -56,7 +57,8 @@ def brief_context(briefs: DataFrame, employees: DataFrame, projects: DataFrame,
     canonical = X.canonical_skills(employees)
     split = X.split_known_skills(parsed, canonical)
     idx = index if index is not None else V.build_index(projects, vectors)
-    similar = V.top_k_similar(V.brief_vectors(parsed, vectors), idx, k=k)
+    # the k-nearest table feeds fit, domain and inferred skills: computed once
+    similar = materialize(V.top_k_similar(V.brief_vectors(parsed, vectors), idx, k=k))
     rows = V.similar_rows(similar, projects.select("ProjectID", "EmployeeID", "Tech_Stack_Used", "Domain"))
     domain = V.brief_domain(parsed, rows)
     vec_tokens = V.ranked_list(V.tech_top_n(rows, top_tokens), "token", "vec_items")

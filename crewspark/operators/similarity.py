@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.skills import infer_domain, skill_tokens
-from ..session import parallelism
+from ..session import parallelism, ship_code
 
 QUERY_BLOCK_ROWS = 20_000     # queries per cogroup slice
 CORPUS_BLOCK_ROWS = 50_000    # corpus vectors per cogroup slice
@@ -101,6 +101,7 @@ def top_k_similar(queries: DataFrame, corpus: DataFrame, k: int = 50, qid: str =
         C = np.stack(cpdf["vec"].to_numpy()).astype(np.float64)
         return _top_rows(qpdf["qid"].to_numpy(), Q, cpdf["cid"].to_numpy(), C, k)
 
+    ship_code()
     hits = (q.groupBy("qb", "cb").cogroup(c.groupBy("qb", "cb"))
             .applyInPandas(block, "qid long, cid long, score double, rank long"))
     if nc > 1:

@@ -74,3 +74,30 @@ def parallelism(spark: SparkSession) -> int:
         return max(1, int(spark.sparkContext.defaultParallelism))
     except Exception:  # pragma: no cover - connect sessions
         return max(1, os.cpu_count() or 1)
+
+
+def ship_code() -> None:
+    """Send this package's functions to Python workers by value.
+
+    Pandas UDFs defined here call module-level helpers; pickling the package
+    by value means executors need no install of it (no ``--py-files``).
+    """
+    import sys
+
+    from pyspark import cloudpickle
+
+    pkg = sys.modules[__name__.split(".")[0]]
+    try:
+        cloudpickle.register_pickle_by_value(pkg)
+    except ValueError:  # already registered
+        pass
+
+
+def materialize(df):
+    """Cut the lineage of a frame several consumers reuse.
+
+    A reliable checkpoint into the shared ``spark.checkpoint.dir`` folder: the
+    data survive the loss of the executors that computed them.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
