@@ -163,14 +163,23 @@ def base_fit(rows: DataFrame) -> DataFrame:
                          (F.col("n") / F.max("n").over(mx)).alias("base_fit"))
 
 
-def project_fit(fit: DataFrame, domains: DataFrame, employees: DataFrame, boost: float = 0.30) -> DataFrame:
+def project_fit(fit: DataFrame, domains: DataFrame, employees: DataFrame, boost: float = 0.30,
+                salt_buckets: int | None = None) -> DataFrame:
     """Base fit plus ``boost`` for everyone whose expertise is the brief's domain.
 
     Sparse, like the reference's dict: only people with a base fit or the
-    boost appear.  The domain part is an equi-join on the domain value.
+    boost appear.  Domain has a handful of values, so every value is a hot
+    join key; briefs are salted into ``salt_buckets`` groups and the domain
+    roster is replicated once per salt, spreading each domain over that
+    many tasks.
     """
-    members = (domains.where(F.col("Domain").isNotNull())
-               .join(employees.select("EmployeeID", F.col("Domain_Expertise").alias("Domain")), "Domain")
+    spark = fit.sparkSession
+    n_salt = max(1, int(salt_buckets or parallelism(spark)))
+    briefs = (domains.where(F.col("Domain").isNotNull())
+              .withColumn("salt", F.pmod(F.xxhash64("BriefID"), F.lit(n_salt)).cast("int")))
+    roster = (employees.select("EmployeeID", F.col("Domain_Expertise").alias("Domain"))
+              .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(n_salt - 1)))))
+    members = (briefs.join(roster, ["Domain", "salt"])
                .select("BriefID", "EmployeeID", F.lit(True).alias("boosted")))
     both = fit.join(members, ["BriefID", "EmployeeID"], "full_outer")
     return both.select("BriefID", "EmployeeID",

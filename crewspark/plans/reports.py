@@ -104,7 +104,7 @@ def q_cost_per_role(spark: SparkSession, d: str) -> DataFrame:
     return A.cost_per_role(Workforce(spark, d).employees)
 
 
-@register("top_roles", W(["employees"]) + "SELECT Role, count(*) AS cnt FROM employees GROUP BY Role")
+@register("top_roles", W(["employees"]) + "SELECT Role, count(*) AS cnt FROM employees GROUP BY Role", bench=True)
 def q_top_roles(spark: SparkSession, d: str) -> DataFrame:
     return A.top_roles(Workforce(spark, d).employees)
 
@@ -515,3 +515,32 @@ WHERE NOT EXISTS (SELECT 1 FROM employees e WHERE e.Availability = 'Available'
                   AND contains(lower(e.Skills), r.skill))""")
 def q_unmet(spark: SparkSession, d: str) -> DataFrame:
     return unmet_required(Workforce(spark, d))
+
+
+@register("project_rows_per_domain", W(["projects"]) +
+          "SELECT Domain, count(*) AS cnt FROM projects GROUP BY Domain", bench=True)
+def q_project_rows_per_domain(spark: SparkSession, d: str) -> DataFrame:
+    """History rows per project domain (second group-by of the reference's micro-benchmark)."""
+    return Workforce(spark, d).projects.groupBy("Domain").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+@register("upsert_from_csv", W(["employees", "projects", "employee_updates"], [("emp", ENRICHED_SQL)]) + f"""
+SELECT coalesce(u.EmployeeID, t.EmployeeID) AS EmployeeID,
+{_case_cols(_EMP_COLS[1:], 't', 'u')},
+t.Avg_Performance AS Avg_Performance
+FROM emp t FULL OUTER JOIN (SELECT *, true AS __hit FROM employee_updates) u ON t.EmployeeID = u.EmployeeID""",
+          round_cols=["Avg_Performance"])
+def q_upsert_from_csv(spark: SparkSession, d: str) -> DataFrame:
+    """An uploaded CSV (read with the table schema, no inference) merged into the table."""
+    wf = Workforce(spark, d)
+    path = scratch_path(spark, "employee-upload")
+    TB.write_csv(wf.employee_updates, path)
+    upload = TB.read_csv(spark, path, S.EMPLOYEES)
+    return M.upsert(enriched_employees(wf), upload, ["EmployeeID"])
+
+
+@register("list_versions", W(["employees"]) +
+          "SELECT CAST(v AS BIGINT) AS version FROM (VALUES (0), (1), (2)) t(v)")
+def q_list_versions(spark: SparkSession, d: str) -> DataFrame:
+    """The versions recorded in a table's history."""
+    return _employee_table(spark, d).history().select("version").distinct()

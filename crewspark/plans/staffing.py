@@ -216,3 +216,56 @@ def q_kmeans(spark: SparkSession, d: str) -> DataFrame:
 def q_pca(spark: SparkSession, d: str) -> DataFrame:
     """K6: two principal components of the standardised features (rows-only)."""
     return K.pca_2d(_std(spark, d)[1])
+
+
+@register("reenrich_after_append", with_views(["employees", "projects"]) + """
+, hist AS (SELECT ProjectID, EmployeeID, Individual_Performance_Score FROM projects
+           UNION ALL SELECT ProjectID, EmployeeID, Individual_Performance_Score FROM (""" + _RECORDS_SQL + """) r)
+SELECT e.*, coalesce(a.Avg_Performance, 0.0) AS Avg_Performance
+FROM employees e LEFT JOIN (SELECT EmployeeID, avg(Individual_Performance_Score) AS Avg_Performance
+                            FROM hist GROUP BY EmployeeID) a ON e.EmployeeID = a.EmployeeID""",
+          round_cols=["Avg_Performance"])
+def q_reenrich(spark: SparkSession, d: str) -> DataFrame:
+    """U4: after a completed project is appended, mean performance is merged again."""
+    from ..functions import schema as S
+    from ..operators import analytics as A
+    from ..operators import merge as M
+
+    wf = Workforce(spark, d)
+    t = TB.VersionedTable(spark, scratch_path(spark, "projects-reenrich"), partition_col="Domain")
+    t.overwrite(wf.projects, "WRITE")
+    t.append(U.completion_records(_fallback_completion(wf), wf.employees, wf.projects))
+    emp = S.with_default(wf.employees, "Avg_Performance", 0.0, S.T.DoubleType())
+    return M.update_only(emp, A.avg_performance(t.read()), ["EmployeeID"], ["Avg_Performance"])
+
+
+@register("reindex_after_merge", with_views(["projects", "project_updates"]) + """
+, merged AS (SELECT coalesce(u.ProjectID, t.ProjectID) AS ProjectID,
+                    CASE WHEN u.__hit THEN u.Domain ELSE t.Domain END AS Domain,
+                    CASE WHEN u.__hit THEN u.Project_Description ELSE t.Project_Description END AS Project_Description
+             FROM projects t FULL OUTER JOIN (SELECT *, true AS __hit FROM project_updates) u
+               ON t.ProjectID = u.ProjectID AND t.EmployeeID = u.EmployeeID)
+SELECT e.vec_id AS ProjectID, p.Domain, p.Project_Description, CAST(len(e.embedding) AS INT) AS dim
+FROM embeddings e JOIN (SELECT ProjectID, min(Domain) AS Domain, min(Project_Description) AS Project_Description
+                        FROM merged GROUP BY ProjectID) p ON e.vec_id = p.ProjectID""")
+def q_reindex(spark: SparkSession, d: str) -> DataFrame:
+    """Merge project updates, then rebuild the vector index from the merged history."""
+    from ..operators import merge as M
+    from ..operators import similarity as V
+
+    wf = Workforce(spark, d)
+    merged = M.upsert(wf.projects, wf.project_updates, ["ProjectID", "EmployeeID"])
+    idx = V.build_index(merged, wf.embeddings)
+    return idx.select("ProjectID", "Domain", "Project_Description", F.size("embedding").alias("dim"))
+
+
+@register("generate_workforce", None)
+def q_generate(spark: SparkSession, d: str) -> DataFrame:
+    """A seeded synthetic history as large as the given tables (one employee per
+    supplier row, one project per order); rows-only, invariants in tests."""
+    from ..sources.generator import generate_projects
+
+    wf = Workforce(spark, d)
+    n_emp = wf.raw("supplier").count()
+    n_proj = wf.raw("orders").count()
+    return generate_projects(spark, n_proj, n_emp, seed=42)

@@ -1,0 +1,87 @@
+"""Seeded synthetic workforce (S13), generated inside Spark.
+
+Every value is a pure function of (seed, row id), so the tables are the same
+on any cluster layout: ages 22–58, 8 roles, 6 domains, 3–7 distinct skills,
+cost 20.00–140.00; projects with 3–6 stack skills, 3–9 distinct members,
+success 0.55–0.98 and member scores drawn from N(success, 0.08) clipped to
+[0, 1] (Box–Muller on hashed uniforms).  Names are synthetic.
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .fixtures import DOMAINS, PROJECT_ROLES, ROLES, SKILLS
+
+
+def _h(seed: int, *parts) -> Column:
+    return F.xxhash64(F.lit(seed), *[F.lit(p) if isinstance(p, str) else p for p in parts])
+
+
+def _unit(seed: int, *parts) -> Column:
+    """Uniform in (0, 1) from a hash."""
+    return (F.pmod(_h(seed, *parts), F.lit(1 << 30)).cast("double") + 0.5) / float(1 << 30)
+
+
+def _pick(values: list[str], seed: int, *parts) -> Column:
+    arr = F.array(*[F.lit(v) for v in values])
+    return F.element_at(arr, (F.pmod(_h(seed, *parts), F.lit(len(values))) + 1).cast("int"))
+
+
+def _sample_skills(seed: int, key: Column, tag: str, lo: int, hi: int) -> Column:
+    """``lo``–``hi`` distinct skills, in a seeded random order, joined by ', '."""
+    arr = F.array(*[F.lit(s) for s in SKILLS])
+    ranked = F.transform(arr, lambda s: F.struct(_h(seed, key, F.lit(tag), s).alias("r"), s.alias("s")))
+    n = (F.lit(lo) + F.pmod(_h(seed, key, F.lit(tag + "-n")), F.lit(hi - lo + 1))).cast("int")
+    picked = F.slice(F.transform(F.array_sort(ranked), lambda x: x["s"]), 1, n)
+    return F.array_join(picked, ", ")
+
+
+def generate_employees(spark: SparkSession, n: int, seed: int = 42, first_id: int = 1000) -> DataFrame:
+    ids = spark.range(first_id, first_id + n).withColumnRenamed("id", "EmployeeID")
+    k = F.col("EmployeeID")
+    return ids.select(
+        "EmployeeID",
+        F.concat(F.lit("Employee "), k.cast("string")).alias("Name"),
+        (F.lit(22) + F.pmod(_h(seed, k, F.lit("age")), F.lit(37))).cast("int").alias("Age"),
+        _pick(ROLES, seed, k, F.lit("role")).alias("Role"),
+        _pick(DOMAINS, seed, k, F.lit("domain")).alias("Domain_Expertise"),
+        F.when(_unit(seed, k, F.lit("avail")) < 0.5, F.lit("Available")).otherwise(F.lit("Busy")).alias("Availability"),
+        _sample_skills(seed, k, "skills", 3, 7).alias("Skills"),
+        F.round(F.lit(20.0) + _unit(seed, k, F.lit("cost")) * 120.0, 2).alias("Cost_per_Hour"),
+    )
+
+
+def generate_projects(spark: SparkSession, n_projects: int, n_employees: int, seed: int = 42,
+                      first_id: int = 5001, first_employee: int = 1000) -> DataFrame:
+    base = spark.range(first_id, first_id + n_projects).withColumnRenamed("id", "ProjectID")
+    k = F.col("ProjectID")
+    proj = base.select(
+        "ProjectID",
+        _pick(DOMAINS, seed, k, F.lit("pdomain")).alias("Domain"),
+        _sample_skills(seed, k, "stack", 3, 6).alias("Tech_Stack_Used"),
+        (F.lit(3) + F.pmod(_h(seed, k, F.lit("size")), F.lit(7))).cast("int").alias("size"),
+        F.round(F.lit(0.55) + F.floor(_unit(seed, k, F.lit("succ")) * 44) / 100.0, 2).alias("Project_Success_Score"),
+    )
+    # distinct members: 2×size hashed draws, de-duplicated, cut to size
+    draws = F.transform(F.sequence(F.lit(1), F.col("size") * 2),
+                        lambda j: F.lit(first_employee) + F.pmod(_h(seed, k, F.lit("member"), j), F.lit(n_employees)))
+    members = F.slice(F.array_distinct(draws), 1, F.col("size"))
+    rows = proj.select("*", F.explode(members).alias("EmployeeID"))
+    u1 = _unit(seed, k, F.col("EmployeeID"), F.lit("z1"))
+    u2 = _unit(seed, k, F.col("EmployeeID"), F.lit("z2"))
+    z = F.sqrt(-2.0 * F.log(u1)) * F.cos(2.0 * math.pi * u2)
+    indiv = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("Project_Success_Score") + 0.08 * z))
+    return rows.select(
+        "ProjectID", F.col("EmployeeID").cast("long").alias("EmployeeID"),
+        F.concat(F.lit("Project-"), k.cast("string")).alias("Project_Name"),
+        F.concat(F.col("Domain"), F.lit(" project using "), F.col("Tech_Stack_Used"),
+                 F.lit(" to deliver analytics and applications.")).alias("Project_Description"),
+        "Tech_Stack_Used", "Domain",
+        _pick(PROJECT_ROLES, seed, k, F.col("EmployeeID"), F.lit("prole")).alias("Project_Role"),
+        "Project_Success_Score",
+        F.round(indiv, 2).alias("Individual_Performance_Score"),
+    )
