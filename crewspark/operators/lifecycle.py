@@ -19,19 +19,21 @@ DEFAULT_SCORE = 0.85  # the reference's default final score per member
 def consecutive_ids(df: DataFrame, order_col: str, start, out: str = "seq") -> DataFrame:
     """Number rows ``start, start+1, …`` in ``order_col`` order without a single-task window.
 
-    Rows are range-partitioned on the key, numbered inside each partition, and
-    shifted by the row counts of the earlier partitions (one small row per
-    partition).  ``start`` may be a literal or a scalar-subquery column.
+    One range shuffle sorts the rows; inside a partition the row number is
+    read off ``monotonically_increasing_id`` (partition index in the upper
+    bits); each partition is shifted by the row counts of the earlier ones
+    (a table of one row per partition, broadcast).  ``start`` may be a
+    literal or a scalar-subquery column.
     """
-    ranged = df.repartitionByRange(order_col).withColumn("_pid", F.spark_partition_id())
-    w = Window.partitionBy("_pid").orderBy(order_col)
-    numbered = ranged.withColumn("_rn", F.row_number().over(w))
-    sizes = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    ranged = (df.repartitionByRange(order_col).sortWithinPartitions(order_col)
+              .withColumn("_pid", F.spark_partition_id())
+              .withColumn("_rn", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("long"), 33)))
+    sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offs = sizes.withColumn("_off", F.coalesce(
         F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     start_col = start if not isinstance(start, (int, float)) else F.lit(start)
-    return (numbered.join(F.broadcast(offs.select("_pid", "_off")), "_pid")
-            .withColumn(out, (start_col + F.col("_off") + F.col("_rn") - 1).cast("long"))
+    return (ranged.join(F.broadcast(offs.select("_pid", "_off")), "_pid")
+            .withColumn(out, (start_col + F.col("_off") + F.col("_rn")).cast("long"))
             .drop("_pid", "_rn", "_off"))
 
 
