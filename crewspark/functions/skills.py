@@ -152,23 +152,28 @@ def parse_reply(df: DataFrame, reply: str = "Reply", text: str = "BriefText") ->
     A reply that does not parse falls back to: no skills, the budget regex on
     the brief text (0 if none), the brief text as description.  A single skill
     given as a string becomes a one-element list; a missing or non-numeric
-    budget becomes 0.
+    budget becomes 0.  The cleaned text and the raw fields are computed once
+    (separate projections), not once per branch.
     """
-    s = clean_reply(reply)
-    ok = F.get_json_object(s, "$").isNotNull()
-    raw_sk = F.get_json_object(s, "$.required_skills")
-    as_list = F.when(F.trim(raw_sk).startswith("["), F.from_json(raw_sk, "array<string>"))
-    req = (F.when(raw_sk.isNull() | (raw_sk == "") | (F.trim(raw_sk) == "[]"), F.array().cast("array<string>"))
-           .when(F.trim(raw_sk).startswith("["), as_list)
-           .otherwise(F.array(raw_sk)))
-    bud = F.coalesce(F.get_json_object(s, "$.max_budget_per_hour").try_cast("double"), F.lit(0.0))
-    desc = F.get_json_object(s, "$.project_description")
-    desc = F.when(desc.isNull() | (desc == ""), F.col(text)).otherwise(desc)
-    return df.select(
-        "*",
-        F.when(ok, req).otherwise(F.array().cast("array<string>")).alias("required_skills"),
-        F.when(ok, bud).otherwise(F.coalesce(budget_from_text(F.col(text)), F.lit(0.0)))
-         .alias("max_budget_per_hour"),
+    cols = df.columns
+    step = df.select("*", clean_reply(reply).alias("_s"))
+    step = step.select(*cols, "_s",
+                       F.get_json_object("_s", "$").isNotNull().alias("_ok"),
+                       F.trim(F.get_json_object("_s", "$.required_skills")).alias("_sk"),
+                       F.get_json_object("_s", "$.max_budget_per_hour").alias("_bud"),
+                       F.get_json_object("_s", "$.project_description").alias("_desc"))
+    empty = F.array().cast("array<string>")
+    sk = F.col("_sk")
+    req = (F.when(sk.isNull() | (sk == "") | (sk == "[]"), empty)
+           .when(sk.startswith("["), F.from_json(sk, "array<string>"))
+           .otherwise(F.array(sk)))
+    bud = F.coalesce(F.col("_bud").try_cast("double"), F.lit(0.0))
+    desc = F.when(F.col("_desc").isNull() | (F.col("_desc") == ""), F.col(text)).otherwise(F.col("_desc"))
+    ok = F.col("_ok")
+    return step.select(
+        *cols,
+        F.when(ok, req).otherwise(empty).alias("required_skills"),
+        F.when(ok, bud).otherwise(F.coalesce(budget_from_text(F.col(text)), F.lit(0.0))).alias("max_budget_per_hour"),
         F.when(ok, desc).otherwise(F.col(text)).alias("project_description"),
         ok.alias("reply_parsed"),
     )
