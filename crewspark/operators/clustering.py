@@ -59,6 +59,7 @@ def kmeans(df: DataFrame, features: list[str] = FEATURES, k: int = 4, seed: int
         if best is None or cost < best[1]:
             best = (model, cost)
     model, cost = best
+    data.unpersist()
     labels = model.transform(data).select(key, F.col("cluster").cast("long").alias("cluster"))
     centres = [list(map(float, c)) for c in model.clusterCenters()]
     return labels, centres, float(cost)

@@ -204,19 +204,63 @@ def embed_text(docs: DataFrame, id_col: str, text_col: str, num_features: int =
     return model.transform(src).select(id_col, vector_to_array("_unit").alias("embedding"))
 
 
-def similar_lsh(queries: DataFrame, corpus: DataFrame, k: int = 50, bucket_length: float = 1.0,
-                num_tables: int = 2, max_distance: float = 1.3, seed: int = 42) -> DataFrame:
-    """V5: approximate neighbours by random-projection LSH on unit vectors
-    (Euclidean distance ranks like cosine there); top ``k`` of the candidates."""
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
+def similar_ivf(queries: DataFrame, corpus: DataFrame, k: int = 50, cells: int | None = None,
+                probe: int = 4, seed: int = 42, qid: str = "BriefID", qvec: str = "qvec",
+                cid: str = "ProjectID", cvec: str = "embedding") -> DataFrame:
+    """V5: approximate neighbours for large corpora (inverted file).
+
+    The corpus is split into ``cells`` by MLlib k-means on unit vectors (√N by
+    default); each query is routed to its ``probe`` nearest cells and scored
+    exactly against those cells only, inside the same blocked cogroup as V3
+    (cells larger than ``CORPUS_BLOCK_ROWS`` are split, so a crowded cell is
+    spread over several tasks).  Work per query is probe/cells of the exact
+    search; results are exact whenever the true neighbours lie in the probed cells.
+    """
+    from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    qs = queries.select(F.col("BriefID"), array_to_vector(unit_vector("qvec")).alias("v"))
-    cs = corpus.select(F.col("ProjectID"), array_to_vector(unit_vector("embedding")).alias("v"))
-    lsh = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=bucket_length,
-                                      numHashTables=num_tables, seed=seed).fit(cs)
-    pairs = lsh.approxSimilarityJoin(qs, cs, max_distance, distCol="dist")
-    cand = pairs.select(F.col("datasetA.BriefID").alias("BriefID"), F.col("datasetB.ProjectID").alias("ProjectID"),
-                        F.round(1.0 - F.col("dist") * F.col("dist") / 2.0, SCORE_PLACES).alias("score"))
-    w = Window.partitionBy("BriefID").orderBy(F.col("score").desc(), F.col("ProjectID"))
-    return cand.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k)
+    c = corpus.select(F.col(cid).cast("long").alias("cid"), unit_vector(cvec).alias("vec"))
+    n_c = c.count()
+    n_cells = max(1, min(n_c, int(cells or round(math.sqrt(max(1, n_c))))))
+    km = KMeans(k=n_cells, seed=seed, featuresCol="f", predictionCol="cell", maxIter=20).fit(
+        c.select(array_to_vector("vec").alias("f")))
+    centres = np.array([np.asarray(x, dtype=np.float64) for x in km.clusterCenters()])
+    n_cells = centres.shape[0]
+    n_probe = max(1, min(probe, n_cells))
+    assigned = km.transform(c.withColumn("f", array_to_vector("vec"))).select(
+        "cid", "vec", F.col("cell").cast("int").alias("cell"))
+    sizes = assigned.groupBy("cell").count()
+    biggest = sizes.agg(F.max("count")).first()[0] or 1
+    n_sub = max(1, math.ceil(biggest / CORPUS_BLOCK_ROWS))
+    cblk = assigned.withColumn("sub", F.pmod(F.xxhash64("cid"), F.lit(n_sub)).cast("int"))
+
+    def route(batches):
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            Q = np.stack(pdf["vec"].to_numpy()).astype(np.float64)
+            norms = np.linalg.norm(Q, axis=1, keepdims=True)
+            norms[norms == 0] = 1.0
+            d2 = ((Q / norms)[:, None, :] - centres[None, :, :]) ** 2
+            near = np.argsort(d2.sum(axis=2), axis=1, kind="stable")[:, :n_probe]
+            yield pd.DataFrame({"qid": np.repeat(pdf["qid"].to_numpy(), n_probe).astype("int64"),
+                                "vec": np.repeat(pdf["vec"].to_numpy(), n_probe),
+                                "cell": near.reshape(-1).astype("int32")})
+
+    ship_code()
+    qs = (queries.select(F.col(qid).cast("long").alias("qid"), F.col(qvec).alias("vec"))
+          .mapInPandas(route, "qid long, vec array<float>, cell int")
+          .withColumn("sub", F.explode(F.sequence(F.lit(0), F.lit(n_sub - 1)))))
+
+    def block(qpdf: pd.DataFrame, cpdf: pd.DataFrame) -> pd.DataFrame:
+        if qpdf.empty or cpdf.empty:
+            return pd.DataFrame({"qid": [], "cid": [], "score": [], "rank": []})
+        Q = np.stack(qpdf["vec"].to_numpy()).astype(np.float64)
+        C = np.stack(cpdf["vec"].to_numpy()).astype(np.float64)
+        return _top_rows(qpdf["qid"].to_numpy(), Q, cpdf["cid"].to_numpy(), C, k)
+
+    hits = (qs.groupBy("cell", "sub").cogroup(cblk.select("cid", "vec", "cell", "sub").groupBy("cell", "sub"))
+            .applyInPandas(block, "qid long, cid long, score double, rank long"))
+    w = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("cid"))
+    hits = hits.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k)
+    return hits.select(F.col("qid").alias(qid), F.col("cid").alias(cid), "score", "rank")

@@ -207,14 +207,16 @@ def test_top_k_blocks_agree(spark, monkeypatch):
     assert one == many and len(one) == 10 * wf.briefs.count()
 
 
-def test_lsh_recall(spark):
+def test_ivf_recall_and_exact_when_all_cells_probed(spark):
     wf = Workforce(spark, SF_SMALL)
     q = V.brief_vectors(wf.briefs, wf.embeddings)
     idx = V.build_index(wf.projects, wf.embeddings)
-    exact = {(r[0], r[1]) for r in V.top_k_similar(q, idx, k=10).select("BriefID", "ProjectID").collect()}
-    approx = {(r[0], r[1]) for r in V.similar_lsh(q, idx, k=10, bucket_length=4.0, num_tables=4,
-                                                   max_distance=2.0).select("BriefID", "ProjectID").collect()}
-    assert len(exact & approx) / len(exact) >= 0.8
+    exact = {tuple(r) for r in V.top_k_similar(q, idx, k=10).collect()}
+    every = {tuple(r) for r in V.similar_ivf(q, idx, k=10, cells=6, probe=6).collect()}
+    assert every == exact
+    pairs = {(r[0], r[1]) for r in exact}
+    approx = {(r[0], r[1]) for r in V.similar_ivf(q, idx, k=10, cells=6, probe=4).select("BriefID", "ProjectID").collect()}
+    assert len(pairs & approx) / len(pairs) >= 0.6
 
 
 def test_embed_text_unit_vectors(spark):

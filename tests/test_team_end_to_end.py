@@ -1,0 +1,79 @@
+"""best_team at sf0.001 equals exhaustive search over every subset of the available pool.
+
+Inputs come from queries that are themselves checked against DuckDB (fit,
+budget, explicit and inferred skills); the scoring and the two attempts
+(as stated, then relaxed) follow the reference's formulas.
+"""
+
+from __future__ import annotations
+
+import itertools
+
+import pytest
+
+import __spark_entry__ as entry
+from crewspark.plans.reports import enriched_employees
+from crewspark.sources.fixtures import Workforce
+from tests.conftest import SF_SMALL
+
+
+def _best(pool, fit, req, soft, budget):
+    budget_cents = int(round(max(0.0, budget) * 100))
+    req = [s.strip().lower() for s in req if s.strip()]
+    soft = [s.strip().lower() for s in soft if s.strip()]
+    skills = {r.EmployeeID: str(r.Skills or "").lower() for r in pool.itertuples()}
+    for s in req:
+        if not any(s in t for t in skills.values()):
+            return None
+    soft = [s for s in soft if any(s in t for t in skills.values())]
+    rows = []
+    for r in pool.itertuples():
+        perf = min(1.0, max(0.0, float(r.Avg_Performance)))
+        score = 3 * int(round(float(fit.get(r.EmployeeID, 0.0)) * 1000)) + 2 * int(round(perf * 1000))
+        rows.append((r.EmployeeID, score, int(round(float(r.Cost_per_Hour) * 100)),
+                     int(round((float(r.Age) - 30.0) * 100)), skills[r.EmployeeID]))
+    best = None
+    for size in range(1, len(rows) + 1):
+        for team in itertools.combinations(rows, size):
+            cost = sum(t[2] for t in team)
+            if cost > budget_cents or sum(t[3] for t in team) < 0:
+                continue
+            if any(not any(s in t[4] for t in team) for s in req):
+                continue
+            miss = sum(1 for s in soft if not any(s in t[4] for t in team))
+            val = sum(t[1] for t in team) - 1000 * miss
+            key = (-val, cost, sorted(t[0] for t in team))
+            if best is None or key < best:
+                best = key
+    return best
+
+
+def test_best_team_is_exhaustive_optimum(spark):
+    q = entry.queries()
+    wf = Workforce(spark, SF_SMALL)
+    emp = enriched_employees(wf).toPandas()
+    pool = emp[emp.Availability == "Available"]
+    if len(pool) > 12:
+        pytest.skip("pool too large for exhaustive search")
+    fits: dict = {}
+    for r in q["project_fit"](spark, SF_SMALL).collect():
+        fits.setdefault(r["BriefID"], {})[r["EmployeeID"]] = r["fit"]
+    budgets = {r["BriefID"]: r["budget"] for r in q["budget_heuristic"](spark, SF_SMALL).collect()}
+    explicit = {r["BriefID"]: [s for s in r["explicit_skills"].split("|") if s]
+                for r in q["split_known_skills"](spark, SF_SMALL).collect()}
+    inferred = {r["BriefID"]: [s for s in r["skills"].split("|") if s]
+                for r in q["inferred_skills"](spark, SF_SMALL).collect()}
+    got = {r["BriefID"]: r for r in q["best_team"](spark, SF_SMALL).collect()}
+    assert set(got) == set(budgets)
+    for b, row in got.items():
+        soft = inferred[b] or explicit[b]
+        want = _best(pool, fits.get(b, {}), explicit[b], [] if explicit[b] else soft, budgets[b])
+        relaxed = want is None
+        if relaxed:
+            want = _best(pool, fits.get(b, {}), [], soft, round(budgets[b] * 1.3, 2))
+        assert row["relaxed"] == relaxed, b
+        if want is None:
+            assert row["team"] == "", b
+            continue
+        assert row["team"] == ",".join(str(i) for i in want[2]), b
+        assert abs(row["objective"] - (-want[0]) / 1000) < 1e-9, b
