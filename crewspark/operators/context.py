@@ -24,7 +24,8 @@ class BriefContext:
     parsed: DataFrame       # BriefID, BriefText, required_skills, max_budget_per_hour, project_description
     split: DataFrame        # BriefID, explicit_skills, missing_skills
     similar: DataFrame      # BriefID, ProjectID, score, rank
-    rows: DataFrame         # similar projects' history rows
+    rows: DataFrame         # similar projects' member rows (BriefID, ProjectID, EmployeeID)
+    stacks: DataFrame       # similar projects' stacks with member counts
     domain: DataFrame       # BriefID, Domain
     inferred: DataFrame     # BriefID, inferred (normalised skills)
     budget: DataFrame       # BriefID, budget
@@ -59,13 +60,14 @@ def brief_context(briefs: DataFrame, employees: DataFrame, projects: DataFrame,
     idx = index if index is not None else V.build_index(projects, vectors)
     # the k-nearest table feeds fit, domain and inferred skills: computed once
     similar = materialize(V.top_k_similar(V.brief_vectors(parsed, vectors), idx, k=k))
-    rows = V.similar_rows(similar, projects.select("ProjectID", "EmployeeID", "Tech_Stack_Used", "Domain"))
-    domain = V.brief_domain(parsed, rows)
-    vec_tokens = V.ranked_list(V.tech_top_n(rows, top_tokens), "token", "vec_items")
+    rows = V.similar_rows(similar, projects.select("ProjectID", "EmployeeID"))
+    stacks = V.similar_stacks(similar, projects)
+    domain = V.brief_domain(parsed, stacks)
+    vec_tokens = V.ranked_list(V.tech_top_n(stacks, top_tokens), "token", "vec_items")
     items = (parsed.select("BriefID", X.phrase_skills("project_description").alias("phr"))
              .join(vec_tokens, "BriefID", "left")
              .select("BriefID", F.concat("phr", F.coalesce("vec_items", F.array().cast("array<string>")))
                      .alias("items")))
     inferred = X.normalize_skills(items, canonical, out="inferred")
     budget = TM.budget_heuristic(parsed.select("BriefID", "max_budget_per_hour"), employees).select("BriefID", "budget")
-    return BriefContext(parsed, split, similar, rows, domain, inferred, budget, V.base_fit(rows), canonical)
+    return BriefContext(parsed, split, similar, rows, stacks, domain, inferred, budget, V.base_fit(rows), canonical)

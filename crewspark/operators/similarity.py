@@ -38,7 +38,9 @@ def build_index(projects: DataFrame, vectors: DataFrame, id_col: str = "vec_id",
                 vec_col: str = "embedding", domain: str | None = None) -> DataFrame:
     """One row per project (lowest Domain and description when a
     project's rows disagree) with its unit vector; optional single domain."""
-    proj = (projects.groupBy("ProjectID")
+    ids = vectors.select(F.col(id_col).alias("ProjectID"))
+    # keep only projects that have a vector before aggregating the history
+    proj = (projects.join(ids, "ProjectID", "left_semi").groupBy("ProjectID")
             .agg(F.min("Domain").alias("Domain"), F.min("Project_Description").alias("Project_Description")))
     if domain is not None:
         proj = proj.where(F.col("Domain") == domain)
@@ -122,13 +124,34 @@ def similar_rows(similar: DataFrame, projects: DataFrame) -> DataFrame:
     return similar.select("BriefID", "ProjectID").join(projects, "ProjectID")
 
 
+def project_stacks(projects: DataFrame) -> DataFrame:
+    """Member rows per (project, domain, stack): the history pre-aggregated to
+    about one row per project, so per-brief token and domain counts join
+    projects instead of member rows."""
+    return (projects.groupBy("ProjectID", "Domain", "Tech_Stack_Used")
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+def similar_stacks(similar: DataFrame, projects: DataFrame) -> DataFrame:
+    """The similar projects of each brief with their stacks and member counts."""
+    return similar.select("BriefID", "ProjectID").join(project_stacks(projects), "ProjectID")
+
+
+def _weight(rows: DataFrame):
+    return F.col("n") if "n" in rows.columns else F.lit(1)
+
+
 def tech_top_n(rows: DataFrame, n: int = 8, include_domain: bool = False) -> DataFrame:
     """Most frequent stack tokens (optionally plus the Domain) over the
-    similar projects' member rows, top ``n`` per brief (ties: token)."""
-    toks = rows.select("BriefID", F.explode(skill_tokens("Tech_Stack_Used")).alias("token"))
+    similar projects' member rows, top ``n`` per brief (ties: token).
+
+    ``rows`` is either member rows or ``similar_stacks`` (weighted by ``n``)."""
+    wt = _weight(rows)
+    toks = rows.select("BriefID", F.explode(skill_tokens("Tech_Stack_Used")).alias("token"), wt.alias("w"))
     if include_domain:
-        toks = toks.unionByName(rows.where(F.col("Domain").isNotNull()).select("BriefID", F.col("Domain").alias("token")))
-    counts = toks.groupBy("BriefID", "token").agg(F.count(F.lit(1)).alias("cnt"))
+        toks = toks.unionByName(rows.where(F.col("Domain").isNotNull())
+                                .select("BriefID", F.col("Domain").alias("token"), wt.alias("w")))
+    counts = toks.groupBy("BriefID", "token").agg(F.sum("w").cast("long").alias("cnt"))
     w = Window.partitionBy("BriefID").orderBy(F.col("cnt").desc(), F.col("token"))
     return counts.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= n)
 
@@ -141,8 +164,11 @@ def ranked_list(ranked: DataFrame, value: str = "token", out: str = "items") ->
 
 
 def modal_domain(rows: DataFrame) -> DataFrame:
-    """Most frequent Domain over the similar projects' member rows (ties: name)."""
-    counts = rows.where(F.col("Domain").isNotNull()).groupBy("BriefID", "Domain").agg(F.count(F.lit(1)).alias("cnt"))
+    """Most frequent Domain over the similar projects' member rows (ties: name).
+
+    ``rows`` is either member rows or ``similar_stacks`` (weighted by ``n``)."""
+    counts = (rows.where(F.col("Domain").isNotNull()).groupBy("BriefID", "Domain")
+              .agg(F.sum(_weight(rows)).alias("cnt")))
     w = Window.partitionBy("BriefID").orderBy(F.col("cnt").desc(), F.col("Domain"))
     return (counts.withColumn("rn", F.row_number().over(w)).where("rn = 1")
             .select("BriefID", F.col("Domain").alias("modal_domain")))

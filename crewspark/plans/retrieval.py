@@ -149,13 +149,13 @@ def q_similar_rows(spark: SparkSession, d: str) -> DataFrame:
 @register("similar_tech_topn", chain(["topn"]) + "SELECT BriefID, token, cnt, rank FROM topn")
 def q_topn(spark: SparkSession, d: str) -> DataFrame:
     _, _, ctx = _ctx(spark, d)
-    return V.tech_top_n(ctx.rows, 8).select("BriefID", "token", "cnt", "rank")
+    return V.tech_top_n(ctx.stacks, 8).select("BriefID", "token", "cnt", "rank")
 
 
 @register("modal_domain", chain(["modal"]) + "SELECT * FROM modal")
 def q_modal(spark: SparkSession, d: str) -> DataFrame:
     _, _, ctx = _ctx(spark, d)
-    return V.modal_domain(ctx.rows)
+    return V.modal_domain(ctx.stacks)
 
 
 @register("brief_domain", chain(["bdom"]) + "SELECT * FROM bdom")
@@ -178,7 +178,7 @@ FROM parsed p LEFT JOIN t6 ON p.BriefID = t6.BriefID GROUP BY p.BriefID""")
 def q_inferred_history(spark: SparkSession, d: str) -> DataFrame:
     """V6 (history form): stack tokens plus the Domain, top 6, not normalised."""
     _, _, ctx = _ctx(spark, d)
-    lst = V.ranked_list(V.tech_top_n(ctx.rows, 6, include_domain=True), "token", "items")
+    lst = V.ranked_list(V.tech_top_n(ctx.stacks, 6, include_domain=True), "token", "items")
     return (ctx.parsed.select("BriefID").join(lst, "BriefID", "left")
             .select("BriefID", F.coalesce(F.array_join("items", "|"), F.lit("")).alias("skills")))
 
