@@ -123,8 +123,10 @@ def median_available_cost(employees: DataFrame):
 
 def cost_histogram(employees: DataFrame, bins: int = 25) -> DataFrame:
     """Equal-width histogram between min and max cost, empty bins included."""
-    stats = employees.select(F.min("Cost_per_Hour").alias("lo"), F.max("Cost_per_Hour").alias("hi"))
-    lo, hi = stats.select("lo").scalar(), stats.select("hi").scalar()
+    # one scalar subquery returning both statistics (a single aggregate pass)
+    stats = employees.select(F.struct(F.min("Cost_per_Hour").alias("lo"),
+                                      F.max("Cost_per_Hour").alias("hi")).alias("s")).scalar()
+    lo, hi = stats["lo"], stats["hi"]
     width = (hi - lo) / F.lit(float(bins))
     b = F.when(width == 0, F.lit(0)).otherwise(
         F.least(F.lit(bins - 1), F.floor((F.col("Cost_per_Hour") - lo) / width).cast("int")))

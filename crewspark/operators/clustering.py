@@ -26,12 +26,13 @@ def check_inputs(n_rows: int, k: int, features: list[str]) -> None:
 def standardize(df: DataFrame, features: list[str] = FEATURES, key: str = "EmployeeID") -> DataFrame:
     """K1+K2: nulls → 0, then (x − mean) / population std (0 when the std is 0)."""
     filled = df.select(key, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features])
-    stats = filled.agg(*[F.avg(c).alias(f"m_{c}") for c in features],
-                       *[F.stddev_pop(c).alias(f"s_{c}") for c in features])
+    # one scalar subquery holding every mean and standard deviation
+    stats = filled.select(F.struct(*[F.avg(c).alias(f"m_{c}") for c in features],
+                                   *[F.stddev_pop(c).alias(f"s_{c}") for c in features]).alias("st")).scalar()
     cols = []
     for c in features:
-        m = stats.select(f"m_{c}").scalar()
-        s = stats.select(f"s_{c}").scalar()
+        m = stats[f"m_{c}"]
+        s = stats[f"s_{c}"]
         cols.append(F.when(s == 0, F.lit(0.0)).otherwise((F.col(c) - m) / s).alias(c))
     return filled.select(key, *cols)
 
