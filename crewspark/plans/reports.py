@@ -544,3 +544,21 @@ def q_upsert_from_csv(spark: SparkSession, d: str) -> DataFrame:
 def q_list_versions(spark: SparkSession, d: str) -> DataFrame:
     """The versions recorded in a table's history."""
     return _employee_table(spark, d).history().select("version").distinct()
+
+
+@register("adhoc_sql_avg_perf", W(["employees", "projects"], [("emp", ENRICHED_SQL)]) +
+          "SELECT Role, avg(Avg_Performance) AS avg_perf FROM emp GROUP BY Role", round_cols=["avg_perf"])
+def q_adhoc_avg_perf(spark: SparkSession, d: str) -> DataFrame:
+    """Q1/Q2: the 'Avg perf by role' template, run verbatim through spark.sql."""
+    wf = Workforce(spark, d)
+    return A.run_sql(spark, A.SQL_TEMPLATES["Avg perf by role"], employees=enriched_employees(wf),
+                     projects=wf.projects)
+
+
+@register("adhoc_sql_domain_staff", W(["employees"]) +
+          "SELECT Domain_Expertise AS Domain, count(*) AS cnt FROM employees GROUP BY Domain_Expertise")
+def q_adhoc_domain_staff(spark: SparkSession, d: str) -> DataFrame:
+    """Q1/Q2: the 'Domain staff counts' template (group by an alias), run verbatim through spark.sql."""
+    wf = Workforce(spark, d)
+    return A.run_sql(spark, A.SQL_TEMPLATES["Domain staff counts"], employees=enriched_employees(wf),
+                     projects=wf.projects)
