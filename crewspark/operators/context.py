@@ -59,7 +59,9 @@ def brief_context(briefs: DataFrame, employees: DataFrame, projects: DataFrame,
     split = X.split_known_skills(parsed, canonical)
     idx = index if index is not None else V.build_index(projects, vectors)
     # the k-nearest table feeds fit, domain and inferred skills: computed once
-    similar = materialize(V.top_k_similar(V.brief_vectors(parsed, vectors), idx, k=k))
+    # block sizes from upper bounds: the stored tables' row counts (no extra pass over the inputs)
+    similar = materialize(V.top_k_similar(V.brief_vectors(parsed, vectors), idx, k=k,
+                                          n_queries=briefs.count(), n_corpus=vectors.count()))
     rows = V.similar_rows(similar, projects.select("ProjectID", "EmployeeID"))
     stacks = V.similar_stacks(similar, projects)
     domain = V.brief_domain(parsed, stacks)

@@ -77,16 +77,19 @@ def _top_rows(qids: np.ndarray, Q: np.ndarray, cids: np.ndarray, C: np.ndarray,
 
 
 def top_k_similar(queries: DataFrame, corpus: DataFrame, k: int = 50, qid: str = "BriefID",
-                  qvec: str = "qvec", cid: str = "ProjectID", cvec: str = "embedding") -> DataFrame:
+                  qvec: str = "qvec", cid: str = "ProjectID", cvec: str = "embedding",
+                  n_queries: int | None = None, n_corpus: int | None = None) -> DataFrame:
     """V3: the ``k`` most cosine-similar corpus rows per query.
 
     Returns ``(qid, cid, score, rank)``; scores rounded to six places, ties
     broken by the smaller corpus id.  Block counts follow the row counts so a
     cogroup never holds more than ``QUERY_BLOCK_ROWS`` × ``CORPUS_BLOCK_ROWS``.
+    ``n_queries`` / ``n_corpus`` may pass upper bounds of the row counts (for
+    example a stored table's row count) to skip counting the inputs.
     """
     spark = queries.sparkSession
-    n_q = queries.count()
-    n_c = corpus.count()
+    n_q = queries.count() if n_queries is None else int(n_queries)
+    n_c = corpus.count() if n_corpus is None else int(n_corpus)
     nq = max(1, math.ceil(n_q / QUERY_BLOCK_ROWS), min(parallelism(spark), math.ceil(n_q / 256)))
     nc = max(1, math.ceil(n_c / CORPUS_BLOCK_ROWS))
     q = (queries.select(F.col(qid).cast("long").alias("qid"), F.col(qvec).alias("vec"))
