@@ -23,7 +23,7 @@ def _teams(spark: SparkSession, d: str):
     wf = Workforce(spark, d)
     emp = enriched_employees(wf)
     ctx = brief_context(wf.briefs, emp, wf.projects, wf.embeddings, k=TOPK)
-    return wf, emp, TM.best_teams(ctx.solver_input(), emp, PARAMS)
+    return wf, emp, TM.best_teams(ctx.solver_input(), emp, PARAMS, n_briefs=wf.briefs.count())
 
 
 @register("best_team", None, round_cols=["objective", "total_cost_per_hour", "avg_age"], bench=True)
