@@ -144,9 +144,9 @@ WITH RECURSIVE v AS (
 ), link AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
   WHERE list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.98
-), reach(id, at) AS (
-  SELECT vec_id, vec_id FROM v UNION SELECT r.id, l.b FROM reach r JOIN link l ON l.a = r.at
-), comp AS (SELECT id, min(at) AS component_id FROM reach GROUP BY id),
+), reach(id, seen) AS (
+  SELECT vec_id, vec_id FROM v UNION SELECT r.id, l.b FROM reach r JOIN link l ON l.a = r.seen
+), comp AS (SELECT id, min(seen) AS component_id FROM reach GROUP BY id),
 n AS (SELECT a, count(*) AS n FROM link GROUP BY a)
 SELECT v.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, c.component_id, v.vec_id = c.component_id AS kept
 FROM v JOIN comp c ON c.id = v.vec_id LEFT JOIN n ON n.a = v.vec_id
