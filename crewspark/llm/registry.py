@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["vectors"]
+MODULES = ["minhash", "vectors"]
 
 
 def _modules():

@@ -137,10 +137,10 @@ def op9_embedding_near_dedup(spark, sf_dir):
 #: Brute-force twin: every pair of a label in double precision, components by recursion.
 ORACLE_9 = """
 WITH RECURSIVE v AS (
-  SELECT vec_id, label, list_transform(embedding, x -> x::DOUBLE) AS e FROM embeddings
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
 ), ok AS (
   SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(e) > 0
-    AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(e, e) > 0
+    AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(e, e) > 0
 ), link AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
   WHERE list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.98
