@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["minhash", "vectors"]
+MODULES = ["bpe", "minhash", "vectors"]
 
 
 def _modules():
