@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import table
+from .slices import SliceCache
 
 LETTER, NUMBER, OTHER, SPACE = range(4)
 
@@ -36,8 +37,6 @@ BOUNDARY, WHITE, JOINED, LETTERS, NUMBERS, OTHERS, LAST1, LAST2 = range(8)
 # white space that white space or the end follows, a run's last white space (not a space), a run's last space.
 L, N, P, SHORT, LONG, W, X, S = range(8)
 
-MAX_SLICES = 1 << 20
-
 
 @cache
 def code_point_classes() -> np.ndarray:
@@ -151,7 +150,7 @@ def boundaries(points: np.ndarray, opens: np.ndarray) -> np.ndarray:
     return np.flatnonzero(begins[before, symbol])
 
 
-class Encoder:
+class Encoder(SliceCache):
     """Ids of byte slices by merge ranks, remembered; ``ranks`` maps bytes to ids."""
 
     def __init__(self, ranks: dict[bytes, int]):
@@ -188,16 +187,7 @@ class Encoder:
             lost = self.slot[where] != free
             free, where = free[lost], (where[lost] + 1) & self.mask
             self.probes += 1
-        self.forget()
-
-    def forget(self) -> None:
-        # direct-mapped: packed slice -> entry; a slice that loses its place is merged again
-        self.short_lo = np.zeros(1 << 21, np.uint64)
-        self.short_hi = np.zeros(1 << 21, np.uint64)
-        self.short_at = np.full(1 << 21, -1, np.int32)
-        self.count, self.used = 0, 0
-        self.flat = np.empty(1 << 16, np.int32)  # ids of all entries, then where each begins
-        self.begin = np.zeros(1 << 16, np.int64)
+        super().__init__()
 
     def home(self, pairs: np.ndarray) -> np.ndarray:
         return ((pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
@@ -254,34 +244,27 @@ class Encoder:
                 into[lone] = 1 << 40
         return ids, sizes
 
-    def learn(self, slices: list[bytes]) -> np.ndarray:
-        """New entries for the slices, which differ; returns their numbers."""
+    def make(self, slices: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         whole = np.fromiter((self.ranks.get(s, -1) for s in slices), np.int64, len(slices))
-        out = np.empty(len(slices), np.int64)
-        known = np.flatnonzero(whole >= 0)
-        out[known] = self.append(whole[known], np.ones(len(known), np.int64))
+        sizes = np.ones(len(slices), np.int64)
+        parts: dict[int, np.ndarray] = {}
         rest = np.flatnonzero(whole < 0).tolist()
         for i in rest:
             if len(slices[i]) > 256:
-                ids = self.merge_long(slices[i])
-                out[i] = self.append(ids, np.array([len(ids)]))[0]
+                parts[i] = self.merge_long(slices[i])
         rest = [i for i in rest if len(slices[i]) <= 256]
         for at in range(0, len(rest), 1 << 14):
             some = rest[at:at + (1 << 14)]
-            out[some] = self.append(*self.merge_many([slices[i] for i in some]))
-        return out
-
-    def append(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        count, used = self.count + len(sizes), self.used + len(ids)
-        if count >= len(self.begin):
-            self.begin = np.concatenate([self.begin, np.zeros(max(count, len(self.begin)), np.int64)])
-        if used > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.empty(max(used, len(self.flat)), np.int32)])
-        self.flat[self.used:used] = ids
-        self.begin[self.count + 1:count + 1] = self.used + np.cumsum(sizes)
-        at = np.arange(self.count, count)
-        self.count, self.used = count, used
-        return at
+            ids, many = self.merge_many([slices[i] for i in some])
+            sizes[some] = many
+            parts.update(zip(some, np.split(ids, np.cumsum(many)[:-1])))
+        for i, ids in parts.items():
+            sizes[i] = len(ids)
+        out = np.repeat(whole, sizes)
+        if parts:
+            order = sorted(parts)
+            out[np.repeat(whole < 0, sizes)] = np.concatenate([parts[i] for i in order])
+        return out, sizes
 
     def merge_long(self, piece: bytes) -> np.ndarray:
         """The same merges for one long slice, by a heap: n log n in its length."""
@@ -306,43 +289,6 @@ class Encoder:
                 heapq.heappush(heap, (q, prv[i], i, text[prv[i]] + joined))
         return np.array([ranks[t] for t in text if t is not None], np.int64)
 
-    def entries(self, data: bytes, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Entry number of each slice data[begin:end]."""
-        if self.count > MAX_SLICES:
-            self.forget()
-        size = end - begin
-        out = np.empty(len(begin), np.int64)
-        short = np.flatnonzero(size <= 15)
-        room = np.frombuffer(data + b"\0" * 16, np.uint8)
-        windows = np.lib.stride_tricks.as_strided(room, (len(data) + 1, 16), (1, 1))
-        packed = windows[begin[short]].view(np.uint64).reshape(-1, 2)
-        bits = (size[short] * 8).astype(np.uint64)
-        low = np.where(bits < 64, (np.uint64(1) << np.minimum(bits, np.uint64(63))) - np.uint64(1), ~np.uint64(0))
-        high = np.where(bits > 64, (np.uint64(1) << np.where(bits > 64, bits - np.uint64(64), np.uint64(0))) - np.uint64(1), np.uint64(0))
-        lo = packed[:, 0] & low
-        hi = packed[:, 1] & high | size[short].astype(np.uint64) << np.uint64(56)  # 15 bytes leave the top byte for the length
-        where = ((lo * np.uint64(0x9E3779B97F4A7C15) ^ hi * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(44)).astype(np.int64)
-        got = np.where((self.short_lo[where] == lo) & (self.short_hi[where] == hi), self.short_at[where], -1)
-        miss = np.flatnonzero(got < 0)
-        if len(miss):
-            order = np.lexsort((lo[miss], hi[miss]))
-            l, h = lo[miss][order], hi[miss][order]
-            new = np.concatenate([[True], (l[1:] != l[:-1]) | (h[1:] != h[:-1])])
-            raw = np.stack([l[new], h[new]], 1).tobytes()
-            at = self.learn([raw[i:i + raw[i + 15]] for i in range(0, len(raw), 16)])
-            got[miss[order]] = at[np.cumsum(new) - 1]
-            spot = where[miss]
-            self.short_lo[spot], self.short_hi[spot], self.short_at[spot] = lo[miss], hi[miss], got[miss]
-            # where several new slices met in one slot the last write of each array is of the same slice
-        out[short] = got
-        rest = np.flatnonzero(size > 15)
-        if len(rest):
-            slices = [data[b:e] for b, e in zip(begin[rest].tolist(), end[rest].tolist())]
-            only = list(dict.fromkeys(slices))
-            number = dict(zip(only, self.learn(only).tolist()))
-            out[rest] = [number[s] for s in slices]
-        return out
-
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts end to end, tokens before each text (and in all), slice-aligned byte offsets of tokens."""
         data = "".join(texts).encode("utf-8")
@@ -354,9 +300,7 @@ class Encoder:
         byte_at = np.concatenate([[0], np.cumsum(width, dtype=np.int64)])
         first = byte_at[begin]
         at = self.entries(data, first, np.concatenate([first[1:], [len(data)]]) if len(first) else first)
-        sizes = self.begin[at + 1] - self.begin[at]
-        total = np.concatenate([[0], np.cumsum(sizes)])
-        ids = self.flat[np.repeat(self.begin[at] - total[:-1], sizes) + np.arange(total[-1])].astype(np.int64)
+        ids, sizes, total = self.gather(at)
         before = total[np.searchsorted(begin, opens)]
         return ids, before, np.repeat(first, sizes)
 

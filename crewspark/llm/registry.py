@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["bpe", "minhash", "vectors"]
+MODULES = ["token_orc", "minhash", "bpe", "vectors"]
 
 
 def _modules():
