@@ -21,11 +21,10 @@ from pyspark.sql.window import Window
 
 from ..session import scratch_path
 from .common import stage, table
-from .slices import SliceCache
+from .slices import WHITE, SliceCache, some_texts
 
 END_ID = 2
 SCHEMA = "doc_id long, n_tokens int, ids array<int>"
-WHITE = np.isin(np.arange(256), [0x20, 9, 10, 11, 12, 13])
 LETTERS = (np.arange(256) >= ord("a")) & (np.arange(256) <= ord("z"))
 CLOSING = np.isin(np.arange(256), list(b".,;:!?)"))
 
@@ -85,17 +84,12 @@ def encoded(path: str | None, end_id: int):
 
         coder = token_orc.word_encoder(path or token_orc.word_bpe_path())
         for pdf in batches:
-            texts, at = [t or "" for t in pdf["text"]], 0
-            while at < len(texts):  # about a million characters at a time
-                to, size = at, 0
-                while to < len(texts) and (size == 0 or size + len(texts[to]) <= 1 << 20):
-                    size += len(texts[to])
-                    to += 1
+            texts = [t or "" for t in pdf["text"]]
+            for at, to in some_texts(texts):
                 ids, before = coder.encode(texts[at:to])
                 ids = ids.astype(np.int32)
                 rows = [np.append(ids[b:e], np.int32(end_id)) for b, e in zip(before[:-1], before[1:])]
                 yield pd.DataFrame({"doc_id": pdf["doc_id"].iloc[at:to].to_numpy(), "n_tokens": [len(r) for r in rows], "ids": rows})
-                at = to
 
     return run
 
@@ -110,8 +104,8 @@ def write_token_ids(docs: DataFrame, out: str, path: str | None = None, end_id:
     order among themselves.  Other columns are not written.  An empty table makes no rows.
     """
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    ordered.mapInPandas(encoded(path, end_id), SCHEMA).write.orc(
-        out, compression="zstd", **{"orc.create.index": "true", "orc.row.index.stride": str(stride), "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": str(fpp)})
+    options = {"compression": "zstd", "orc.create.index": "true", "orc.row.index.stride": str(stride), "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": str(fpp)}
+    ordered.mapInPandas(encoded(path, end_id), SCHEMA).write.options(**options).orc(out)
 
 
 def read_token_ids(spark: SparkSession, path: str, doc_ids: list[int] | None = None) -> DataFrame:
