@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import table
-from .slices import SliceCache
+from .slices import SliceCache, some_texts
 
 LETTER, NUMBER, OTHER, SPACE = range(4)
 
@@ -337,12 +337,8 @@ def encoded(path: str | None, with_ids: bool):
 
         coder = bpe.encoder(path or bpe.byte_bpe_path())
         for pdf in batches:
-            texts, at = [t or "" for t in pdf["text"]], 0
-            while at < len(texts):  # about a million characters at a time
-                to, size = at, 0
-                while to < len(texts) and (size == 0 or size + len(texts[to]) <= 1 << 20):
-                    size += len(texts[to])
-                    to += 1
+            texts = [t or "" for t in pdf["text"]]
+            for at, to in some_texts(texts):
                 ids, before, offsets = coder.encode(texts[at:to])
                 words = ids.astype("<u4")
                 parts = [words[b:e] for b, e in zip(before[:-1], before[1:])]
@@ -357,7 +353,6 @@ def encoded(path: str | None, with_ids: bool):
                     out["offsets"] = [offsets[b:e] - (offsets[b] if e > b else 0) for b, e in zip(before[:-1], before[1:])]
                     out["decoded"] = [b.decode("utf-8") for b in backs]
                 yield out
-                at = to
 
     return run
 

@@ -1,8 +1,68 @@
-"""Token ids of byte slices, looked up as arrays and remembered."""
+"""Slices of byte strings as arrays: their hashes, and their token ids looked up and remembered."""
 
 from __future__ import annotations
 
 import numpy as np
+import xxhash
+
+#: Multipliers of the 64-bit mixing function.
+MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+WHITE = np.isin(np.arange(256), [0x20, 9, 10, 11, 12, 13])
+LONG_WORD = 1 << 12
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(30))) * MIX[1]
+    h = (h ^ (h >> np.uint64(27))) * MIX[2]
+    return h ^ (h >> np.uint64(31))
+
+
+def slice_hashes(data: bytes, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the slices data[begin:end], eight bytes of all of them at a time."""
+    size = end - begin
+    h = size.astype(np.uint64)
+    room = np.frombuffer(data + b"\0" * 8, np.uint8)
+    windows = np.lib.stride_tricks.as_strided(room, (len(data) + 1, 8), (1, 1))
+    todo, at = np.flatnonzero((size > 0) & (size <= LONG_WORD)), 0
+    while len(todo):
+        part = windows[begin[todo] + at].view(np.uint64).ravel()
+        left = size[todo] - at
+        bits = np.where(left < 8, left * 8, 0).astype(np.uint64)
+        part = np.where(left < 8, part & ((np.uint64(1) << bits) - np.uint64(1)), part)
+        h[todo] = mixed(h[todo] * MIX[0] ^ part)
+        todo, at = todo[left > 8], at + 8
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        h[i] = xxhash.xxh64_intdigest(data[begin[i]:end[i]])
+    return h
+
+
+def words_of(texts: list[str], translate: bytes | None = None) -> tuple[np.ndarray, np.ndarray, bytes, np.ndarray, np.ndarray]:
+    """Words of the texts after lower-casing A-Z, cut at ASCII white space (0x20, 0x09 to 0x0D).
+
+    ``translate`` maps bytes to bytes first.  Returns their hashes, the words before each text and in all, the bytes and the words' ends.
+    """
+    raw = [t.encode("utf-8", "surrogatepass").lower() for t in texts]  # bytes.lower() changes A-Z only
+    data = b"\n".join(raw)
+    if translate:
+        data = data.translate(translate)
+    opens = np.concatenate([[0], np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)) + 1)])
+    inside = np.concatenate([[False], ~WHITE[np.frombuffer(data, np.uint8)], [False]])
+    begin = np.flatnonzero(inside[1:] & ~inside[:-1])
+    end = np.flatnonzero(inside[:-1] & ~inside[1:])
+    return slice_hashes(data, begin, end), np.searchsorted(begin, opens), data, begin, end
+
+
+def some_texts(texts: list[str], size: int = 1 << 20):
+    """Ranges (from, to) of about ``size`` characters each."""
+    at = 0
+    while at < len(texts):
+        to, held = at, 0
+        while to < len(texts) and (held == 0 or held + len(texts[to]) <= size):
+            held += len(texts[to])
+            to += 1
+        yield at, to
+        at = to
+
 
 SLOTS = 1 << 21
 MAX_ENTRIES = 3 << 19
