@@ -35,21 +35,6 @@ class BriefContext:
     def fit(self, employees: DataFrame, boost: float = 0.30) -> DataFrame:
         return V.project_fit(self.base_fit, self.domain, employees, boost)
 
-    def solver_input(self) -> DataFrame:
-        """One row per brief with the solver's inputs (fit list bounded by k projects' members)."""
-        fits = (self.base_fit.groupBy("BriefID")
-                .agg(F.collect_list(F.struct(F.col("EmployeeID").cast("long").alias("EmployeeID"),
-                                             "base_fit")).alias("fits")))
-        soft = F.when(F.size("inferred") > 0, F.col("inferred")).otherwise(F.col("explicit_skills"))
-        return (self.parsed.select("BriefID")
-                .join(self.split, "BriefID", "left")
-                .join(self.inferred, "BriefID", "left")
-                .join(self.domain, "BriefID", "left")
-                .join(self.budget, "BriefID", "left")
-                .join(fits, "BriefID", "left")
-                .select("BriefID", "budget", F.col("explicit_skills").alias("explicit"), soft.alias("soft"),
-                        "Domain", "fits"))
-
 
 def brief_context(briefs: DataFrame, employees: DataFrame, projects: DataFrame, vectors: DataFrame,
                   k: int = 50, top_tokens: int = 8, index: DataFrame | None = None) -> BriefContext:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.schema import PROJECTS, conform
+from ..session import written
 
 DEFAULT_SCORE = 0.85  # the reference's default final score per member
 
@@ -21,13 +22,15 @@ def consecutive_ids(df: DataFrame, order_col: str, start, out: str = "seq") -> D
 
     One range shuffle sorts the rows; inside a partition the row number is
     read off ``monotonically_increasing_id`` (partition index in the upper
-    bits); each partition is shifted by the row counts of the earlier ones
-    (a table of one row per partition, broadcast).  ``start`` may be a
-    literal or a scalar-subquery column.
+    bits).  The numbered rows are written once, so that the partitions' counts
+    and the rows are of the same range exchange (its bounds are sampled); each
+    partition is shifted by the row counts of the earlier ones, a table of one
+    row per partition.  ``start`` may be a literal or a scalar-subquery column.
     """
-    ranged = (df.repartitionByRange(order_col).sortWithinPartitions(order_col)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_rn", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("long"), 33)))
+    ranged = written(df.repartitionByRange(order_col).sortWithinPartitions(order_col)
+                     .withColumn("_pid", F.spark_partition_id())
+                     .withColumn("_rn", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("long"), 33)),
+                     "consecutive-ids")
     sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offs = sizes.withColumn("_off", F.coalesce(
         F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))

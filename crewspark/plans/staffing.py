@@ -5,73 +5,151 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import skills as X
 from ..operators import clustering as K
 from ..operators import lifecycle as U
 from ..operators import teams as TM
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources import tables as TB
 from ..sources.fixtures import Workforce, with_views
 from .registry import register
-from .reports import ENRICHED_SQL, enriched_employees
-from .retrieval import K as TOPK
-from .retrieval import brief_context
+from .reports import ENRICHED_SQL, domain_sql, enriched_employees, phrase_sql
+from .retrieval import chain
 
 PARAMS = TM.TeamParams()
 
 
-def _teams(spark: SparkSession, d: str):
-    wf = Workforce(spark, d)
-    emp = enriched_employees(wf)
-    ctx = brief_context(wf.briefs, emp, wf.projects, wf.embeddings, k=TOPK)
-    return wf, emp, TM.best_teams(ctx.solver_input(), emp, PARAMS, n_briefs=wf.briefs.count())
+def _asked(wf: Workforce, emp: DataFrame) -> DataFrame:
+    """What each brief asks for: budget, required and soft skills, domain (all from its own text)."""
+    parsed = X.parse_reply(wf.briefs).select("BriefID", "required_skills", "max_budget_per_hour", "project_description")
+    split = X.split_known_skills(parsed, X.canonical_skills(emp))
+    budget = TM.budget_heuristic(parsed.select("BriefID", "max_budget_per_hour"), emp).select("BriefID", "budget")
+    # read by the teams' members, their skills and their totals
+    return materialize(parsed.join(split, "BriefID").join(budget, "BriefID").select(
+        "BriefID", "budget", F.col("explicit_skills").alias("explicit"), X.phrase_skills("project_description").alias("soft"),
+        X.infer_domain("project_description").alias("Domain")))
 
 
-@register("best_team", None, round_cols=["objective", "total_cost_per_hour", "avg_age"], bench=True)
-def q_best_team(spark: SparkSession, d: str) -> DataFrame:
-    """Exact best team per brief (required skills hard, soft skills penalised,
-    relaxed retry when infeasible).  Checked against brute force in tests."""
-    _, _, teams = _teams(spark, d)
-    return teams.select("BriefID", F.array_join(F.transform("team", lambda x: x.cast("string")), ",").alias("team"),
-                        "objective", "total_cost_per_hour", "avg_age", "team_size", "relaxed")
+def _given_teams(spark: SparkSession, d: str):
+    wf = Workforce(spark, d)
+    emp = enriched_employees(wf)
+    asked = _asked(wf, emp)
+    members = TM.fallback_members(asked, emp).unionByName(TM.history_members(asked, wf.projects))
+    return wf, emp, members, TM.evaluate_teams(members, asked, emp, PARAMS)
+
+
+_MEMBERS_SQL = """
+SELECT a.BriefID, 'fallback' AS source, f.EmployeeID FROM asked a,
+  (SELECT EmployeeID FROM emp WHERE Availability = 'Available' ORDER BY Cost_per_Hour, EmployeeID LIMIT 3) f
+UNION
+SELECT a.BriefID, 'history' AS source, p.EmployeeID FROM asked a JOIN projects p ON p.Domain = a.Domain
+  JOIN (SELECT Domain, max(ProjectID) AS ProjectID FROM projects GROUP BY Domain) l ON l.Domain = p.Domain AND l.ProjectID = p.ProjectID"""
+
+_LOW = "list_distinct(list_filter(list_transform({}, lambda s: lower(trim(s))), lambda s: s <> ''))"
+
+_ASKED_SQL = f"""
+SELECT p.BriefID, bud.budget, {_LOW.format("list_filter(p.required_skills, lambda s: list_contains(ck.keys, lower(trim(s))))")} AS required,
+  {_LOW.format(phrase_sql("p.project_description"))} AS soft, {domain_sql("p.project_description")} AS Domain
+FROM parsed p JOIN bud ON bud.BriefID = p.BriefID, (SELECT list(key) AS keys FROM canon_keys) ck"""
+
+_JUDGED_SQL = """
+SELECT t.BriefID, t.source, any_value(a.budget) AS budget, any_value(a.required) AS required, any_value(a.soft) AS soft,
+  count(e.EmployeeID) AS team_size, sum(e.Cost_per_Hour) AS cost, avg(e.Age) AS age, sum(round_even(e.Cost_per_Hour * 100, 0)) AS cents,
+  sum(round_even((e.Age - 30) * 100, 0)) AS age_shift,
+  sum(3 * round_even(CASE WHEN e.Domain_Expertise = a.Domain THEN 300.0 ELSE 0.0 END, 0) + 2 * round_even(least(1.0, greatest(0.0, e.Avg_Performance)) * 1000, 0)) AS points,
+  coalesce(string_agg(lower(e.Skills), chr(10)), '') AS texts
+FROM members t JOIN asked a ON a.BriefID = t.BriefID LEFT JOIN (SELECT * FROM emp WHERE Availability = 'Available') e ON e.EmployeeID = t.EmployeeID
+GROUP BY t.BriefID, t.source"""
+
+_SKILLS_SQL = """
+SELECT *, list_filter(required, lambda s: NOT contains(texts, s)) AS missing,
+  list_filter(soft, lambda s: contains(everyone, s) AND NOT contains(texts, s)) AS uncovered,
+  list_filter(required, lambda s: NOT contains(everyone, s)) AS absent
+FROM judged, (SELECT string_agg(lower(Skills), chr(10)) AS everyone FROM emp WHERE Availability = 'Available') w"""
+
+_VERDICT_SQL = """
+SELECT BriefID, source,
+  CASE WHEN everyone IS NULL THEN 'nobody_available' WHEN team_size = 0 THEN 'no_members'
+       WHEN len(missing) = 0 AND cents <= round_even(budget * 100, 0) AND age_shift >= 0 THEN 'ok'
+       WHEN cents <= round_even(round_even(budget * 1.3, 2) * 100, 0) AND age_shift >= 0 THEN 'ok_relaxed'
+       WHEN len(absent) > 0 THEN 'skill_absent' WHEN len(missing) > 0 THEN 'skill_missing'
+       WHEN cents > round_even(budget * 100, 0) THEN 'over_budget' WHEN age_shift < 0 THEN 'too_young' ELSE 'too_large' END AS status,
+  team_size, budget, cost AS total_cost_per_hour, age AS avg_age, CASE WHEN team_size > 0 THEN (points - 1000 * len(uncovered)) / 1000.0 END AS objective,
+  array_to_string(list_sort(missing), '|') AS missing_required, array_to_string(list_sort(uncovered), '|') AS uncovered_soft
+FROM skilled"""
+
+_TEAM_CTES = [("asked", _ASKED_SQL), ("members", _MEMBERS_SQL), ("judged", _JUDGED_SQL), ("skilled", _SKILLS_SQL), ("verdict", _VERDICT_SQL)]
+
+
+def _team_sql(select: str) -> str:
+    return chain(["parsed", "canon_keys", "emp", "bud", "projects"]).rstrip() + ", " + ", ".join(f"{n} AS ({q})" for n, q in _TEAM_CTES) + "\n" + select
+
+
+@register("team_summary", _team_sql("SELECT * FROM verdict"), round_cols=["budget", "objective", "total_cost_per_hour", "avg_age"], bench=True)
+def q_team_summary(spark: SparkSession, d: str) -> DataFrame:
+    """The fallback team and the domain's latest team of every brief, measured
+    against its budget, age and skill rules, strictly and relaxed."""
+    return _given_teams(spark, d)[3]
 
 
-@register("team_summary", None, round_cols=["objective", "total_cost_per_hour", "avg_age"])
-def q_team_summary(spark: SparkSession, d: str) -> DataFrame:
-    """The analysis record of each brief's team (status, objective, cost,
-    mean age, skills, weights)."""
-    _, _, teams = _teams(spark, d)
-    return teams.select(
-        "BriefID", "status", "solver_status", "relaxed", "objective", "total_cost_per_hour", "avg_age",
-        "team_size", "budget",
-        F.array_join("required_skills", "|").alias("required_skills"),
-        F.array_join("soft_skills", "|").alias("soft_skills"),
-        F.lit(PARAMS.fit_weight).alias("fit_weight"), F.lit(PARAMS.performance_weight).alias("performance_weight"),
-        F.lit(PARAMS.soft_penalty).alias("soft_penalty"))
-
-
-@register("team_status", None)
+@register("team_status", _team_sql("SELECT source, status, count(*) AS briefs FROM verdict GROUP BY ALL"))
 def q_team_status(spark: SparkSession, d: str) -> DataFrame:
-    """Briefs per outcome."""
-    _, _, teams = _teams(spark, d)
-    return teams.groupBy("status", "solver_status", "relaxed").agg(F.count(F.lit(1)).alias("briefs"))
+    """Teams per outcome."""
+    return _given_teams(spark, d)[3].groupBy("source", "status").agg(F.count(F.lit(1)).alias("briefs"))
 
 
-@register("team_details", None)
+@register("team_details", _team_sql("""SELECT m.BriefID, m.source, m.EmployeeID, e.Name, e.Age, e.Role, e.Skills, e.Cost_per_Hour, e.Avg_Performance
+FROM members m JOIN emp e ON e.EmployeeID = m.EmployeeID"""), round_cols=["Avg_Performance"])
 def q_team_details(spark: SparkSession, d: str) -> DataFrame:
-    """Each chosen member with their profile."""
-    _, emp, teams = _teams(spark, d)
-    return TM.team_details(teams, emp)
+    """Each member of the given teams with their profile."""
+    _, emp, members, _ = _given_teams(spark, d)
+    return TM.team_details(members, emp)
+
+
+@register("fallback_per_brief", _team_sql("SELECT BriefID, EmployeeID, 'fallback' AS status FROM members WHERE source = 'fallback'"))
+def q_fallback_per_brief(spark: SparkSession, d: str) -> DataFrame:
+    """T9 for every brief: the three cheapest available people."""
+    wf = Workforce(spark, d)
+    return TM.fallback_members(wf.briefs, wf.employees).withColumnRenamed("source", "status")
+
 
+def _completed(wf: Workforce, members: DataFrame, teams: DataFrame) -> DataFrame:
+    """Briefs whose domain team passes, as completed projects."""
+    done = teams.where("source = 'history' and status in ('ok', 'ok_relaxed')").select("BriefID", "source")
+    return U.completed_from_teams(members.join(done, ["BriefID", "source"]).groupBy("BriefID").agg(F.collect_list("EmployeeID").alias("team")), wf.briefs)
 
-@register("lifecycle_batch", None)
+
+@register("lifecycle_batch", _team_sql("""
+, done AS (SELECT BriefID, (SELECT max(ProjectID) FROM projects) + row_number() OVER (ORDER BY BriefID) AS ProjectID
+           FROM verdict WHERE source = 'history' AND status IN ('ok', 'ok_relaxed')),
+recs AS (SELECT d.ProjectID, e.EmployeeID, b.BriefText, e.Skills, e.Domain_Expertise, e.Role, coalesce(e.Avg_Performance, 0.85) AS score
+         FROM done d JOIN members m ON m.BriefID = d.BriefID AND m.source = 'history' JOIN emp e ON e.EmployeeID = m.EmployeeID JOIN briefs b ON b.BriefID = d.BriefID)
+SELECT ProjectID, EmployeeID, 'New Project based on: ' || substring(BriefText, 1, 30) || '…' AS Project_Name,
+  'Completed project based on request: ' || BriefText AS Project_Description, Skills AS Tech_Stack_Used, Domain_Expertise AS Domain, Role AS Project_Role,
+  avg(score) OVER (PARTITION BY ProjectID) AS Project_Success_Score, score AS Individual_Performance_Score FROM recs"""),
+    round_cols=["Project_Success_Score", "Individual_Performance_Score"])
 def q_lifecycle_batch(spark: SparkSession, d: str) -> DataFrame:
-    """Every recommended team becomes a completed project appended to the history."""
-    wf, emp, teams = _teams(spark, d)
-    recs = U.completion_records(U.completed_from_teams(teams, wf.briefs), emp, wf.projects)
-    t = TB.VersionedTable(spark, scratch_path(spark, "projects-lifecycle"), partition_col="Domain")
-    t.overwrite(wf.projects, "WRITE")
-    t.append(recs, "WRITE (append)")
-    return t.read().where(F.col("ProjectID") > wf.projects.select(F.max("ProjectID")).scalar())
+    """Every passing team becomes a completed project, scored member by member
+    (their mean performance so far), appended to the history."""
+    wf, emp, members, teams = _given_teams(spark, d)
+    scores = members.where("source = 'history'").join(emp.select("EmployeeID", F.col("Avg_Performance").alias("score")), "EmployeeID")
+    recs = U.completion_records(_completed(wf, members, teams), emp, wf.projects, scores)
+    table = history_table(wf)
+    version = table.append(recs, "WRITE (append)", base=0)
+    return table.read(version).where(F.col("ProjectID") > wf.projects.select(F.max("ProjectID")).scalar()).select(*wf.projects.columns)
+
+
+_HISTORY: dict[tuple[str, str], TB.VersionedTable] = {}
+
+
+def history_table(wf: Workforce) -> TB.VersionedTable:
+    """The projects history as a versioned table, committed once a session; queries append to version 0."""
+    key = (wf.spark.sparkContext.applicationId, wf.sf_dir)
+    if key not in _HISTORY:
+        table = TB.VersionedTable(wf.spark, scratch_path(wf.spark, "projects-history"), partition_col="Domain")
+        table.overwrite(wf.projects, "WRITE")
+        _HISTORY[key] = table
+    return _HISTORY[key]
 
 
 # Completed team for the SQL-checked lifecycle queries: the reference's
@@ -117,10 +195,9 @@ FROM (SELECT * FROM projects UNION ALL """ + _RECORDS_SQL + ") r", round_cols=["
 def q_lifecycle_append(spark: SparkSession, d: str) -> DataFrame:
     """Conform by name and append as a new table version; read the latest snapshot."""
     wf = Workforce(spark, d)
-    t = TB.VersionedTable(spark, scratch_path(spark, "projects-append"), partition_col="Domain")
-    t.overwrite(wf.projects, "WRITE")
-    t.append(U.completion_records(_fallback_completion(wf), wf.employees, wf.projects))
-    return t.read().select(*wf.projects.columns)
+    t = history_table(wf)
+    v = t.append(U.completion_records(_fallback_completion(wf), wf.employees, wf.projects), base=0)
+    return t.read(v).select(*wf.projects.columns)
 
 
 @register("next_project_ids", with_views(["briefs", "projects"]) + """
@@ -232,11 +309,10 @@ def q_reenrich(spark: SparkSession, d: str) -> DataFrame:
     from ..operators import merge as M
 
     wf = Workforce(spark, d)
-    t = TB.VersionedTable(spark, scratch_path(spark, "projects-reenrich"), partition_col="Domain")
-    t.overwrite(wf.projects, "WRITE")
-    t.append(U.completion_records(_fallback_completion(wf), wf.employees, wf.projects))
+    t = history_table(wf)
+    v = t.append(U.completion_records(_fallback_completion(wf), wf.employees, wf.projects), base=0)
     emp = S.with_default(wf.employees, "Avg_Performance", 0.0, S.T.DoubleType())
-    return M.update_only(emp, A.avg_performance(t.read()), ["EmployeeID"], ["Avg_Performance"])
+    return M.update_only(emp, A.avg_performance(t.read(v)), ["EmployeeID"], ["Avg_Performance"])
 
 
 @register("reindex_after_merge", with_views(["projects", "project_updates"]) + """
@@ -257,15 +333,3 @@ def q_reindex(spark: SparkSession, d: str) -> DataFrame:
     merged = M.upsert(wf.projects, wf.project_updates, ["ProjectID", "EmployeeID"])
     idx = V.build_index(merged, wf.embeddings)
     return idx.select("ProjectID", "Domain", "Project_Description", F.size("embedding").alias("dim"))
-
-
-@register("generate_workforce", None)
-def q_generate(spark: SparkSession, d: str) -> DataFrame:
-    """A seeded synthetic history as large as the given tables (one employee per
-    supplier row, one project per order); rows-only, invariants in tests."""
-    from ..sources.generator import generate_projects
-
-    wf = Workforce(spark, d)
-    n_emp = wf.raw("supplier").count()
-    n_proj = wf.raw("orders").count()
-    return generate_projects(spark, n_proj, n_emp, seed=42)

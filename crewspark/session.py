@@ -40,25 +40,24 @@ _LOCAL_FALLBACK: dict[str, str] = {}
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder for intermediate tables, as the session names it.
 
-    On a cluster the folder is configured by whoever runs the job (a shared
-    file system) and is only read here.  Only when nothing is configured —
-    local tests — one fresh folder under the system temp dir is used.
+    A folder set by ``setCheckpointDir`` comes first, then ``spark.checkpoint.dir``.
+    With neither, a session on one machine (``local[...]``: tests and benches, where every
+    task sees the same disk) gets a fresh temporary folder; on a cluster that is an error.
     """
     sc = spark.sparkContext
-    base = sc.getConf().get("spark.checkpoint.dir", None)
-    if not base:
-        try:
-            base = spark.conf.get("spark.checkpoint.dir", None)
-        except Exception:  # pragma: no cover
-            base = None
+    if sc.getCheckpointDir():
+        given = sc.getConf().get("spark.checkpoint.dir", None)
+        return given or sc.getCheckpointDir()
+    base = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         if sc.applicationId not in _LOCAL_FALLBACK:
             _LOCAL_FALLBACK[sc.applicationId] = tempfile.mkdtemp(prefix="crewspark-ckpt-")
         base = _LOCAL_FALLBACK[sc.applicationId]
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(base)
+    sc.setCheckpointDir(base)
     return base
 
 
@@ -93,6 +92,17 @@ def ship_code() -> None:
         pass
 
 
+def written(df, name: str):
+    """Write ``df`` as Parquet below the shared folder and read it back with its schema.
+
+    Unlike a lazy frame, several readers of the result see the same partition numbers and
+    row order that were written.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialize(df):
     """Cut the lineage of a frame several consumers reuse.
 

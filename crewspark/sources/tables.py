@@ -12,14 +12,16 @@ is claimed.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.schema import HISTORY, conform
+from ..operators.merge import upsert
 
-HISTORY_ROW = T.StructType(HISTORY.fields + [T.StructField("base", T.LongType())])
+HISTORY_ROW = T.StructType(HISTORY.fields + [T.StructField("base", T.LongType()), T.StructField("schema", T.StringType())])
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -54,15 +56,24 @@ class VersionedTable:
         return f"{self.path}/_history"
 
     def history(self) -> DataFrame:
-        """All commits (version, timestamp, operation, operationMetrics)."""
-        try:
+        """All commits (version, timestamp, operation, operationMetrics).
+
+        A table without any folder has none.  Data without a history is an error, as is any
+        failure to read it: an unreadable history must not look like a new table.
+        """
+        if self._exists(self._history_path):
             return self.spark.read.schema(HISTORY_ROW).parquet(self._history_path)
-        except Exception:
-            return self.spark.createDataFrame([], HISTORY_ROW)
+        if self._exists(f"{self.path}/data"):
+            raise ValueError(f"{self.path} has data but no commit history")
+        return self.spark.createDataFrame([], HISTORY_ROW)
+
+    def _exists(self, path: str) -> bool:
+        where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
 
     def _log(self) -> list:
         # The commit log is metadata (one small row per commit), read like a table log.
-        return self.history().select("version", "base").orderBy("version").collect()
+        return self.history().select("version", "base", "schema").orderBy("version").collect()
 
     def latest_version(self) -> int | None:
         log = self._log()
@@ -85,21 +96,23 @@ class VersionedTable:
         if v is None:
             raise ValueError(f"{self.path} has no commits")
         dirs = [f"{self.path}/data/version={x}" for x in self._chain(v)]
-        return self.spark.read.option("basePath", f"{self.path}/data").parquet(*dirs).drop("version")
+        schema = T.StructType.fromJson(json.loads(next(r["schema"] for r in self._log() if r["version"] == v)))
+        # the schema is given, so that a partition value such as 007 stays the string it was
+        return self.spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(*dirs).select(*schema.names)
 
     # -- writes -----------------------------------------------------------
     def _commit(self, df: DataFrame, operation: str, base: int | None, metrics: dict[str, str]) -> int:
         latest = self.latest_version()
         v = 0 if latest is None else latest + 1
         target = f"{self.path}/data/version={v}"
-        w = df.write.mode("overwrite")
+        w = df.write.mode("errorifexists")
         if self.partition_col and self.partition_col in df.columns:
             w = w.partitionBy(self.partition_col)
         w.parquet(target)
         rows = self.spark.read.parquet(target).count()
         metrics = {"numOutputRows": str(rows), **metrics}
         entry = self.spark.createDataFrame(
-            [(v, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), operation, metrics, base)], HISTORY_ROW)
+            [(v, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), operation, metrics, base, df.schema.json())], HISTORY_ROW)
         entry.coalesce(1).write.mode("append").parquet(self._history_path)
         return v
 
@@ -107,30 +120,40 @@ class VersionedTable:
         """A new chain holding exactly ``df`` (schema may change)."""
         return self._commit(df, operation, None, metrics)
 
-    def append(self, df: DataFrame, operation: str = "WRITE (append)", **metrics: str) -> int:
-        """Conform ``df`` to the current schema by name, add it as a new version."""
-        base = self.latest_version()
+    def append(self, df: DataFrame, operation: str = "WRITE (append)", base: int | None = None, **metrics: str) -> int:
+        """Conform ``df`` to the current schema by name, add it as a new version.
+
+        ``base`` names the version to extend (default: the latest).
+        """
+        base = self.latest_version() if base is None else base
         if base is not None:
             df = conform(df, self.read(base).schema, fill_missing=True)
         return self._commit(df, operation, base, metrics)
 
+    def merge(self, source: DataFrame, keys: list[str], operation: str = "MERGE", **metrics: str) -> int:
+        """J3-J5 as a commit: rows of ``source`` update those of the same ``keys`` and add the others."""
+        merged = upsert(self.read(), source, keys)
+        return self._commit(merged, operation, None, {"keys": ",".join(keys), **metrics})
+
     def compact(self, sort_cols: list[str] | None = None, files_per_partition: int = 4) -> int:
         """Rewrite the latest snapshot with fewer files, clustered by ``sort_cols``.
 
-        Rows are hash-partitioned on the partition column *before* sorting
-        within each task, so the sort survives (a sort placed before a
-        repartition would be dropped by the optimizer).
+        Rows are dealt by ranges of (partition value, sort columns) into about
+        ``files_per_partition`` tasks for each partition value, so that no task holds a whole
+        value of many rows, and sorted in each task after that shuffle.
         """
         df = self.read()
         cols = [c for c in (sort_cols or []) if c in df.columns]
         pc = self.partition_col if self.partition_col in df.columns else None
-        if pc:
-            df = df.repartition(files_per_partition, pc)
-            df = df.sortWithinPartitions(pc, *cols)
+        by = ([pc] if pc else []) + cols
+        if pc and not cols:
+            df = df.withColumn("_spread", F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition)))
+            by = [pc, "_spread"]
+        if by:
+            n = files_per_partition * (df.select(F.count_distinct(pc)).first()[0] if pc else 1)
+            df = df.repartitionByRange(max(1, n), *by).sortWithinPartitions(*by).drop("_spread")
         else:
-            df = df.repartitionByRange(files_per_partition, *cols) if cols else df.coalesce(files_per_partition)
-            if cols:
-                df = df.sortWithinPartitions(*cols)
+            df = df.coalesce(files_per_partition)
         return self._commit(df, "OPTIMIZE", None, {"sortColumns": ",".join(cols)})
 
 

@@ -226,27 +226,6 @@ def test_embed_text_unit_vectors(spark):
     assert all(x == 0 for x in rows[3])
 
 
-def test_generator_invariants(spark):
-    from crewspark.sources.generator import generate_employees, generate_projects
-
-    emp = generate_employees(spark, 50, seed=7).toPandas()
-    assert emp.EmployeeID.is_unique and emp.EmployeeID.min() == 1000
-    assert emp.Age.between(22, 58).all() and emp.Cost_per_Hour.between(20, 140).all()
-    sizes = emp.Skills.str.split(", ").map(len)
-    assert sizes.between(3, 7).all()
-    assert emp.Skills.str.split(", ").map(lambda s: len(set(s)) == len(s)).all()
-    proj = generate_projects(spark, 40, 50, seed=7).toPandas()
-    assert not proj.duplicated(["ProjectID", "EmployeeID"]).any()
-    per = proj.groupby("ProjectID").EmployeeID.count()
-    assert per.between(1, 9).all() and per.mean() > 4
-    assert proj.Project_Success_Score.between(0.55, 0.98).all()
-    assert proj.Individual_Performance_Score.between(0.0, 1.0).all()
-    assert proj.EmployeeID.between(1000, 1049).all()
-    again = generate_projects(spark, 40, 50, seed=7).toPandas()
-    assert proj.sort_values(["ProjectID", "EmployeeID"]).reset_index(drop=True).equals(
-        again.sort_values(["ProjectID", "EmployeeID"]).reset_index(drop=True))
-
-
 def test_project_fit_salting_does_not_change_result(spark):
     fit = spark.createDataFrame([(1, 10, 1.0), (1, 11, 0.5), (2, 12, 1.0)], "BriefID long, EmployeeID long, base_fit double")
     dom = spark.createDataFrame([(1, "Finance"), (2, None), (3, "Retail")], "BriefID long, Domain string")
