@@ -43,8 +43,6 @@ DOMAIN_KEYWORDS = [
 BUDGET_PATTERN = r"(\$|usd\s*)?(\d{2,6})(?:\s*/?\s*hour)?"
 # --- end of fixed values ---
 
-MAX_VOCABULARY = 200_000  # canonical skills broadcast to the containment match
-
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -75,11 +73,17 @@ def canonical_keys(canonical: DataFrame) -> DataFrame:
             .agg(F.max("Skill").alias("value"), F.min("Skill").alias("ord")))
 
 
-def _checked_broadcast(df: DataFrame, limit: int, what: str) -> DataFrame:
-    n = df.count()
-    if n > limit:
-        raise ValueError(f"{what}: {n} rows exceed the broadcast bound {limit}")
-    return F.broadcast(df)
+def contained(texts: DataFrame, text: str, needles: DataFrame, needle: str) -> DataFrame:
+    """Pairs (``text``, ``needle``) where the needle is a substring of the text.
+
+    The texts' substrings, no longer than the longest needle, are joined with the needles by
+    equality: no text is compared with every needle.  Both sides should be distinct.
+    """
+    longest = needles.agg(F.coalesce(F.max(F.length(needle)), F.lit(0))).scalar()
+    size = F.length(text)
+    starts = texts.where(size > 0).select(text, F.explode(F.sequence(F.lit(1), size)).alias("_at"), longest.alias("_longest"))
+    parts = starts.where("_longest > 0").select(text, "_at", F.explode(F.sequence(F.lit(1), F.least(F.col("_longest"), size - F.col("_at") + 1))).alias("_n"))
+    return parts.select(text, F.substring(F.col(text), F.col("_at"), F.col("_n")).alias(needle)).distinct().join(needles.select(needle), needle)
 
 
 def normalize_skills(items: DataFrame, canonical: DataFrame, key: str = "BriefID",
@@ -90,18 +94,18 @@ def normalize_skills(items: DataFrame, canonical: DataFrame, key: str = "BriefID
     that contains the item or is contained in it.  Items without a match drop.
     Returns ``(key, out array<string>)`` for every input row (empty when none match).
     """
-    keys = _checked_broadcast(canonical_keys(canonical), MAX_VOCABULARY, "canonical skills")
+    keys = canonical_keys(canonical)
     toks = (items.select(key, F.posexplode(col).alias("pos", "item"))
             .withColumn("low", F.lower(F.trim("item")))
             .where(F.col("low") != ""))
-    cond = ((F.col("key") == F.col("low"))
-            | (F.instr(F.col("low"), F.col("key")) > 0)
-            | (F.instr(F.col("key"), F.col("low")) > 0))
-    w = Window.partitionBy(key, "pos").orderBy(F.col("exact").desc(), F.col("ord"))
-    matched = (toks.join(keys, cond, "inner")
-               .withColumn("exact", (F.col("key") == F.col("low")).cast("int"))
-               .withColumn("rn", F.row_number().over(w))
-               .where("rn = 1")
+    # each distinct item is matched once: by equality, the rest by containment either way
+    asked = toks.select("low").distinct()
+    exact = asked.join(keys, F.col("low") == F.col("key")).select("low", "value")
+    rest = asked.join(keys.select(F.col("key").alias("low")), "low", "left_anti")
+    near = contained(rest, "low", keys.select("key"), "key").unionByName(
+        contained(keys.select("key"), "key", rest, "low").select("low", "key"))
+    first = near.join(keys, "key").groupBy("low").agg(F.min(F.struct("ord", "value"))["value"].alias("value"))
+    matched = (toks.join(exact.unionByName(first), "low")
                .groupBy(key)
                .agg(F.array_sort(F.collect_list(F.struct("pos", "value"))).alias("pv")))
     return (items.select(key).distinct()
@@ -138,18 +142,21 @@ def budget_from_text(text: Column | str) -> Column:
     return F.when(m != "", m.cast("double"))
 
 
+# A JSON string (kept), or a code fence, a line comment or a block comment (dropped).
+REPLY_NOISE = r'("[^"\\]*(?:\\.[^"\\]*)*")|```[A-Za-z]*|//[^\n]*|(?s:/\*.*?\*/)'
+
+
 def clean_reply(reply: Column | str) -> Column:
-    """Strip code fences, whole-line ``//`` comments and ``/* */`` blocks from a reply."""
-    s = F.regexp_replace(_col(reply), r"```[A-Za-z]*", "")
-    s = F.regexp_replace(s, r"(?m)^\s*//.*$", "")
-    s = F.regexp_replace(s, r"(?s)/\*.*?\*/", "")
-    return F.trim(s)
+    """The reply's object, from its first ``{`` to its last ``}``, without code fences and
+    ``//`` or ``/* */`` comments outside of strings; empty if it holds none."""
+    s = F.regexp_extract(F.coalesce(_col(reply), F.lit("")), r"(?s)\{.*\}", 0)
+    return F.trim(F.regexp_replace(s, REPLY_NOISE, "$1"))
 
 
 def parse_reply(df: DataFrame, reply: str = "Reply", text: str = "BriefText") -> DataFrame:
     """Reply JSON → ``required_skills``, ``max_budget_per_hour``, ``project_description``.
 
-    A reply that does not parse falls back to: no skills, the budget regex on
+    A reply without a JSON object falls back to: no skills, the budget regex on
     the brief text (0 if none), the brief text as description.  A single skill
     given as a string becomes a one-element list; a missing or non-numeric
     budget becomes 0.  The cleaned text and the raw fields are computed once
@@ -183,7 +190,7 @@ def split_known_skills(df: DataFrame, canonical: DataFrame, key: str = "BriefID"
                        col: str = "required_skills") -> DataFrame:
     """Requested skills whose trimmed lower form is a canonical key (``explicit``)
     and the non-empty rest (``missing``), each in request order."""
-    keys = _checked_broadcast(canonical_keys(canonical).select("key"), MAX_VOCABULARY, "canonical skills")
+    keys = canonical_keys(canonical).select("key")
     ex = (df.select(key, F.posexplode(col).alias("pos", "item"))
           .withColumn("low", F.lower(F.trim("item")))
           .join(keys.withColumn("known", F.lit(True)), F.col("low") == F.col("key"), "left"))

@@ -36,17 +36,15 @@ class BriefContext:
         return V.project_fit(self.base_fit, self.domain, employees, boost)
 
 
-def brief_context(briefs: DataFrame, employees: DataFrame, projects: DataFrame, vectors: DataFrame,
+def brief_context(briefs: DataFrame, employees: DataFrame, projects: DataFrame,
                   k: int = 50, top_tokens: int = 8, index: DataFrame | None = None) -> BriefContext:
-    parsed = X.parse_reply(briefs).select("BriefID", "BriefText", "QueryVecID", "required_skills",
+    parsed = X.parse_reply(briefs).select("BriefID", "BriefText", "required_skills",
                                           "max_budget_per_hour", "project_description")
     canonical = X.canonical_skills(employees)
     split = X.split_known_skills(parsed, canonical)
-    idx = index if index is not None else V.build_index(projects, vectors)
-    # the k-nearest table feeds fit, domain and inferred skills: computed once
-    # block sizes from upper bounds: the stored tables' row counts (no extra pass over the inputs)
-    similar = materialize(V.top_k_similar(V.brief_vectors(parsed, vectors), idx, k=k,
-                                          n_queries=briefs.count(), n_corpus=vectors.count()))
+    idx = index if index is not None else V.build_index(projects)
+    # the table of similar projects feeds fit, domain and inferred skills: computed once
+    similar = materialize(V.top_k_by_text(parsed, idx, k=k))
     rows = V.similar_rows(similar, projects.select("ProjectID", "EmployeeID"))
     stacks = V.similar_stacks(similar, projects)
     domain = V.brief_domain(parsed, stacks)

@@ -4,8 +4,8 @@ Exact k-nearest search (V3) is a blocked matrix product: queries are hashed
 into ``nq`` query blocks and the corpus into ``nc`` corpus blocks; every
 query row is replicated to the ``nc`` corpus blocks and every corpus row to
 the ``nq`` query blocks, so each (query block, corpus block) cogroup holds a
-bounded slice of both sides.  The cogroup multiplies the two slices in numpy
-and emits only its top-k per query; a window merges the per-block lists.
+bounded slice of both sides.  The cogroup multiplies the two slices in numpy, a tile
+of queries at a time, and emits only its top-k per query; a window merges the per-block lists.
 Nothing is collected to the driver and no pair is materialised as a row.
 """
 
@@ -23,6 +23,7 @@ from ..session import parallelism, ship_code
 
 QUERY_BLOCK_ROWS = 20_000     # queries per cogroup slice
 CORPUS_BLOCK_ROWS = 50_000    # corpus vectors per cogroup slice
+QUERY_TILE_ROWS = 256         # queries multiplied at a time inside a slice
 SCORE_PLACES = 6              # scores are ranked at this precision, ties by id
 
 
@@ -34,46 +35,84 @@ def unit_vector(c: Column | str) -> Column:
     return F.transform(d, lambda x: F.when(norm > 0, x / norm).otherwise(F.lit(0.0)))
 
 
-def build_index(projects: DataFrame, vectors: DataFrame, id_col: str = "vec_id",
-                vec_col: str = "embedding", domain: str | None = None) -> DataFrame:
-    """One row per project (lowest Domain and description when a
-    project's rows disagree) with its unit vector; optional single domain."""
-    ids = vectors.select(F.col(id_col).alias("ProjectID"))
-    # keep only projects that have a vector before aggregating the history
-    proj = (projects.join(ids, "ProjectID", "left_semi").groupBy("ProjectID")
-            .agg(F.min("Domain").alias("Domain"), F.min("Project_Description").alias("Project_Description")))
-    if domain is not None:
-        proj = proj.where(F.col("Domain") == domain)
-    v = vectors.select(F.col(id_col).alias("ProjectID"), unit_vector(vec_col).alias("embedding"))
-    return proj.join(v, "ProjectID").select("ProjectID", "embedding", "Domain", "Project_Description")
+TERM = r"[a-z0-9+#]+"  # a token of a text, after lower-casing
+
+
+def text_terms(texts: DataFrame, text: str) -> DataFrame:
+    """(text, token, tf) of every distinct non-null text."""
+    tokens = F.explode(F.regexp_extract_all(F.lower(F.col(text)), F.lit(TERM), F.lit(0)))
+    return texts.where(F.col(text).isNotNull()).select(text).distinct().select(text, tokens.alias("token")).groupBy(text, "token").agg(F.count(F.lit(1)).alias("tf"))
+
+
+def build_index(projects: DataFrame, domain: str | None = None) -> DataFrame:
+    """One row per project (lowest Domain and description when a project's rows
+    disagree): ProjectID, Domain, Project_Description; optionally of a single domain."""
+    index = (projects.groupBy("ProjectID")
+             .agg(F.min("Domain").alias("Domain"), F.min("Project_Description").alias("Project_Description")))
+    return index if domain is None else index.where(F.col("Domain") == domain)
+
+
+def index_weights(index: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """V1: (weights, norms, idf) of the index's distinct descriptions.
+
+    A token's weight in a text is tf * (ln((1 + texts) / (1 + texts with the token)) + 1).
+    """
+    terms = text_terms(index, "Project_Description")
+    n = index.where("Project_Description is not null").select(F.count_distinct("Project_Description")).scalar()
+    idf = terms.groupBy("token").agg(F.count(F.lit(1)).alias("df")).select("token", (F.log((1 + n) / (1 + F.col("df"))) + 1).alias("idf"))
+    weights = terms.join(idf, "token").select("Project_Description", "token", (F.col("tf") * F.col("idf")).alias("w"))
+    norms = weights.groupBy("Project_Description").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), F.count(F.lit(1)).alias("n_terms"))
+    return weights, norms, idf
+
+
+def top_k_by_text(queries: DataFrame, index: DataFrame, k: int = 50, within: str | None = None,
+                  qid: str = "BriefID", qtext: str = "project_description") -> DataFrame:
+    """V3/V4: the ``k`` projects whose descriptions are most similar to each query's text.
+
+    Cosine of the token weights, rounded to six places, above zero; ties by the smaller
+    ProjectID.  ``within`` keeps one domain's projects.  Distinct texts are compared, not
+    rows: a query text meets the description texts it shares a token with, the best k of
+    those are joined to at most k projects each, and queries with one text share the result.
+    """
+    weights, norms, idf = index_weights(index)
+    n = index.where("Project_Description is not null").select(F.count_distinct("Project_Description")).scalar()
+    q = text_terms(queries, qtext).join(idf, "token", "left") \
+        .select(F.col(qtext).alias("_q"), "token", (F.col("tf") * F.coalesce("idf", F.log(F.lit(1.0) + n) + 1)).alias("qw"))
+    q_norm = q.groupBy("_q").agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("q_norm"))
+    kept = index if within is None else index.where(F.col("Domain") == within)
+    texts = kept.where("Project_Description is not null").select("Project_Description").distinct()
+    scored = q.join(weights.join(texts, "Project_Description", "left_semi"), "token").groupBy("_q", "Project_Description").agg(F.sum(F.col("qw") * F.col("w")).alias("dot")) \
+        .join(q_norm, "_q").join(norms, "Project_Description") \
+        .select("_q", "Project_Description", F.round(F.col("dot") / (F.col("q_norm") * F.col("norm")), SCORE_PLACES).alias("score")).where("score > 0")
+    best = scored.withColumn("place", F.rank().over(Window.partitionBy("_q").orderBy(F.desc("score")))).where(F.col("place") <= k)
+    first = kept.withColumn("nth", F.row_number().over(Window.partitionBy("Project_Description").orderBy("ProjectID"))).where(F.col("nth") <= k)
+    hits = best.join(first, "Project_Description") \
+        .withColumn("rank", F.row_number().over(Window.partitionBy("_q").orderBy(F.desc("score"), "ProjectID")).cast("long")).where(F.col("rank") <= k)
+    return queries.select(qid, F.col(qtext).alias("_q")).join(hits, "_q").select(qid, "ProjectID", "score", "rank")
+
+
+def _unit(M: np.ndarray) -> np.ndarray:
+    n = np.linalg.norm(M, axis=1, keepdims=True)
+    n[n == 0] = 1.0
+    return M / n
 
 
 def _top_rows(qids: np.ndarray, Q: np.ndarray, cids: np.ndarray, C: np.ndarray, k: int) -> pd.DataFrame:
-    def unit(M: np.ndarray) -> np.ndarray:
-        n = np.linalg.norm(M, axis=1, keepdims=True)
-        n[n == 0] = 1.0
-        return M / n
-
-    S = np.round(unit(Q) @ unit(C).T, SCORE_PLACES)
-    kk = min(k, S.shape[1])
-    out_q, out_c, out_s, out_r = [], [], [], []
-    for i in range(S.shape[0]):
-        row = S[i]
-        if kk < row.shape[0]:
-            thr = np.partition(row, row.shape[0] - kk)[row.shape[0] - kk]
-            cand = np.nonzero(row >= thr)[0]
-        else:
-            cand = np.arange(row.shape[0])
-        order = cand[np.lexsort((cids[cand], -row[cand]))][:kk]
-        out_q.append(np.full(order.shape[0], qids[i]))
-        out_c.append(cids[order])
-        out_s.append(row[order])
-        out_r.append(np.arange(1, order.shape[0] + 1))
-    if not out_q:
-        return pd.DataFrame({"qid": [], "cid": [], "score": [], "rank": []})
-    return pd.DataFrame({"qid": np.concatenate(out_q).astype("int64"), "cid": np.concatenate(out_c).astype("int64"),
-                         "score": np.concatenate(out_s).astype("float64"),
-                         "rank": np.concatenate(out_r).astype("int64")})
+    """Best ``k`` corpus rows of each query; QUERY_TILE_ROWS queries are multiplied at a time."""
+    order = np.argsort(cids, kind="stable")  # among equal scores the smaller id comes first
+    cids, C = cids[order], _unit(C[order])
+    kk = min(k, len(cids))
+    parts = []
+    for at in range(0, len(qids), QUERY_TILE_ROWS if kk else 1 << 62):
+        S = np.round(_unit(Q[at:at + QUERY_TILE_ROWS]) @ C.T, SCORE_PLACES)
+        least = np.partition(S, len(cids) - kk, axis=1)[:, len(cids) - kk]
+        r, c = np.nonzero(S >= least[:, None])
+        by = np.lexsort((c, -S[r, c], r))
+        r, c = r[by], c[by]
+        rank = np.arange(len(r)) - np.searchsorted(r, r) + 1
+        keep = rank <= kk
+        parts.append(pd.DataFrame({"qid": qids[at + r[keep]], "cid": cids[c[keep]], "score": S[r[keep], c[keep]], "rank": rank[keep]}))
+    return pd.concat(parts) if parts else pd.DataFrame({"qid": [], "cid": [], "score": [], "rank": []})
 
 
 def top_k_similar(queries: DataFrame, corpus: DataFrame, k: int = 50, qid: str = "BriefID",
@@ -115,13 +154,6 @@ def top_k_similar(queries: DataFrame, corpus: DataFrame, k: int = 50, qid: str =
     return hits.select(F.col("qid").alias(qid), F.col("cid").alias(cid), "score", "rank")
 
 
-def brief_vectors(briefs: DataFrame, vectors: DataFrame, id_col: str = "vec_id",
-                  vec_col: str = "embedding") -> DataFrame:
-    """The query vector of each brief (stand-in for encoding its text)."""
-    v = vectors.select(F.col(id_col).alias("QueryVecID"), F.col(vec_col).alias("qvec"))
-    return briefs.select("BriefID", "QueryVecID").join(v, "QueryVecID").select("BriefID", "qvec")
-
-
 def similar_rows(similar: DataFrame, projects: DataFrame) -> DataFrame:
     """Project history rows of each brief's similar projects."""
     return similar.select("BriefID", "ProjectID").join(projects, "ProjectID")
@@ -234,12 +266,13 @@ def embed_text(docs: DataFrame, id_col: str, text_col: str, num_features: int =
 
 
 def similar_ivf(queries: DataFrame, corpus: DataFrame, k: int = 50, cells: int | None = None,
-                probe: int = 4, seed: int = 42, qid: str = "BriefID", qvec: str = "qvec",
+                probe: int | None = None, seed: int = 42, qid: str = "BriefID", qvec: str = "qvec",
                 cid: str = "ProjectID", cvec: str = "embedding") -> DataFrame:
     """V5: approximate neighbours for large corpora (inverted file).
 
     The corpus is split into ``cells`` by MLlib k-means on unit vectors (√N by
-    default); each query is routed to its ``probe`` nearest cells and scored
+    default); each query is routed to its ``probe`` nearest cells (by default three
+    quarters of them) and scored
     exactly against those cells only, inside the same blocked cogroup as V3
     (cells larger than ``CORPUS_BLOCK_ROWS`` are split, so a crowded cell is
     spread over several tasks).  Work per query is probe/cells of the exact
@@ -255,7 +288,7 @@ def similar_ivf(queries: DataFrame, corpus: DataFrame, k: int = 50, cells: int |
         c.select(array_to_vector("vec").alias("f")))
     centres = np.array([np.asarray(x, dtype=np.float64) for x in km.clusterCenters()])
     n_cells = centres.shape[0]
-    n_probe = max(1, min(probe, n_cells))
+    n_probe = max(1, min(probe or math.ceil(0.75 * n_cells), n_cells))
     assigned = km.transform(c.withColumn("f", array_to_vector("vec"))).select(
         "cid", "vec", F.col("cell").cast("int").alias("cell"))
     sizes = assigned.groupBy("cell").count()
@@ -268,10 +301,8 @@ def similar_ivf(queries: DataFrame, corpus: DataFrame, k: int = 50, cells: int |
             if pdf.empty:
                 continue
             Q = np.stack(pdf["vec"].to_numpy()).astype(np.float64)
-            norms = np.linalg.norm(Q, axis=1, keepdims=True)
-            norms[norms == 0] = 1.0
-            d2 = ((Q / norms)[:, None, :] - centres[None, :, :]) ** 2
-            near = np.argsort(d2.sum(axis=2), axis=1, kind="stable")[:, :n_probe]
+            far = (centres ** 2).sum(1) - 2 * _unit(Q) @ centres.T  # squared distance less a constant
+            near = np.argsort(far, axis=1, kind="stable")[:, :n_probe]
             yield pd.DataFrame({"qid": np.repeat(pdf["qid"].to_numpy(), n_probe).astype("int64"),
                                 "vec": np.repeat(pdf["vec"].to_numpy(), n_probe),
                                 "cell": near.reshape(-1).astype("int32")})

@@ -407,11 +407,9 @@ SELECT BriefID, BriefText, ok,
   CASE WHEN ok AND coalesce(json_extract_string(s, '$.project_description'), '') <> ''
        THEN json_extract_string(s, '$.project_description') ELSE BriefText END AS project_description
 FROM (
-  SELECT *, json_valid(s) AS ok, CASE WHEN json_valid(s) THEN json_extract(s, '$.required_skills') END AS rs
+  SELECT *, s <> '' AND json_valid(s) AS ok, CASE WHEN s <> '' AND json_valid(s) THEN json_extract(s, '$.required_skills') END AS rs
   FROM (SELECT BriefID, BriefText,
-               trim(regexp_replace(regexp_replace(regexp_replace(Reply, '```[A-Za-z]*', '', 'g'),
-                                                  '(?m)^\s*//.*$', '', 'g'),
-                                   '(?s)/\*.*?\*/', '', 'g')) AS s
+               trim(regexp_replace(regexp_extract(coalesce(Reply, ''), '(?s)\{.*\}'), '""" + X.REPLY_NOISE + r"""', '\1', 'g')) AS s
         FROM briefs) c) j
 """
 
@@ -476,14 +474,14 @@ def q_normalize(spark: SparkSession, d: str) -> DataFrame:
 
 
 def skill_holders(employees: DataFrame, skills: DataFrame, skill_col: str = "skill") -> DataFrame:
-    """X9 at scale: holders per requested skill string (a bounded vocabulary,
-    broadcast after a size check) among available employees."""
+    """X9 at scale: holders per requested skill string among available employees, by distinct
+    skills texts and distinct requests."""
     sk = skills.select(F.col(skill_col).alias("skill")).distinct()
-    sk_b = X._checked_broadcast(sk, X.MAX_VOCABULARY, "requested skills")
-    avail = A.available_staff(employees).select("EmployeeID", "Skills")
-    hits = (avail.join(sk_b, X.holds_skill(F.col("Skills"), F.col("skill")), "inner")
-            .groupBy("skill").agg(F.count(F.lit(1)).alias("holders")))
-    return sk.join(hits, "skill", "left").select("skill", F.coalesce("holders", F.lit(0)).cast("long").alias("holders"))
+    texts = A.available_staff(employees).groupBy(F.lower("Skills").alias("text")).agg(F.count(F.lit(1)).alias("people"))
+    wanted = sk.select("skill", F.lower(F.trim("skill")).alias("low"))
+    pairs = X.contained(texts.select("text"), "text", wanted.select("low").distinct(), "low")
+    hits = pairs.join(texts, "text").groupBy("low").agg(F.sum("people").alias("holders"))
+    return wanted.join(hits, "low", "left").select("skill", F.coalesce("holders", F.lit(0)).cast("long").alias("holders"))
 
 
 @register("skill_coverage", W(["employees"], [("canonical", CANONICAL_SQL)]) + """

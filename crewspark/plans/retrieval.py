@@ -21,15 +21,15 @@ INDEX_DOMAIN = "Finance"
 _TOK = "list_filter(list_transform(string_split({c}, ','), lambda t: trim(t)), lambda t: t <> '')"
 
 
+_TERMS = "SELECT t, token, count(*) AS tf FROM (SELECT t, unnest(regexp_extract_all(lower(t), '[a-z0-9+#]+')) AS token FROM ({texts}) x) y GROUP BY t, token"
+
+
 def _sim_sql(where: str = "") -> str:
     return f"""
 SELECT BriefID, ProjectID, score, rank FROM (
-  SELECT *, row_number() OVER (PARTITION BY BriefID ORDER BY score DESC, ProjectID) AS rank FROM (
-    SELECT q.BriefID, c.ProjectID,
-           round(list_dot_product(q.v, c.v) / (sqrt(list_dot_product(q.v, q.v)) * sqrt(list_dot_product(c.v, c.v))), 6)
-             AS score
-    FROM (SELECT p.BriefID, CAST(e.embedding AS DOUBLE[]) AS v FROM parsed p JOIN embeddings e ON p.QueryVecID = e.vec_id) q
-    CROSS JOIN (SELECT ProjectID, CAST(embedding AS DOUBLE[]) AS v FROM project_embeddings {where}) c) s) r
+  SELECT *, row_number() OVER (PARTITION BY BriefID ORDER BY score DESC, ProjectID) AS rank
+  FROM (SELECT p.BriefID, i.ProjectID, s.score FROM parsed p JOIN tsim s ON s.qt = p.project_description
+        JOIN (SELECT * FROM pindex {where}) i ON i.Project_Description = s.ct WHERE s.score > 0) h) r
 WHERE rank <= {K}"""
 
 
@@ -46,13 +46,22 @@ WHERE rank <= {n}"""
 
 # Oracle CTEs by name: (sql, dependencies).  Fixture views resolve through with_views.
 CTES: dict[str, tuple[str, list[str]]] = {
-    "parsed": (PARSED_SQL.replace("SELECT BriefID, BriefText, ok,", "SELECT BriefID, BriefText, QueryVecID, ok,")
-               .replace("FROM (SELECT BriefID, BriefText,", "FROM (SELECT BriefID, BriefText, QueryVecID,"),
-               ["briefs"]),
+    "parsed": (PARSED_SQL, ["briefs"]),
     "emp": (ENRICHED_SQL, ["employees", "projects"]),
     "canonical": (CANONICAL_SQL, ["employees"]),
     "canon_keys": (CANON_KEYS_SQL, ["canonical"]),
-    "sim": (_sim_sql(), ["parsed", "project_embeddings"]),
+    "pindex": ("SELECT ProjectID, min(Domain) AS Domain, min(Project_Description) AS Project_Description FROM projects GROUP BY ProjectID",
+               ["projects"]),
+    "cterms": (_TERMS.format(texts="SELECT DISTINCT Project_Description AS t FROM pindex WHERE Project_Description IS NOT NULL"), ["pindex"]),
+    "qterms": (_TERMS.format(texts="SELECT DISTINCT project_description AS t FROM parsed WHERE project_description IS NOT NULL"), ["parsed"]),
+    "idf": ("SELECT token, ln((1 + n) / (1 + count(*))) + 1 AS idf FROM cterms, (SELECT count(DISTINCT t) AS n FROM cterms) x GROUP BY token, n", ["cterms"]),
+    "cw": ("SELECT c.t, c.token, tf * idf AS w FROM cterms c JOIN idf ON idf.token = c.token", ["cterms", "idf"]),
+    "qw": ("SELECT q.t, q.token, tf * coalesce(idf, ln(1.0 + (SELECT count(DISTINCT t) FROM cterms)) + 1) AS w FROM qterms q LEFT JOIN idf ON idf.token = q.token",
+           ["qterms", "idf", "cterms"]),
+    "tsim": ("SELECT q.t AS qt, c.t AS ct, round(sum(q.w * c.w) / (any_value(qn.n) * any_value(cn.n)), 6) AS score FROM qw q JOIN cw c ON c.token = q.token "
+             "JOIN (SELECT t, sqrt(sum(w * w)) AS n FROM qw GROUP BY t) qn ON qn.t = q.t JOIN (SELECT t, sqrt(sum(w * w)) AS n FROM cw GROUP BY t) cn ON cn.t = c.t "
+             "GROUP BY q.t, c.t", ["qw", "cw"]),
+    "sim": (_sim_sql(), ["parsed", "tsim", "pindex"]),
     "simrows": ("SELECT s.BriefID, p.ProjectID, p.EmployeeID, p.Tech_Stack_Used, p.Domain "
              "FROM sim s JOIN projects p ON s.ProjectID = p.ProjectID", ["sim", "projects"]),
     "topn": (_topn_sql(8, False), ["simrows"]),
@@ -102,50 +111,67 @@ def chain(names: list[str]) -> str:
 def _ctx(spark: SparkSession, d: str):
     wf = Workforce(spark, d)
     emp = enriched_employees(wf)
-    return wf, emp, brief_context(wf.briefs, emp, wf.projects, wf.embeddings, k=K)
+    return wf, emp, brief_context(wf.briefs, emp, wf.projects, k=K)
 
 
-@register("embedding_index", chain(["project_embeddings"]) + """
-SELECT ProjectID, Domain, Project_Description, CAST(len(embedding) AS INT) AS dim,
-       round(sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])))
-             / sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))), 6) AS norm
-FROM project_embeddings""")
-def q_embedding_index(spark: SparkSession, d: str) -> DataFrame:
-    """Build the index, write it partitioned by Domain, read it back."""
-    wf = Workforce(spark, d)
+def _stored_index(spark: SparkSession, wf: Workforce) -> DataFrame:
+    """The index written partitioned by Domain and read back."""
     path = scratch_path(spark, "project-index")
-    V.build_index(wf.projects, wf.embeddings).write.mode("overwrite").partitionBy("Domain").parquet(path)
-    idx = spark.read.parquet(path)
-    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x))
-    return idx.select("ProjectID", "Domain", "Project_Description", F.size("embedding").alias("dim"),
-                      F.round(norm, 6).alias("norm"))
+    index = V.build_index(wf.projects)
+    index.write.partitionBy("Domain").parquet(path)
+    return spark.read.schema(index.schema).parquet(path)
+
+
+@register("embedding_index", chain(["pindex", "cw"]) + """
+SELECT i.ProjectID, i.Domain, i.Project_Description, coalesce(n.n_terms, 0) AS n_terms, n.norm
+FROM pindex i LEFT JOIN (SELECT t, count(*) AS n_terms, sqrt(sum(w * w)) AS norm FROM cw GROUP BY t) n ON n.t = i.Project_Description""",
+          round_cols=["norm"])
+def q_embedding_index(spark: SparkSession, d: str) -> DataFrame:
+    """Every project with its description's token weights (their number and norm)."""
+    idx = _stored_index(spark, Workforce(spark, d))
+    norms = V.index_weights(idx)[1]
+    return idx.join(norms, "Project_Description", "left").select(
+        "ProjectID", "Domain", "Project_Description", F.coalesce("n_terms", F.lit(0)).cast("long").alias("n_terms"), "norm")
 
 
 @register("similar_projects", chain(["sim"]) + "SELECT * FROM sim", bench=True)
 def q_similar(spark: SparkSession, d: str) -> DataFrame:
     wf = Workforce(spark, d)
-    parsed = wf.briefs
-    return V.top_k_similar(V.brief_vectors(parsed, wf.embeddings), V.build_index(wf.projects, wf.embeddings), k=K)
+    return V.top_k_by_text(X.parse_reply(wf.briefs), V.build_index(wf.projects), k=K)
 
 
 @register("similar_projects_in_domain",
-          chain(["parsed", "project_embeddings"]) + _sim_sql(f"WHERE Domain = '{INDEX_DOMAIN}'"))
+          chain(["parsed", "tsim", "pindex"]) + _sim_sql(f"WHERE Domain = '{INDEX_DOMAIN}'"))
 def q_similar_domain(spark: SparkSession, d: str) -> DataFrame:
     """V4: the per-domain collection is the index's Domain partition (partition-pruned read)."""
     wf = Workforce(spark, d)
-    path = scratch_path(spark, "project-index")
-    V.build_index(wf.projects, wf.embeddings).write.mode("overwrite").partitionBy("Domain").parquet(path)
-    idx = spark.read.parquet(path).where(F.col("Domain") == INDEX_DOMAIN)
-    return V.top_k_similar(V.brief_vectors(wf.briefs, wf.embeddings), idx, k=K)
+    return V.top_k_by_text(X.parse_reply(wf.briefs), _stored_index(spark, wf), k=K, within=INDEX_DOMAIN)
 
 
 @register("similar_project_rows", chain(["simrows"]) + "SELECT BriefID, ProjectID, EmployeeID FROM simrows")
 def q_similar_rows(spark: SparkSession, d: str) -> DataFrame:
     wf = Workforce(spark, d)
-    sim = V.top_k_similar(V.brief_vectors(wf.briefs, wf.embeddings), V.build_index(wf.projects, wf.embeddings), k=K)
+    sim = V.top_k_by_text(X.parse_reply(wf.briefs), V.build_index(wf.projects), k=K)
     return V.similar_rows(sim, wf.projects).select("BriefID", "ProjectID", "EmployeeID")
 
 
+def vector_queries(vectors: DataFrame) -> DataFrame:
+    """The query set of the vector searches: every row whose id is divisible by 100."""
+    return vectors.where(F.col("vec_id") % 100 == 0).select("vec_id", F.col("embedding").alias("qvec"))
+
+
+@register("similar_vectors", f"""
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, neighbour) AS rank FROM (
+  SELECT q.vec_id, c.vec_id AS neighbour,
+    round(list_dot_product(q.v, c.v) / (sqrt(list_dot_product(q.v, q.v)) * sqrt(list_dot_product(c.v, c.v))), 6) AS score
+  FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id % 100 = 0) q, (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings) c) s) r
+WHERE rank <= {K}""")
+def q_similar_vectors(spark: SparkSession, d: str) -> DataFrame:
+    """V3 on given vectors: exact nearest neighbours by the blocked product."""
+    vectors = Workforce(spark, d).embeddings
+    return V.top_k_similar(vector_queries(vectors), vectors.withColumnRenamed("vec_id", "neighbour"), k=K, qid="vec_id", cid="neighbour")
+
+
 @register("similar_tech_topn", chain(["topn"]) + "SELECT BriefID, token, cnt, rank FROM topn")
 def q_topn(spark: SparkSession, d: str) -> DataFrame:
     _, _, ctx = _ctx(spark, d)
@@ -191,8 +217,8 @@ def q_project_fit(spark: SparkSession, d: str) -> DataFrame:
 
 @register("budget_heuristic", chain(["bud"]) + "SELECT * FROM bud")
 def q_budget(spark: SparkSession, d: str) -> DataFrame:
-    _, _, ctx = _ctx(spark, d)
-    return ctx.budget
+    wf = Workforce(spark, d)
+    return TM.budget_heuristic(X.parse_reply(wf.briefs).select("BriefID", "max_budget_per_hour"), wf.employees).select("BriefID", "budget")
 
 
 @register("candidate_scores", chain(["fit", "emp"]) + """
@@ -218,10 +244,10 @@ def q_embed_text(spark: SparkSession, d: str) -> DataFrame:
 
 @register("similar_projects_ann", None)
 def q_similar_ann(spark: SparkSession, d: str) -> DataFrame:
-    """V5: approximate neighbours (inverted file over k-means cells, 4 cells probed);
-    rows-only, recall against V3 is tested."""
-    wf = Workforce(spark, d)
-    return V.similar_ivf(V.brief_vectors(wf.briefs, wf.embeddings), V.build_index(wf.projects, wf.embeddings), k=K)
+    """V5: approximate neighbours (inverted file over k-means cells); rows-only, recall
+    against V3 is tested."""
+    vectors = Workforce(spark, d).embeddings
+    return V.similar_ivf(vector_queries(vectors), vectors.withColumnRenamed("vec_id", "neighbour"), k=K, qid="vec_id", cid="neighbour")
 
 
 @register("phrase_skills_of_description", chain(["parsed"]) +

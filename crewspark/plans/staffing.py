@@ -321,15 +321,11 @@ def q_reenrich(spark: SparkSession, d: str) -> DataFrame:
                     CASE WHEN u.__hit THEN u.Project_Description ELSE t.Project_Description END AS Project_Description
              FROM projects t FULL OUTER JOIN (SELECT *, true AS __hit FROM project_updates) u
                ON t.ProjectID = u.ProjectID AND t.EmployeeID = u.EmployeeID)
-SELECT e.vec_id AS ProjectID, p.Domain, p.Project_Description, CAST(len(e.embedding) AS INT) AS dim
-FROM embeddings e JOIN (SELECT ProjectID, min(Domain) AS Domain, min(Project_Description) AS Project_Description
-                        FROM merged GROUP BY ProjectID) p ON e.vec_id = p.ProjectID""")
+SELECT ProjectID, min(Domain) AS Domain, min(Project_Description) AS Project_Description FROM merged GROUP BY ProjectID""")
 def q_reindex(spark: SparkSession, d: str) -> DataFrame:
-    """Merge project updates, then rebuild the vector index from the merged history."""
+    """Merge project updates, then rebuild the index from the merged history."""
     from ..operators import merge as M
     from ..operators import similarity as V
 
     wf = Workforce(spark, d)
-    merged = M.upsert(wf.projects, wf.project_updates, ["ProjectID", "EmployeeID"])
-    idx = V.build_index(merged, wf.embeddings)
-    return idx.select("ProjectID", "Domain", "Project_Description", F.size("embedding").alias("dim"))
+    return V.build_index(M.upsert(wf.projects, wf.project_updates, ["ProjectID", "EmployeeID"]))

@@ -57,7 +57,8 @@ SELECT s_suppkey AS EmployeeID,
          {_pick(_SK, '1 + (s_suppkey * 3 + 0) % 20')},
          {_pick(_SK, '1 + (s_suppkey * 3 + 7) % 20')},
          {_pick(_SK, '1 + (s_suppkey * 3 + 14) % 20')},
-         CASE WHEN s_suppkey % 2 = 0 THEN {_pick(_SK, '1 + (s_suppkey * 3 + 21) % 20')} END) AS Skills,
+         CASE WHEN s_suppkey % 2 = 0 THEN {_pick(_SK, '1 + (s_suppkey * 3 + 21) % 20')} END,
+         CASE WHEN s_suppkey % 24 = 0 THEN 'COBOL' END) AS Skills,
        round(20 + (s_acctbal + 1000) * 120 / 11000, 2) AS Cost_per_Hour
 FROM supplier
 """
@@ -107,15 +108,20 @@ _REPLY_SKILLS = f"""CASE WHEN c_custkey % 3 = 0
                              ELSE lower({_pick(_SK, '1 + (c_custkey * 3 + 7) % 20')}) END, '"]') END"""
 
 BRIEFS_SQL = f"""
-SELECT BriefID, BriefText, QueryVecID,
+SELECT BriefID, BriefText,
        CASE WHEN BriefID % 13 = 0 THEN substring(body, 1, 40)
             WHEN BriefID % 7 = 0 THEN concat('```json', chr(10), body, chr(10), '```')
             WHEN BriefID % 11 = 0 THEN concat('// extracted fields', chr(10), body)
+            WHEN BriefID % 19 = 5 THEN concat('Here are the fields:', chr(10), '```json', chr(10),
+              replace(body, ', "max_budget_per_hour"', concat(', // skills', chr(10), ' "max_budget_per_hour"')), chr(10), '```', chr(10), 'Anything else?')
+            WHEN BriefID % 23 = 7 THEN '42'
+            WHEN BriefID % 29 = 11 THEN '["Go"]'
+            WHEN BriefID % 31 = 9 THEN replace(body, 'Build a', 'Build /* kept */ a // kept')
+            WHEN BriefID % 37 = 4 THEN replace(body, '"required_skills": ', '"required_skills": ["COBOL"], "alternatives": ')
             ELSE body END AS Reply
 FROM (
   SELECT c_custkey AS BriefID,
          {_BRIEF_TEXT} AS BriefText,
-         CAST(c_custkey % 500 AS BIGINT) AS QueryVecID,
          concat('{{"required_skills": ', {_REPLY_SKILLS},
                 ', "max_budget_per_hour": ',
                 CASE WHEN c_custkey % 5 = 0 THEN 'null' ELSE CAST(150 + c_custkey % 350 AS STRING) END,
@@ -124,13 +130,6 @@ FROM (
 ) b
 """
 
-PROJECT_EMBEDDINGS_SQL = """
-SELECT e.vec_id AS ProjectID, e.embedding, p.Domain, p.Project_Description
-FROM embeddings e
-JOIN (SELECT ProjectID, min(Domain) AS Domain, min(Project_Description) AS Project_Description
-      FROM projects GROUP BY ProjectID) p ON e.vec_id = p.ProjectID
-"""
-
 # Upsert source: busy people come back available at a higher rate, and every
 # QA engineer brings a new hire (new key) with the same profile.
 EMPLOYEE_UPDATES_SQL = """
@@ -171,7 +170,6 @@ VIEW_SQL = {
     "employees": EMPLOYEES_SQL,
     "projects": PROJECTS_SQL,
     "briefs": BRIEFS_SQL,
-    "project_embeddings": PROJECT_EMBEDDINGS_SQL,
     "employee_updates": EMPLOYEE_UPDATES_SQL,
     "project_updates": PROJECT_UPDATES_SQL,
     "employee_versions": EMPLOYEE_VERSIONS_SQL,
@@ -181,7 +179,6 @@ VIEW_DEPS = {
     "employees": [],
     "projects": [],
     "briefs": [],
-    "project_embeddings": ["projects"],
     "employee_updates": ["employees"],
     "project_updates": ["projects"],
     "employee_versions": ["employees", "employee_updates"],
@@ -242,7 +239,6 @@ class Workforce:
             "employees": ["supplier"],
             "projects": ["lineitem", "orders"],
             "briefs": ["customer"],
-            "project_embeddings": ["embeddings", "lineitem", "orders"],
             "employee_updates": ["supplier"],
             "project_updates": ["lineitem", "orders"],
             "employee_versions": ["supplier"],
@@ -267,10 +263,10 @@ class Workforce:
             if name in PARTITION_BY:
                 w = w.partitionBy(PARTITION_BY[name])
             w.parquet(path)
-            hit = _WRITTEN[key] = (path, df.columns)
-        path, cols = hit
-        # keep the view's column order (a partition column is read back last)
-        return self.spark.read.parquet(path).select(*cols)
+            hit = _WRITTEN[key] = (path, df.schema)
+        path, schema = hit
+        # the view's types and column order (a partition column is read back last)
+        return self.spark.read.schema(schema).parquet(path).select(*schema.names)
 
     @property
     def employees(self) -> DataFrame:
@@ -284,10 +280,6 @@ class Workforce:
     def briefs(self) -> DataFrame:
         return self.view("briefs")
 
-    @property
-    def project_embeddings(self) -> DataFrame:
-        return self.view("project_embeddings")
-
     @property
     def employee_updates(self) -> DataFrame:
         return self.view("employee_updates")

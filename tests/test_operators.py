@@ -18,7 +18,7 @@ from crewspark.operators import similarity as V
 from crewspark.session import scratch_path
 from crewspark.sources import tables as TB
 from crewspark.sources.fixtures import Workforce
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_MID, SF_SMALL
 
 EMP_DDL = ("EmployeeID long, Name string, Age int, Role string, Domain_Expertise string, Availability string, "
            "Skills string, Cost_per_Hour double")
@@ -198,26 +198,25 @@ def test_silhouette_needs_more_rows_than_clusters(spark):
 def test_top_k_blocks_agree(spark, monkeypatch):
     """Splitting the corpus into several blocks gives the same neighbours as one block."""
     wf = Workforce(spark, SF_SMALL)
-    q = V.brief_vectors(wf.briefs, wf.embeddings)
-    idx = V.build_index(wf.projects, wf.embeddings)
+    idx = wf.embeddings.withColumnRenamed("vec_id", "ProjectID")
+    q = wf.embeddings.where("vec_id % 7 = 0").select(F.col("vec_id").alias("BriefID"), F.col("embedding").alias("qvec"))
     one = {tuple(r) for r in V.top_k_similar(q, idx, k=10).collect()}
     monkeypatch.setattr(V, "CORPUS_BLOCK_ROWS", 50)
     monkeypatch.setattr(V, "QUERY_BLOCK_ROWS", 20)
+    monkeypatch.setattr(V, "QUERY_TILE_ROWS", 7)
     many = {tuple(r) for r in V.top_k_similar(q, idx, k=10).collect()}
-    assert one == many and len(one) == 10 * wf.briefs.count()
+    assert one == many and len(one) == 10 * q.count()
 
 
 def test_ivf_recall_and_exact_when_all_cells_probed(spark):
-    wf = Workforce(spark, SF_SMALL)
-    q = V.brief_vectors(wf.briefs, wf.embeddings)
-    idx = V.build_index(wf.projects, wf.embeddings)
-    exact = {tuple(r) for r in V.top_k_similar(q, idx, k=10).collect()}
-    every = {tuple(r) for r in V.similar_ivf(q, idx, k=10, cells=6, probe=6).collect()}
-    assert every == exact
+    wf = Workforce(spark, SF_MID)
+    idx = wf.embeddings.withColumnRenamed("vec_id", "ProjectID")
+    q = wf.embeddings.where("vec_id % 10 = 0").select(F.col("vec_id").alias("BriefID"), F.col("embedding").alias("qvec"))
+    exact = {tuple(r) for r in V.top_k_similar(q, idx, k=50).collect()}
+    assert {tuple(r) for r in V.similar_ivf(q, idx, k=50, cells=6, probe=6).collect()} == exact
     pairs = {(r[0], r[1]) for r in exact}
-    approx = {(r[0], r[1]) for r in V.similar_ivf(q, idx, k=10, cells=6, probe=4).select("BriefID", "ProjectID").collect()}
-    assert len(pairs & approx) / len(pairs) >= 0.6
-
+    approx = {(r[0], r[1]) for r in V.similar_ivf(q, idx, k=50).select("BriefID", "ProjectID").collect()}
+    assert len(approx) == len(pairs) and len(pairs & approx) / len(pairs) >= 0.8
 
 def test_embed_text_unit_vectors(spark):
     docs = spark.createDataFrame([(1, "spark and delta"), (2, "spark spark"), (3, "")], "id long, t string")
@@ -235,3 +234,83 @@ def test_project_fit_salting_does_not_change_result(spark):
     many = sorted(tuple(r) for r in V.project_fit(fit, dom, emp, 0.3, salt_buckets=5).collect())
     assert one == many
     assert one == [(1, 10, 1.3), (1, 11, 0.5), (1, 13, 0.3), (2, 12, 1.0), (3, 14, 0.3)]
+
+
+def test_index_holds_every_project_and_merged_ones(spark):
+    import __spark_entry__ as entry
+
+    wf = Workforce(spark, SF_SMALL)
+    assert entry.queries()["embedding_index"](spark, SF_SMALL).count() == wf.projects.select("ProjectID").distinct().count()
+    assert entry.queries()["reindex_after_merge"](spark, SF_SMALL).where("ProjectID >= 10000000").count() > 0
+
+
+def test_consecutive_ids_of_many_rows(spark):
+    """Two million rows with a payload: the plan's consumers must read one numbering."""
+    from crewspark.operators.lifecycle import consecutive_ids
+    from crewspark.session import written
+
+    n = 2_000_000
+    rows = spark.range(n).select(((F.col("id") * 7919) % n).alias("k"), F.concat(F.lit("name "), "id").alias("name"))
+    got = written(consecutive_ids(rows, "k", 5001, "seq"), "many-ids")
+    assert tuple(got.agg(F.count_distinct("seq"), F.min("seq"), F.max("seq")).first()) == (n, 5001, 5000 + n)
+    assert got.where(F.col("seq") != F.col("k") + 5001).count() == 0
+
+
+def test_versioned_table_refuses_to_lose_data(spark, tmp_path):
+    import os
+
+    from crewspark.sources import tables as TB
+
+    t = TB.VersionedTable(spark, str(tmp_path / "t"), partition_col="Domain")
+    first = spark.createDataFrame([(i, "00%d" % (i % 3 + 5), i) for i in range(60)], "id long, Domain string, n int")
+    t.overwrite(first)
+    assert {r["Domain"] for r in t.read().collect()} == {"005", "006", "007"}
+    t.merge(spark.createDataFrame([(1, "006", 100), (99, "007", 1)], "id long, Domain string, n int"), ["id"])
+    assert {(r["id"], r["n"]) for r in t.read().collect() if r["id"] in (1, 99)} == {(1, 100), (99, 1)}
+    assert t.read(0).count() == 60 and t.read().count() == 61
+    t.compact(["n"], files_per_partition=3)
+    version = t.latest_version()
+    for domain in ("005", "006", "007"):
+        folder = tmp_path / "t" / "data" / f"version={version}" / f"Domain={domain}"
+        files = [f for f in os.listdir(folder) if f.endswith(".parquet")]
+        assert 2 <= len(files) <= 4
+        for f in files:
+            ns = [r["n"] for r in spark.read.parquet(str(folder / f)).collect()]
+            assert ns == sorted(ns) and len(ns) < 20
+    os.rename(tmp_path / "t" / "_history", tmp_path / "t" / "_gone")
+    with pytest.raises(ValueError):
+        t.append(first.limit(1))
+    with pytest.raises(ValueError):
+        t.history()
+
+
+@pytest.mark.parametrize("reply,skills,budget,ok", [
+    ('{"required_skills": ["Go"], // main\n "max_budget_per_hour": 90}', ["Go"], 90.0, True),
+    ('Sure:\n```json\n{"required_skills": "Go", "max_budget_per_hour": 5}\n```\nDone // bye', ["Go"], 5.0, True),
+    ('{"required_skills": ["C // C++"], "max_budget_per_hour": 1, "project_description": "a ```b``` /* c */ http://d"}', ["C // C++"], 1.0, True),
+    ("42", [], 300.0, False), ('["Go"]', [], 300.0, False), ('{"required_skills": ["Go"', [], 300.0, False), (None, [], 300.0, False),
+])
+def test_replies_with_comments_and_prose(spark, reply, skills, budget, ok):
+    from crewspark.functions import skills as X
+
+    r = X.parse_reply(spark.createDataFrame([(1, "a site for $300/hour", reply)], "BriefID long, BriefText string, Reply string")).first()
+    assert (r["required_skills"], r["max_budget_per_hour"], r["reply_parsed"]) == (skills, budget, ok)
+    if reply and "```b```" in reply:
+        assert r["project_description"] == "a ```b``` /* c */ http://d"
+
+
+def test_team_rules(spark):
+    """A size cap of 0 means none, and more than 63 required skills are no special case."""
+    from crewspark.operators import teams as TM
+
+    many = ", ".join(f"skill{i}x" for i in range(70))
+    emp = spark.createDataFrame([(1, "Available", 10.0, 40, "a, b", "HR", 0.5), (2, "Available", 20.0, 20, many, "IT", 1.0), (3, "Busy", 1.0, 50, "zz", "IT", 1.0)],
+                                "EmployeeID long, Availability string, Cost_per_Hour double, Age int, Skills string, Domain_Expertise string, Avg_Performance double")
+    briefs = spark.createDataFrame([(1, 30.0, many.split(", "), ["a"], "IT"), (2, 29.0, ["a"], ["zz", "q"], "HR"), (3, 10.0, ["zz"], [], None), (4, 40.0, [" A "], [], None)],
+                                   "BriefID long, budget double, explicit array<string>, soft array<string>, Domain string")
+    members = spark.createDataFrame([(b, "given", e) for b in (1, 2, 3, 4) for e in ((1, 2) if b < 4 else (3,))], "BriefID long, source string, EmployeeID long")
+    got = {r["BriefID"]: r for r in TM.evaluate_teams(members, briefs, emp, TM.TeamParams(max_team_size=0)).collect()}
+    assert {b: r["status"] for b, r in got.items()} == {1: "ok", 2: "ok_relaxed", 3: "skill_absent", 4: "no_members"}
+    assert got[1]["objective"] == (2 * 500 + 3 * 300 + 2 * 1000) / 1000
+    capped = {r["BriefID"]: r["status"] for r in TM.evaluate_teams(members, briefs, emp, TM.TeamParams(max_team_size=1)).collect()}
+    assert capped[1] == "ok_relaxed"
