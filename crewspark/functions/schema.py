@@ -17,7 +17,6 @@ EMPLOYEES = T.StructType([
     T.StructField("Cost_per_Hour", T.DoubleType()),
 ])
 
-EMPLOYEES_ENRICHED = T.StructType(EMPLOYEES.fields + [T.StructField("Avg_Performance", T.DoubleType())])
 
 PROJECTS = T.StructType([
     T.StructField("ProjectID", T.LongType()),

@@ -82,7 +82,7 @@ def cost_per_role(employees: DataFrame) -> DataFrame:
     return (employees.groupBy("Role")
             .agg(F.count("EmployeeID").alias("Number_of_Employees"),
                  F.avg("Cost_per_Hour").cast("decimal(10,2)").alias("Average_Hourly_Cost"))
-            .orderBy(F.col("Average_Hourly_Cost").desc()))
+            .orderBy(F.col("Average_Hourly_Cost").desc(), "Role"))
 
 
 def top_roles(employees: DataFrame) -> DataFrame:
@@ -93,7 +93,7 @@ def top_roles(employees: DataFrame) -> DataFrame:
 def avg_perf_by_role(employees: DataFrame) -> DataFrame:
     """A6 (employees must be enriched)."""
     return (employees.groupBy("Role").agg(F.avg("Avg_Performance").alias("avg_perf"))
-            .orderBy(F.col("avg_perf").desc()))
+            .orderBy(F.col("avg_perf").desc(), "Role"))
 
 
 def domain_staff_counts(employees: DataFrame) -> DataFrame:
@@ -114,13 +114,6 @@ def next_project_id(projects: DataFrame) -> DataFrame:
     return projects.agg((F.coalesce(F.max("ProjectID"), F.lit(5000)) + 1).alias("next_project_id"))
 
 
-def median_available_cost(employees: DataFrame):
-    """A10: exact median (linear interpolation) of available people's cost, as a scalar subquery."""
-    return (available_staff(employees)
-            .select(F.percentile(coerce_numeric("Cost_per_Hour"), F.lit(0.5)).alias("med"))
-            .scalar())
-
-
 def cost_histogram(employees: DataFrame, bins: int = 25) -> DataFrame:
     """Equal-width histogram between min and max cost, empty bins included."""
     # one scalar subquery returning both statistics (a single aggregate pass)
@@ -201,9 +194,3 @@ def run_sql(spark: SparkSession, sql: str, **views: DataFrame) -> DataFrame:
     """Q1: ad-hoc SQL over registered views; the result stays a DataFrame."""
     register_views(spark, **views)
     return spark.sql(sql)
-
-
-def rank_within(df: DataFrame, part: list[str], order: list, n: int, name: str = "rank") -> DataFrame:
-    """Top ``n`` rows per group by ``row_number`` (planned as a window group limit)."""
-    w = Window.partitionBy(*part).orderBy(*order)
-    return df.withColumn(name, F.row_number().over(w)).where(F.col(name) <= n)

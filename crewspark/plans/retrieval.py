@@ -221,15 +221,21 @@ def q_budget(spark: SparkSession, d: str) -> DataFrame:
     return TM.budget_heuristic(X.parse_reply(wf.briefs).select("BriefID", "max_budget_per_hour"), wf.employees).select("BriefID", "budget")
 
 
-@register("candidate_scores", chain(["fit", "emp"]) + """
-SELECT f.BriefID, f.EmployeeID, f.fit, a.perf,
-       CAST(3 * round_even(f.fit * 1000, 0) + 2 * round_even(a.perf * 1000, 0) AS BIGINT) AS score
-FROM fit f JOIN (SELECT EmployeeID, greatest(0.0, least(1.0, coalesce(Avg_Performance, 0.0))) AS perf
-                 FROM emp WHERE Availability = 'Available') a ON f.EmployeeID = a.EmployeeID""",
+@register("candidate_scores", chain(["bf", "bdom", "emp", "parsed"]).rstrip() + """
+, cand AS (SELECT BriefID, EmployeeID FROM bf
+           UNION SELECT p.BriefID, f.EmployeeID FROM parsed p,
+             (SELECT EmployeeID FROM emp WHERE Availability = 'Available' ORDER BY Cost_per_Hour, EmployeeID LIMIT 3) f),
+scored AS (SELECT c.BriefID, c.EmployeeID, coalesce(bf.base_fit, 0.0) + CASE WHEN a.Domain_Expertise = d.Domain THEN 0.3 ELSE 0.0 END AS fit,
+             greatest(0.0, least(1.0, coalesce(a.Avg_Performance, 0.0))) AS perf
+           FROM cand c JOIN (SELECT * FROM emp WHERE Availability = 'Available') a ON a.EmployeeID = c.EmployeeID
+           LEFT JOIN bf ON bf.BriefID = c.BriefID AND bf.EmployeeID = c.EmployeeID LEFT JOIN bdom d ON d.BriefID = c.BriefID)
+SELECT BriefID, EmployeeID, fit, perf, CAST(3 * round_even(fit * 1000, 0) + 2 * round_even(perf * 1000, 0) AS BIGINT) AS score FROM scored""",
           round_cols=["fit", "perf"], bench=True)
 def q_candidate_scores(spark: SparkSession, d: str) -> DataFrame:
-    wf, emp, ctx = _ctx(spark, d)
-    return TM.candidate_scores(ctx.fit(emp), emp)
+    """Members of similar projects and the fallback team of every brief, scored."""
+    _, emp, ctx = _ctx(spark, d)
+    listed = ctx.base_fit.select("BriefID", "EmployeeID").unionByName(TM.fallback_members(ctx.parsed, emp).select("BriefID", "EmployeeID"))
+    return TM.candidate_scores(listed, ctx.base_fit, ctx.domain, emp)
 
 
 @register("embed_text", None)
