@@ -138,20 +138,27 @@ class VersionedTable:
     def compact(self, sort_cols: list[str] | None = None, files_per_partition: int = 4) -> int:
         """Rewrite the latest snapshot with fewer files, clustered by ``sort_cols``.
 
-        Rows are dealt by ranges of (partition value, sort columns) into about
-        ``files_per_partition`` tasks for each partition value, so that no task holds a whole
-        value of many rows, and sorted in each task after that shuffle.
+        Each partition value is cut into ``files_per_partition`` slots, at approximate
+        percentiles of the first sort column if that is a number, else by a hash.  A slot
+        is one task's (so a value of many rows is not) and at most one file; rows are
+        sorted in each task after that shuffle.
         """
         df = self.read()
         cols = [c for c in (sort_cols or []) if c in df.columns]
         pc = self.partition_col if self.partition_col in df.columns else None
-        by = ([pc] if pc else []) + cols
-        if pc and not cols:
-            df = df.withColumn("_spread", F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition)))
-            by = [pc, "_spread"]
-        if by:
-            n = files_per_partition * (df.select(F.count_distinct(pc)).first()[0] if pc else 1)
-            df = df.repartitionByRange(max(1, n), *by).sortWithinPartitions(*by).drop("_spread")
+        if pc:
+            n = max(1, files_per_partition)
+            numeric = cols and isinstance(df.schema[cols[0]].dataType, T.NumericType)
+            if n > 1 and numeric:
+                cuts = df.groupBy(F.col(pc).alias("_value")).agg(F.percentile_approx(cols[0], [i / n for i in range(1, n)]).alias("_cuts"))
+                df = df.join(cuts, F.col(pc).eqNullSafe(F.col("_value"))).withColumn("_slot", F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col(cols[0]))), F.lit(0)))
+                df = df.drop("_value", "_cuts")
+            else:
+                df = df.withColumn("_slot", F.pmod(F.xxhash64(*(cols or df.columns)), F.lit(n)).cast("int"))
+            slots = n * max(1, df.select(pc).distinct().count())
+            df = df.repartitionByRange(slots, pc, "_slot").sortWithinPartitions(pc, *cols).drop("_slot")
+        elif cols:
+            df = df.repartitionByRange(files_per_partition, *cols).sortWithinPartitions(*cols)
         else:
             df = df.coalesce(files_per_partition)
         return self._commit(df, "OPTIMIZE", None, {"sortColumns": ",".join(cols)})
