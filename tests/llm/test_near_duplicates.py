@@ -86,7 +86,7 @@ def brute_vectors(rows, threshold=0.98):
     for i, label, e in rows:
         if label is None or e is None or not e or any(x is None or not np.isfinite(x) for x in e) or not any(e):
             continue
-        ok[i] = (label, np.array(e, float))
+        ok[i] = (label, np.array(e, float) / max(abs(x) for x in e))
     ids = sorted(ok)
     edges = []
     for n, a in enumerate(ids):
