@@ -13,10 +13,9 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..session import scratch_path
@@ -26,43 +25,82 @@ from .slices import WHITE, SliceCache, some_texts
 END_ID = 2
 SCHEMA = "doc_id long, n_tokens int, ids array<int>"
 LETTERS = (np.arange(256) >= ord("a")) & (np.arange(256) <= ord("z"))
-CLOSING = np.isin(np.arange(256), list(b".,;:!?)"))
+#: ASCII punctuation that always ends a run of letters and begins a part of its own (an apostrophe may not).
+MARKS = np.array([32 < c < 127 and not chr(c).isalnum() and chr(c) != "'" for c in range(256)])
 
 
 class WordEncoder(SliceCache):
     """Ids of whole texts by the tokenizers library, a word at a time.
 
     The tokenizer file drops white space, cuts letters from punctuation and lower-cases, so a
-    text's ids are those of its parts cut at ASCII white space and between an ASCII letter and
-    closing punctuation, with A-Z lower-cased.  The library encodes each different part once.
+    text's ids are those of its parts cut at ASCII white space and between a letter and
+    punctuation, with letters of the Latin-1 range lower-cased.  The library encodes each different part once.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # the file's model alone: what the other steps make of a-z words is those words
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.ends_word = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.ends_word[i] = token.endswith("</w>")
         super().__init__()
 
+    def words(self, tokenizer, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words that are one unit each to the tokenizer, many of them in one call.
+
+        A unit's last id, and no other, is of a token that ends a word.
+        """
+        lines = [" ".join(words[at:at + 200]) for at in range(0, len(words), 200)]
+        ids = np.array([i for e in tokenizer.encode_batch_fast(lines, add_special_tokens=False) for i in e.ids], np.int64)
+        last = np.flatnonzero(self.ends_word[ids])
+        if len(last) != len(words):
+            raise ValueError("the tokenizer's model does not mark the ends of words")
+        return ids, np.diff(last, prepend=-1)
+
     def make(self, slices):
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast([s.decode("utf-8") for s in slices], add_special_tokens=False)]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        return np.fromiter((i for x in ids for i in x), np.int64, int(sizes.sum())), sizes
+        texts = [s.decode("utf-8") for s in slices]
+        kind = np.fromiter((0 if s.isalpha() else 1 if t.isalpha() and max(t) < "\u0100" else 2 for s, t in zip(slices, texts)), np.int64, len(slices))
+        sizes, parts = np.zeros(len(slices), np.int64), []
+        for k, tokenizer in enumerate((self.plain, self.tokenizer)):
+            at = np.flatnonzero(kind == k)
+            ids, sizes[at] = self.words(tokenizer, [texts[i] for i in at.tolist()])
+            parts.append((at, ids))
+        at = np.flatnonzero(kind == 2)
+        each = [e.ids for e in self.tokenizer.encode_batch_fast([texts[i] for i in at.tolist()], add_special_tokens=False)]
+        sizes[at] = [len(x) for x in each]
+        parts.append((at, np.array([i for x in each for i in x], np.int64)))
+        out = np.empty(sizes.sum(), np.int64)
+        owner = np.repeat(kind, sizes)
+        for k, (_, ids) in enumerate(parts):
+            out[owner == k] = ids
+        return out, sizes
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and how many come before each text and in all."""
         raw = [t.encode("utf-8").lower() for t in texts]  # bytes.lower() changes A-Z only
-        data = b"\n".join(raw)
+        code = np.frombuffer(b"\n".join(raw), np.uint8).copy()
         opens = np.concatenate([[0], np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)) + 1)])
-        code = np.frombuffer(data, np.uint8)
         if not len(code):
             return np.empty(0, np.int64), np.zeros(len(texts) + 1, np.int64)
-        inside = ~WHITE[code]
+        # U+00C0 to U+00FF: two bytes, the first 0xC3; all letters but the signs for times and division
+        second = np.flatnonzero(code[:-1] == 0xC3) + 1
+        sign = (code[second] == 0x97) | (code[second] == 0xB7)
+        capital = second[(code[second] < 0x9F) & ~sign]
+        code[capital] += 0x20
+        inside, letter, mark = ~WHITE[code], LETTERS[code], MARKS[code]
+        ends_letter = letter.copy()
+        ends_letter[second[~sign]] = True
         joined = np.zeros(len(code) + 1, bool)  # no cut before this byte
-        joined[1:-1] = inside[:-1] & inside[1:] & ~(LETTERS[code[:-1]] & CLOSING[code[1:]])
+        joined[1:-1] = inside[:-1] & inside[1:] & ~(ends_letter[:-1] & mark[1:]) & ~(mark[:-1] & letter[1:])
         begin = np.flatnonzero(inside & ~joined[:-1])
         end = np.flatnonzero(inside & ~joined[1:]) + 1
+        data = code.tobytes()
         ids, _, total = self.gather(self.entries(data, begin, end))
         return ids, total[np.searchsorted(begin, opens)]
 
@@ -79,17 +117,22 @@ def word_bpe_path() -> str:
 
 
 def encoded(path: str | None, end_id: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """mapInArrow function over (doc_id, text): rows of the files."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from crewspark.llm import token_orc  # the module's own copy keeps its caches between tasks
 
         coder = token_orc.word_encoder(path or token_orc.word_bpe_path())
-        for pdf in batches:
-            texts = [t or "" for t in pdf["text"]]
+        for batch in batches:
+            texts = [t or "" for t in batch.column(1).to_pylist()]
             for at, to in some_texts(texts):
                 ids, before = coder.encode(texts[at:to])
-                ids = ids.astype(np.int32)
-                rows = [np.append(ids[b:e], np.int32(end_id)) for b, e in zip(before[:-1], before[1:])]
-                yield pd.DataFrame({"doc_id": pdf["doc_id"].iloc[at:to].to_numpy(), "n_tokens": [len(r) for r in rows], "ids": rows})
+                sizes = np.diff(before) + 1
+                ends = np.cumsum(sizes)
+                flat = np.full(ends[-1], end_id, np.int32)
+                flat[np.arange(len(ids)) + np.repeat(np.arange(len(sizes)), sizes - 1)] = ids
+                rows = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(flat))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, to - at), pa.array(sizes.astype(np.int32)), rows], ["doc_id", "n_tokens", "ids"])
 
     return run
 
@@ -105,7 +148,7 @@ def write_token_ids(docs: DataFrame, out: str, path: str | None = None, end_id:
     """
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
     options = {"compression": "zstd", "orc.create.index": "true", "orc.row.index.stride": str(stride), "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": str(fpp)}
-    ordered.mapInPandas(encoded(path, end_id), SCHEMA).write.options(**options).orc(out)
+    ordered.mapInArrow(encoded(path, end_id), SCHEMA).write.options(**options).orc(out)
 
 
 def read_token_ids(spark: SparkSession, path: str, doc_ids: list[int] | None = None) -> DataFrame:
@@ -114,10 +157,14 @@ def read_token_ids(spark: SparkSession, path: str, doc_ids: list[int] | None = N
     return rows if doc_ids is None else rows.where(F.col("doc_id").isin(doc_ids))
 
 
-def digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        ids = [np.asarray(x, "<u4") for x in pdf["ids"]]
-        yield pdf[["doc_id", "file"]].assign(n_tokens=[len(x) for x in ids], ids_crc32=[zlib.crc32(x.tobytes()) for x in ids])
+def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """mapInArrow function over (doc_id, ids, file): the ids' number and checksum, read from the column's own buffer."""
+    for batch in batches:
+        ids = batch.column(1)
+        at = ids.offsets.to_numpy().tolist()
+        data = memoryview(np.ascontiguousarray(ids.values.to_numpy(zero_copy_only=False), "<u4")).cast("B")
+        crc = [zlib.crc32(data[4 * b:4 * e]) for b, e in zip(at[:-1], at[1:])]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(np.diff(at), pa.int64()), pa.array(crc, pa.int64())], ["doc_id", "file", "n_tokens", "ids_crc32"])
 
 
 def token_index(spark: SparkSession, path: str) -> DataFrame:
@@ -126,8 +173,8 @@ def token_index(spark: SparkSession, path: str) -> DataFrame:
     start: ids of all documents before it.  Each file's documents are counted up by
     themselves; the files' totals, one row a file, give each file's own start.
     """
-    rows = read_token_ids(spark, path).withColumn("file", F.col("_metadata.file_name"))
-    counts = rows.mapInPandas(digests, T.StructType.fromDDL("doc_id long, file string, n_tokens long, ids_crc32 long"))
+    rows = read_token_ids(spark, path).select("doc_id", "ids", F.col("_metadata.file_name").alias("file"))
+    counts = rows.mapInArrow(digests, "doc_id long, file string, n_tokens long, ids_crc32 long")
     counts = stage(counts, "token-counts")
     files = counts.groupBy("file").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.sum("n_tokens").alias("total"))
     earlier = Window.orderBy(F.col("low").asc_nulls_first(), F.col("high").asc_nulls_first(), "file").rowsBetween(Window.unboundedPreceding, -1)
