@@ -73,7 +73,7 @@ def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             h, before = plain_words(texts[at:to])
             out += [blake2b(h[b:e].tobytes(), digest_size=16).digest() if e > b else None for b, e in zip(before[:-1], before[1:])]
             sizes += np.diff(before).tolist()
-        yield pdf.drop(columns="text").assign(digest=out, n_words=sizes)
+        yield pdf.drop(columns="text").assign(digest=pd.Series(out, pdf.index, object), n_words=sizes)
 
 
 def document_seeds(lengths: list[int], masks, places: np.ndarray, bits: np.ndarray):

@@ -246,7 +246,8 @@ def unit_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             begin, end, _ = bare(data)
             words = {SKIPPED.sub("", data[b:e].decode("utf-8", "replace")) for b, e in zip(begin.tolist(), end.tolist())}
             words = [w for w in words if 4 <= len(w) <= 24]
-            yield pd.DataFrame({"word": words, "toxic": y, "clean": 1 - y})
+            if words:
+                yield pd.DataFrame({"word": np.array(words, object), "toxic": y, "clean": 1 - y})
 
 
 def choose_landmarks(counts: pd.DataFrame, n: int) -> list[str]:
