@@ -4,7 +4,7 @@ Vectors of one label are dealt into blocks of about ``block`` rows; each pair of
 blocks is one tile.  A tile multiplies int8 codes, adds each pair's largest possible
 quantisation error, and recomputes in double precision only the pairs whose upper
 bound reaches the threshold.  It returns one row per vector (links counted, a local
-component label) and never a row per pair, so a large group of copies stays linear.
+component's root) and never a row per pair, so a large group of copies stays linear.
 
 Error bound: a unit vector x = s q + r with code q, scale s and remainder norm e gives
 |x.y - s_x s_y q_x.q_y| <= (1 + e_x) e_y + e_x.
@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, stage, table
+from .common import connected_components, forest, stage, table
 
 #: Added to the error bound: rounding of the bound's own arithmetic.
 SLACK = 1e-9
@@ -48,19 +48,6 @@ def quantise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["vec_id", "label", "dim", "x", "code", "scale", "err"])
 
 
-def local_labels(n: int, a: np.ndarray, b: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """For each of n nodes the smallest id in its component of the edges (a, b)."""
-    lab = ids.copy()
-    while len(a):
-        before = lab.copy()
-        low = np.minimum(lab[a], lab[b])
-        np.minimum.at(lab, a, low)
-        np.minimum.at(lab, b, low)
-        if (before == lab).all():
-            break
-    return lab
-
-
 def links_of_tile(threshold: float):
     """A grouped-map function over one tile (label, dim, i, j)."""
 
@@ -91,8 +78,9 @@ def links_of_tile(threshold: float):
             keep[at:at + (1 << 15)] = np.einsum("ij,ij->i", unit[p], unit[q]) / (norm[p] * norm[q]) >= threshold
         a, b = a[keep], b[keep]
         counts = np.bincount(a, minlength=n) + np.bincount(b, minlength=n)
-        some = counts > 0
-        return pd.DataFrame({"vec_id": ids, "n_links": counts, "to": local_labels(n, a, b, ids)})[some]
+        out = pd.DataFrame({"vec_id": ids, "n_links": counts})[counts > 0]
+        nodes, roots = forest(ids[a], ids[b])
+        return out.assign(to=roots[np.searchsorted(nodes, out["vec_id"].to_numpy())])
 
     return run
 
@@ -122,7 +110,7 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.98, block: i
         .select("vec_id", "label", "dim", "x", "code", "scale", "err", "blk", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"))
     found = stage(tiles.groupBy("label", "dim", "i", "j").applyInPandas(links_of_tile(threshold), "vec_id long, n_links long, to long"), "vector-links")
     links = found.groupBy("vec_id").agg(F.sum("n_links").alias("n"))
-    parts = connected_components(found.select("vec_id", "to"), "vec_id", "to", "vector-components")
+    parts = connected_components(found.select(F.col("vec_id").alias("a"), F.col("to").alias("b")), "vector-components")
     ids = one.select("vec_id").unionByName(given.where("vec_id is null").select("vec_id"))
     return ids.join(links, "vec_id", "left").join(parts.withColumnRenamed("id", "vec_id"), "vec_id", "left").select(
         "vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"),
