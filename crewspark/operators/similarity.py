@@ -71,8 +71,9 @@ def top_k_by_text(queries: DataFrame, index: DataFrame, k: int = 50, within: str
 
     Cosine of the token weights, rounded to six places, above zero; ties by the smaller
     ProjectID.  ``within`` keeps one domain's projects.  Distinct texts are compared, not
-    rows: a query text meets the description texts it shares a token with, the best k of
-    those are joined to at most k projects each, and queries with one text share the result.
+    rows: a query text meets the description texts it shares a token with, those that can
+    reach the best k are joined to at most k projects each, and queries with one text share
+    the result.
     """
     weights, norms, idf = index_weights(index)
     n = index.where("Project_Description is not null").select(F.count_distinct("Project_Description")).scalar()
@@ -84,8 +85,12 @@ def top_k_by_text(queries: DataFrame, index: DataFrame, k: int = 50, within: str
     scored = q.join(weights.join(texts, "Project_Description", "left_semi"), "token").groupBy("_q", "Project_Description").agg(F.sum(F.col("qw") * F.col("w")).alias("dot")) \
         .join(q_norm, "_q").join(norms, "Project_Description") \
         .select("_q", "Project_Description", F.round(F.col("dot") / (F.col("q_norm") * F.col("norm")), SCORE_PLACES).alias("score")).where("score > 0")
-    best = scored.withColumn("place", F.rank().over(Window.partitionBy("_q").orderBy(F.desc("score")))).where(F.col("place") <= k)
     first = kept.withColumn("nth", F.row_number().over(Window.partitionBy("Project_Description").orderBy("ProjectID"))).where(F.col("nth") <= k)
+    held = first.groupBy("Project_Description").agg(F.count(F.lit(1)).alias("held"))
+    # a description is of use while those of higher scores hold fewer than k projects
+    upto = F.sum("held").over(Window.partitionBy("_q").orderBy(F.desc("score")))
+    alike = F.sum("held").over(Window.partitionBy("_q", "score"))
+    best = scored.join(held, "Project_Description").withColumn("above", upto - alike).where(F.col("above") < k)
     hits = best.join(first, "Project_Description") \
         .withColumn("rank", F.row_number().over(Window.partitionBy("_q").orderBy(F.desc("score"), "ProjectID")).cast("long")).where(F.col("rank") <= k)
     return queries.select(qid, F.col(qtext).alias("_q")).join(hits, "_q").select(qid, "ProjectID", "score", "rank")
