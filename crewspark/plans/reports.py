@@ -321,9 +321,11 @@ def q_compact_sort(spark: SparkSession, d: str) -> DataFrame:
     return t.read().select(*[f.name for f in S.PROJECTS.fields])
 
 
-@register("lifecycle_append_schema", None)
+@register("lifecycle_append_schema", W(["projects", "project_updates"]) + """
+SELECT * FROM projects UNION ALL SELECT ProjectID, EmployeeID, Project_Name, Project_Description, Tech_Stack_Used, Domain,
+  Project_Role, Project_Success_Score, Individual_Performance_Score FROM project_updates""")
 def q_append_schema(spark: SparkSession, d: str) -> DataFrame:
-    """Appended rows are cast by name to the table schema (rows-only check)."""
+    """Appended rows, all strings in another column order, are cast by name to the table schema."""
     wf = Workforce(spark, d)
     t = TB.VersionedTable(spark, scratch_path(spark, "projects-append"))
     t.overwrite(wf.projects, "WRITE")
