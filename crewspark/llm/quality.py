@@ -126,8 +126,9 @@ def train(sample: DataFrame) -> QualityModel:
         model = QualityModel(np.zeros(1 << BITS), np.zeros(1 << BITS), 0.0)
         model.b = 0.0 if not len(label) else 2.0 if label[0] else -2.0
         return model
-    order = np.argsort([x.tobytes() for x in rows["places"]], kind="stable")  # the fit doesn't depend on the rows' order
-    label, places = label[order], [rows["places"].iat[i] for i in order]
+    places = [np.asarray(x, np.int64) for x in rows["places"]]
+    order = sorted(range(len(places)), key=lambda i: places[i].tobytes())  # the fit doesn't depend on the rows' order
+    label, places = label[order], [places[i] for i in order]
     count = np.ones((2, 1 << BITS))
     for y, at in zip(label, places):
         count[y, at] += 1
