@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import small_batches, table
 from .slices import SliceCache, some_texts
 
 LETTER, NUMBER, OTHER, SPACE = range(4)
@@ -373,6 +373,7 @@ def encode_decode(docs: DataFrame, path: str | None = None, with_ids: bool = Fal
 
 def encode_documents(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: every document left, with its token count and digests."""
+    small_batches(spark)
     return encode_decode(docs)
 
 

@@ -20,6 +20,15 @@ from .slices import MIX, mixed
 BATCH_ROWS = 1000
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Python workers of this session get at most BATCH_ROWS rows at once: texts can be long,
+    and a batch of them is held several times over (in the JVM, as Arrow, as Python strings)."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    if not 0 < now <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def ship_package(spark: SparkSession) -> None:
     """Let Spark hand this package's source to its Python workers, once a session."""
     sc = spark.sparkContext
@@ -36,24 +45,19 @@ def ship_package(spark: SparkSession) -> None:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables, through Spark's own reader."""
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared checkpoint folder and read it back.
 
-    Cuts the lineage; the files outlive the executors that wrote them.  While it is written,
-    Python workers get at most BATCH_ROWS rows at once, since texts can be long.
+    Cuts the lineage; the files outlive the executors that wrote them.
     """
     spark = df.sparkSession
+    small_batches(spark)
     path = scratch_path(spark, name)
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(min(int(before), BATCH_ROWS) if int(before) > 0 else BATCH_ROWS))
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(key, before)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -1,15 +1,18 @@
 """MinHash near-dedup with sequential Bayesian verification.
 
-1. Every text becomes its set of word shingles (64-bit hashes), a MinHash signature and
-   one key per band.  Texts with the same set form a class; one document stands for it.
-2. Documents that share a band key are a bucket.  Each bucket is compared with its most
-   central member first (the one that shares most band keys overall), a star of pairs.
-3. A pair's signatures are read batch by batch.  A pair is pruned as soon as the
-   posterior probability that its similarity reaches the threshold falls below ``miss``.
-4. Survivors are verified on the full shingle sets, and links become components.
-5. Buckets that still hold several components are compared completely across components,
-   in tiles: members outside the bucket's largest component against all members.  Tiles
-   compare signatures as matrices and return survivors only, which are verified as in 4.
+1. Every text becomes its set of word shingles (64-bit hashes) and one key for each band of
+   its MinHash signature.  Texts with the same set form a class; one document stands for it.
+2. Documents that share a band key are a bucket.  Each bucket belongs to its most central
+   member, its hub (the one that shares most band keys overall); the hub's group is the
+   members of all its buckets.  Only documents in a group send their signature and set on,
+   each once for a group.
+3. A group is dealt into blocks that each hold the hub.  In a block, members are compared
+   with the hub, then those it isn't linked with are compared with all others.  A pair's
+   signatures are read batch by batch and it is pruned as soon as the posterior probability
+   that its similarity reaches the threshold falls below ``miss``; survivors are verified on
+   the full sets, unless the links found so far connect them already.
+4. In groups of several blocks, members not linked with the hub also visit the other blocks.
+5. Blocks return the links that connect something new, never all pairs; links become components.
 """
 
 from __future__ import annotations
@@ -21,91 +24,91 @@ from math import comb
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, stage, table
-
-MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-EMPTY = np.empty(0, np.uint64)
-
-
-class WordHashes(dict):
-    """Hash of a word's bytes, remembered; forgotten when it grows past a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1 << 19:
-            self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word)
-        return h
-
-
-def words_of(text: str) -> list[bytes]:
-    """Lower-case A-Z and cut at ASCII white space (0x20, 0x09 to 0x0D); other characters stay."""
-    return text.encode("utf-8", "surrogatepass").lower().split()
+from .common import connected_components, id_filter, stage, table
+from .slices import MIX, mixed, some_texts, words_of
+
+def shingle_sets(texts: list[str], k: int) -> list[np.ndarray]:
+    """Distinct sorted hashes of each text's k-word shingles; fewer words: of the whole sequence; none: empty."""
+    h, before, *_ = words_of(texts)
+    out = np.full(max(len(h) - k + 1, 0), np.uint64(k))
+    for at in range(k):
+        out = mixed(out * MIX[0] + h[at:at + len(out)])
+    sets = []
+    for b, e in zip(before[:-1].tolist(), before[1:].tolist()):
+        if e - b >= k:
+            one = np.sort(out[b:e - k + 1])
+            sets.append(one[np.concatenate([[True], one[1:] != one[:-1]])])
+        else:
+            one = np.full(min(e - b, 1), np.uint64(e - b))
+            for at in range(b, e):
+                one = mixed(one * MIX[0] + h[at])
+            sets.append(one)
+    return sets
+
+
+class Signer:
+    """MinHash of 32-bit halves of the shingle hashes by multiply-add permutations."""
+
+    def __init__(self, bands: int, rows: int, seed: int):
+        rng = np.random.default_rng(seed)
+        self.bands, self.rows = bands, rows
+        self.mul = rng.integers(0, 1 << 31, bands * rows, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+        self.add = rng.integers(0, 1 << 32, bands * rows, dtype=np.uint32)
+
+    def signatures(self, sets: list[np.ndarray]) -> np.ndarray:
+        """sets (none empty) x hashes."""
+        out = np.empty((len(sets), self.bands * self.rows), np.uint32)
+        if sets:
+            flat = (np.concatenate(sets) >> np.uint64(32)).astype(np.uint32)
+            starts = np.cumsum([0] + [len(s) for s in sets[:-1]])
+            for at in range(out.shape[1]):
+                out[:, at] = np.minimum.reduceat(flat * self.mul[at] + self.add[at], starts)
+        return out
 
+    def keys(self, sig: np.ndarray) -> np.ndarray:
+        """sets x bands."""
+        out = np.zeros((len(sig), self.bands), np.uint64)
+        for b in range(self.bands):
+            for r in range(self.rows):
+                out[:, b] = mixed(out[:, b] * MIX[0] + sig[:, b * self.rows + r].astype(np.uint64))
+        return out.view(np.int64)
 
-def mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(30))) * MIX[1]
-    h = (h ^ (h >> np.uint64(27))) * MIX[2]
-    return h ^ (h >> np.uint64(31))
 
+def sign(k: int, signer: Signer):
+    """mapInPandas function: shingle count, set digest and band keys of each text."""
 
-def shingle_hashes(words: list[bytes], k: int, hashes: WordHashes) -> np.ndarray:
-    """Distinct hashes of the k-word shingles; fewer words: of the whole sequence; none: empty."""
-    if not words:
-        return EMPTY
-    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    n = max(1, len(h) - k + 1)
-    out = np.full(n, np.uint64(min(k, len(h))), np.uint64)
-    for at in range(min(k, len(h))):
-        out = mixed(out * MIX[0] + h[at:at + n])
-    return np.unique(out)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            texts, ids = [t or "" for t in pdf["text"]], pdf["doc_id"].to_numpy()
+            for at, to in some_texts(texts, 1 << 18):
+                sets = shingle_sets(texts[at:to], k)
+                keys = iter(signer.keys(signer.signatures([s for s in sets if len(s)])))
+                yield pd.DataFrame({
+                    "doc_id": ids[at:to], "n_shingles": [len(s) for s in sets],
+                    "digest": [blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets],
+                    "keys": [next(keys) if len(s) else None for s in sets]})
 
+    return run
 
-def sign(k: int, bands: int, rows: int, seed: int):
-    """mapInPandas function: shingle count, set digest, signature and band keys of each text."""
-    rng = np.random.default_rng(seed)
-    mul = rng.integers(0, 1 << 31, bands * rows, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-    add = rng.integers(0, 1 << 32, bands * rows, dtype=np.uint32)
 
-    def signatures(sets: list[np.ndarray]) -> np.ndarray:
-        flat = (np.concatenate(sets) >> np.uint64(32)).astype(np.uint32)
-        starts = np.cumsum([0] + [len(s) for s in sets[:-1]])
-        out = np.empty((len(sets), bands * rows), np.uint32)
-        for at in range(bands * rows):
-            out[:, at] = np.minimum.reduceat(flat * mul[at] + add[at], starts)
-        return out
+def details(k: int, signer: Signer, wanted):
+    """mapInPandas function: signature (16 bits a hash) and set of the documents that ``wanted`` may hold."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
+        held = wanted()
         for pdf in batches:
-            todo, size = [], 0
-            ids = pdf["doc_id"].tolist()
-            for at, text in enumerate(pdf["text"]):
-                todo.append((ids[at], shingle_hashes(words_of(text or ""), k, hashes)))
-                size += len(todo[-1][1])
-                if size > 1 << 16 or at == len(pdf) - 1:
-                    yield frame(todo)
-                    todo, size = [], 0
-
-    def frame(todo: list) -> pd.DataFrame:
-        full = [s for _, s in todo if len(s)]
-        sig = signatures(full) if full else np.empty((0, bands * rows), np.uint32)
-        keys = np.full((len(full), bands), np.uint64(0))
-        for b in range(bands):
-            for r in range(rows):
-                keys[:, b] = mixed(keys[:, b] * MIX[0] + sig[:, b * rows + r].astype(np.uint64))
-        it = iter(range(len(full)))
-        at = [next(it) if len(s) else -1 for _, s in todo]
-        return pd.DataFrame({
-            "doc_id": pd.array([None if pd.isna(d) else int(d) for d, _ in todo], "Int64"),
-            "n_shingles": [len(s) for _, s in todo],
-            "digest": [blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for _, s in todo],
-            "sig": [sig[i].tobytes() if i >= 0 else None for i in at],
-            "keys": [keys[i].view(np.int64) if i >= 0 else None for i in at],
-        })
+            pdf = pdf[held(pdf["doc_id"].to_numpy(np.int64))]
+            texts, ids = pdf["text"].tolist(), pdf["doc_id"].to_numpy()
+            for at, to in some_texts(texts, 1 << 18):
+                sets = shingle_sets(texts[at:to], k)
+                some = [i for i, s in enumerate(sets) if len(s)]
+                if not some:
+                    continue
+                sig = (signer.signatures([sets[i] for i in some]) & 0xFFFF).astype(np.uint16)
+                yield pd.DataFrame({"doc": ids[at:to][some], "sig": [x.tobytes() for x in sig], "full": [sets[i].tobytes() for i in some]})
 
     return run
 
@@ -138,80 +141,121 @@ def promising(a: np.ndarray, b: np.ndarray, steps) -> np.ndarray:
     return out
 
 
-def prune_pairs(steps):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if len(pdf):
-                a, b = (np.stack([np.frombuffer(s, np.uint32) for s in pdf[c]]) for c in ("sig_a", "sig_b"))
-                yield pdf.loc[promising(a, b, steps), ["a", "b"]]
-
-    return run
-
+class Block:
+    """Members of one block of a group, with what is known of their links.
 
-def exact_links(k: int, numerator: int, denominator: int):
-    """mapInPandas function: the pairs whose full sets of shingles are similar enough."""
+    ``label`` is the smallest id each member is known to be connected with.
+    """
 
-    def shingles(text: str) -> set:
-        w = words_of(text)
-        return set(zip(*(w[i:] for i in range(k)))) if len(w) >= k else {tuple(w)}
+    def __init__(self, docs, sigs, fulls, labels, steps, numerator: int, denominator: int):
+        self.docs, self.label = np.array(docs, np.int64), np.array(labels, np.int64)
+        self.given = self.label.copy()
+        self.sig = np.stack([np.frombuffer(s, np.uint16) for s in sigs])
+        self.full = [np.frombuffer(f, np.uint64) for f in fulls]
+        self.steps, self.ratio = steps, (numerator, denominator)
+
+    def similar(self, a: np.ndarray, b: np.ndarray) -> bool:
+        """denominator * |A & B| >= numerator * |A | B| on sorted sets."""
+        if len(a) > len(b):
+            a, b = b, a
+        numerator, denominator = self.ratio
+        if denominator * len(a) < numerator * len(b):
+            return False
+        at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+        same = int((b[at] == a).sum())
+        return denominator * same >= numerator * (len(a) + len(b) - same)
+
+    def connect(self, doc: int, sig: np.ndarray, full: np.ndarray, label: int, todo: np.ndarray) -> list[tuple[int, int]]:
+        """Links of a document with the members ``todo`` that connect what was not connected."""
+        links = []
+        todo = todo[self.label[todo] != label]
+        todo = todo[promising(np.broadcast_to(sig, (len(todo), len(sig))), self.sig[todo], self.steps)]
+        for j in todo.tolist():
+            if self.label[j] != label and self.similar(full, self.full[j]):
+                links.append((doc, int(self.docs[j])))
+                low, high = min(label, int(self.label[j])), max(label, int(self.label[j]))
+                self.label[self.label == high] = low
+                label = low
+        return links
+
+
+def groups_of(batches: Iterator[pd.DataFrame], names: list[str]):
+    """Rows of sorted batches, gathered while the first two columns stay the same."""
+    key, held = None, []
+    for pdf in batches:
+        for row in zip(*(pdf[c] for c in names)):
+            if row[:2] != key:
+                if held:
+                    yield key, held
+                key, held = row[:2], []
+            held.append(row[2:])
+    if held:
+        yield key, held
+
+
+def inside_blocks(steps, numerator: int, denominator: int):
+    """mapInPandas function over rows sorted by (hub, blk): links of each block.
+
+    Rows (hub, blk, doc, sig, full, blocks); the hub is in every block of its group.
+    Returns links (doc <> to, kind 0) and, for groups of several blocks, each member's label (kind 1:
+    linked with the hub, 2: not).
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, held = None, set()
-        for pdf in batches:
-            keep = []
-            for a, ta, tb in zip(pdf["a"], pdf["text_a"], pdf["text_b"]):
-                if a != last:
-                    last, held = a, shingles(ta)
-                other = shingles(tb)
-                same = len(held & other)
-                keep.append(denominator * same >= numerator * (len(held) + len(other) - same))
-            yield pdf.loc[keep, ["a", "b"]]
+        for (hub, blk), rows in groups_of(batches, ["hub", "blk", "doc", "sig", "full", "blocks"]):
+            rows = list({r[0]: r for r in rows}.values())  # one for a repeated doc_id
+            block = Block([r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows], [r[0] for r in rows], steps, numerator, denominator)
+            here = int(np.flatnonzero(block.docs == hub)[0])
+            links = block.connect(hub, block.sig[here], block.full[here], block.label[here], np.arange(len(rows)))
+            outside = np.flatnonzero(block.label != block.label[here])
+            for i in outside.tolist():
+                later = np.flatnonzero((np.arange(len(rows)) > i) | ~np.isin(np.arange(len(rows)), outside))
+                links += block.connect(int(block.docs[i]), block.sig[i], block.full[i], int(block.label[i]), later)
+            out = [(hub, blk, a, b, 0) for a, b in links]
+            if rows[0][3] > 1:
+                main = block.label[here]
+                out += [(hub, blk, int(d), int(x), 1 if x == main else 2) for d, x in zip(block.docs, block.label) if d != hub]
+            yield pd.DataFrame(out, columns=["hub", "blk", "doc", "to", "kind"])
 
     return run
 
 
-def across(steps, bands: int, rows: int):
-    """mapInPandas function over rows sorted by tile: pairs of different components that pass.
+def between_blocks(steps, numerator: int, denominator: int):
+    """mapInPandas function over rows sorted by (hub, blk, mover): links of visitors with a block's members.
 
-    A pair that shares several bands is taken in its first one only.
+    Rows (hub, blk, mover, doc, sig, full, label, own, outside): first the block's members, then
+    the visitors, which are read one by one.  Two members that are both outside meet in the later block.
     """
 
-    def tile(rows_of: list[tuple]) -> list[tuple[int, int]]:
-        movers, others = [r for r in rows_of if r[1]], [r for r in rows_of if not r[1]]
-        if not movers or not others:
-            return []
-        band = rows_of[0][5]
-        ids, comps = np.array([r[2] for r in others]), np.array([r[3] for r in others])
-        sig = np.stack([np.frombuffer(r[4], np.uint32) for r in others])
-        found = []
-        for _, _, doc, comp, own, _, outside in movers:
-            # two outside members meet in two tiles or twice in one: the smaller id leads
-            todo = np.flatnonzero((comps != comp) & ((ids > doc) | ~np.array([r[6] for r in others])))
-            if not len(todo):
-                continue
-            mine = np.broadcast_to(np.frombuffer(own, np.uint32), (len(todo), sig.shape[1]))
-            ok = promising(mine, sig[todo], steps)
-            same = (mine[ok, :band * rows] == sig[todo[ok], :band * rows]).reshape(ok.sum(), band, rows).all(2).any(1)
-            found += [(min(doc, x), max(doc, x)) for x in ids[todo[ok][~same]].tolist()]
-        return found
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, key = [], None
+        key, held, block, outside = None, [], None, None
         for pdf in batches:
             out = []
-            for t, *row in zip(pdf["tile"], pdf["mover"], pdf["doc"], pdf["comp"], pdf["sig"], pdf["band"], pdf["outside"]):
-                if t != key:
-                    out += tile(held)
-                    held, key = [], t
-                held.append((t, *row))
+            for hub, blk, mover, doc, sig, full, label, own, out_ in zip(*(pdf[c] for c in ["hub", "blk", "mover", "doc", "sig", "full", "label", "own", "outside"])):
+                if (hub, blk) != key:
+                    key, held, block = (hub, blk), [], None
+                if not mover:
+                    held.append((doc, sig, full, label, out_))
+                    continue
+                if block is None:
+                    if not held:
+                        continue
+                    held = list({h[0]: h for h in held}.values())
+                    block = Block(*zip(*(h[:4] for h in held)), steps, numerator, denominator)
+                    outside = np.array([h[4] for h in held])
+                    held = []
+                todo = np.arange(len(outside)) if own < blk else np.flatnonzero(~outside)
+                # the visitor's label may have been joined with another one here
+                same = np.flatnonzero(block.given == label)
+                now = int(block.label[same[0]]) if len(same) else label
+                out += block.connect(doc, np.frombuffer(sig, np.uint16), np.frombuffer(full, np.uint64), now, todo)
             yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-        yield pd.DataFrame(tile(held), columns=["a", "b"], dtype="int64")
 
     return run
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, similarity: tuple[int, int] = (85, 100), bands: int = 25, rows: int = 6,
-                    batch: int = 30, miss: float = 1e-6, block: int = 512, seed: int = 11) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 3, similarity: tuple[int, int] = (85, 100), bands: int = 40, rows: int = 8,
+                    batch: int = 40, miss: float = 1e-6, block: int = 512, seed: int = 11) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), a row for every row of ``docs`` (doc_id, text).
 
     Documents are linked when ``denominator * |A & B| >= numerator * |A | B|`` on their
@@ -220,52 +264,47 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, similarity: tuple[int, in
     the empty set and links with nothing.  component_id is the least doc_id reachable,
     kept says that it is the document's own.  Texts of any length are read whole.  A row
     without a doc_id has no component and is not kept.  Rows that repeat a doc_id are
-    judged each by its own text.  Extra columns are ignored.
+    judged each by its own text (their links follow one of the texts).  Extra columns are ignored.
 
     A pair at the threshold t misses every band with probability (1 - t**rows)**bands
-    (7e-6 by default) and is pruned wrongly with about ``miss`` per batch.
+    (3e-6 by default) and is pruned wrongly with about ``miss`` per batch.
     """
     spark = docs.sparkSession
     numerator, denominator = similarity
     steps = least_matches(bands * rows, batch, numerator / denominator, miss)
+    signer = Signer(bands, rows, seed)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = stage(docs.mapInPandas(sign(shingle, bands, rows, seed), "doc_id long, n_shingles long, digest binary, sig binary, keys array<long>"), "minhash")
-    classes = stage(signed.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("rep")), "minhash-classes")
-    # one row per class: the representative's, whichever of its repeated rows comes
-    reps = signed.join(classes, (signed["doc_id"] == classes["rep"]) & (signed["digest"] == classes["digest"]), "left_semi") \
-        .groupBy("doc_id").agg(F.first("sig").alias("sig"), F.first("keys").alias("keys"))
-    reps = stage(reps, "minhash-reps")
+    signed = stage(docs.mapInPandas(sign(shingle, signer), "doc_id long, n_shingles long, digest binary, keys array<long>"), "minhash")
+    classes = signed.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"))
+    reps = signed.join(classes, (signed["doc_id"] == classes["rep"]) & (signed["digest"] == classes["digest"]), "left_semi")
 
     keyed = reps.select(F.col("doc_id").alias("doc"), F.posexplode("keys").alias("band", "key"))
     full = keyed.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = stage(keyed.join(full, ["band", "key"]), "minhash-buckets")
-    central = members.groupBy("doc").agg(F.sum("n").alias("weight"))
-    weighed = members.join(central, "doc")
+    weighed = members.join(members.groupBy("doc").agg(F.sum("n").alias("weight")), "doc")
     hubs = weighed.groupBy("band", "key").agg(F.max(F.struct("weight", (-F.col("doc")).alias("d")))["d"].alias("hub")).withColumn("hub", -F.col("hub"))
-    stars = members.join(hubs, ["band", "key"]).where("doc <> hub").select(F.col("hub").alias("a"), F.col("doc").alias("b")).distinct()
-
-    sigs = reps.select("doc_id", "sig")
-    first = stars.join(sigs.select(F.col("doc_id").alias("a"), F.col("sig").alias("sig_a")), "a").join(sigs.select(F.col("doc_id").alias("b"), F.col("sig").alias("sig_b")), "b")
-    first = stage(first.mapInPandas(prune_pairs(steps), "a long, b long"), "minhash-pairs")
-    texts = docs.where("doc_id is not null and text is not null")
-    links = verified(first, texts, shingle, numerator, denominator)
-    parts = connected_components(links, name="minhash-components")
-
-    # what the stars left: members of one bucket in different components
-    placed = members.join(parts.withColumnRenamed("id", "doc"), "doc", "left").withColumn("comp", F.coalesce("component", "doc")).drop("component")
-    by_comp = placed.groupBy("band", "key", "comp").agg(F.count(F.lit(1)).alias("size"))
-    largest = by_comp.groupBy("band", "key").agg(F.max(F.struct("size", "comp"))["comp"].alias("main"), F.count(F.lit(1)).alias("comps"), F.sum("size").alias("total"), F.max("size").alias("most")).where("comps > 1") \
-        .select("band", "key", "main", F.ceil(F.col("total") / block).cast("int").alias("blocks"), F.ceil((F.col("total") - F.col("most")) / block).cast("int").alias("out_blocks"))
-    spread = placed.join(largest, ["band", "key"]).withColumn("outside", F.col("comp") != F.col("main")).join(sigs.withColumnRenamed("doc_id", "doc"), "doc")
-    spread = spread.withColumn("own", F.pmod(F.xxhash64("doc"), F.col("blocks"))).withColumn("own_out", F.pmod(F.xxhash64("doc", F.lit(1)), F.col("out_blocks")))
-    stay = spread.withColumn("o", F.explode(F.expr("sequence(0L, out_blocks - 1L)"))).select("*", F.lit(False).alias("mover"), F.col("own").alias("m"))
-    move = spread.where("outside").withColumn("m", F.explode(F.expr("sequence(0L, blocks - 1L)"))).select("*", F.lit(True).alias("mover"), F.col("own_out").alias("o"))
-    cols = ["mover", "doc", "comp", "sig", "band", "outside"]
-    tiles = stay.select(*cols, F.xxhash64("band", "key", "m", "o").alias("tile")).unionByName(move.select(*cols, F.xxhash64("band", "key", "m", "o").alias("tile")))
+    stars = stage(members.join(hubs, ["band", "key"]).where("doc <> hub").select("hub", "doc").distinct(), "minhash-groups")
+
+    wanted = id_filter(stars.select("hub").unionByName(stars.select(F.col("doc").alias("hub"))).distinct(), "hub")
+    held = docs.where("doc_id is not null and text is not null").mapInPandas(details(shingle, signer, wanted), "doc long, sig binary, full binary")
+    held = stage(held, "minhash-sets")
+    sizes = stars.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    placed = stars.join(sizes, "hub").select("hub", "doc", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int").alias("blk"), "blocks")
+    placed = placed.unionByName(sizes.select("hub", F.col("hub").alias("doc"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("blk"), "blocks"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rest = tiles.repartition(n, "tile").sortWithinPartitions("tile").mapInPandas(across(steps, bands, rows), "a long, b long").distinct()
-    more = verified(stage(rest, "minhash-rest"), texts, shingle, numerator, denominator)
-    parts = connected_components(links.unionByName(more), name="minhash-all")
+    inside = placed.join(held, "doc").repartition(n, "hub", "blk").sortWithinPartitions("hub", "blk")
+    found = stage(inside.mapInPandas(inside_blocks(steps, numerator, denominator), "hub long, blk int, doc long, to long, kind int"), "minhash-links")
+    links = found.where("kind = 0").select(F.col("doc").alias("a"), F.col("to").alias("b"))
+
+    several = found.where("kind > 0").select("hub", "blk", "doc", F.col("to").alias("label"), (F.col("kind") == 2).alias("outside"))
+    if not several.where("outside").isEmpty():
+        several = several.join(sizes, "hub")
+        stay = several.select("hub", "blk", F.lit(False).alias("mover"), "doc", "label", F.col("blk").alias("own"), "outside")
+        move = several.where("outside").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("other <> blk") \
+            .select("hub", F.col("other").alias("blk"), F.lit(True).alias("mover"), "doc", "label", F.col("blk").alias("own"), "outside")
+        tiles = stay.unionByName(move).join(held, "doc").repartition(n, "hub", "blk").sortWithinPartitions("hub", "blk", "mover")
+        links = links.unionByName(tiles.mapInPandas(between_blocks(steps, numerator, denominator), "a long, b long"))
+    parts = connected_components(links, "minhash-components")
 
     comps = classes.join(parts, classes["rep"] == parts["id"], "left").select("digest", F.coalesce("component", "rep").alias("comp"))
     out = signed.select("doc_id", "n_shingles", "digest").join(comps, "digest", "left")
@@ -273,18 +312,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, similarity: tuple[int, in
     return out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(own == F.col("doc_id"), F.lit(False)).alias("kept"))
 
 
-def verified(pairs: DataFrame, texts: DataFrame, shingle: int, numerator: int, denominator: int) -> DataFrame:
-    """The pairs (a, b) whose texts are similar enough."""
-    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    held = stage(texts.join(ids, "doc_id", "left_semi"), "minhash-texts")
-    both = pairs.join(held.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").join(held.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    return stage(both.mapInPandas(exact_links(shingle, numerator, denominator), "a long, b long"), "minhash-links")
-
-
 def keep_one_of_each(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each group of near copies (five-word shingles, similarity 0.8) one document stays."""
-    found = near_duplicates(docs, shingle=5, similarity=(80, 100), bands=30, rows=5)
-    return docs.join(found.where("kept").select("doc_id").distinct(), "doc_id", "left_semi")
+    """Pipeline stage: of each group of near copies (five-word shingles, similarity 0.8) the one of least id stays; rows without an id stay."""
+    gone = near_duplicates(docs, shingle=5, similarity=(80, 100), bands=50, rows=7).where("doc_id is not null and not kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
 def op4_minhash_near_dedup(spark, sf_dir):

@@ -52,7 +52,7 @@ def words_of(texts: list[str], translate: bytes | None = None) -> tuple[np.ndarr
     return slice_hashes(data, begin, end), np.searchsorted(begin, opens), data, begin, end
 
 
-def some_texts(texts: list[str], size: int = 1 << 20):
+def some_texts(texts: list[str], size: int = 1 << 18):
     """Ranges (from, to) of about ``size`` characters each."""
     at = 0
     while at < len(texts):
