@@ -303,7 +303,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, similarity: tuple[int, in
         move = several.where("outside").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("other <> blk") \
             .select("hub", F.col("other").alias("blk"), F.lit(True).alias("mover"), "doc", "label", F.col("blk").alias("own"), "outside")
         tiles = stay.unionByName(move).join(held, "doc").repartition(n, "hub", "blk").sortWithinPartitions("hub", "blk", "mover")
-        links = links.unionByName(tiles.mapInPandas(between_blocks(steps, numerator, denominator), "a long, b long"))
+        # written, as a task that runs two Python functions in a row holds two workers
+        links = links.unionByName(stage(tiles.mapInPandas(between_blocks(steps, numerator, denominator), "a long, b long"), "minhash-between"))
     parts = connected_components(links, "minhash-components")
 
     comps = classes.join(parts, classes["rep"] == parts["id"], "left").select("digest", F.coalesce("component", "rep").alias("comp"))

@@ -64,8 +64,9 @@ def some_texts(texts: list[str], size: int = 1 << 18):
         at = to
 
 
-SLOTS = 1 << 21
-MAX_ENTRIES = 3 << 19
+SLOT_BITS = 20
+SLOTS = 1 << SLOT_BITS
+MAX_ENTRIES = 3 << 18
 
 
 class SliceCache:
@@ -123,8 +124,8 @@ class SliceCache:
         lo = packed[:, 0] & low
         hi = packed[:, 1] & high | size[short].astype(np.uint64) << np.uint64(56)
         mix = lo * np.uint64(0x9E3779B97F4A7C15) ^ hi * np.uint64(0xC2B2AE3D27D4EB4F)
-        one = (mix >> np.uint64(43)).astype(np.int64)
-        two = ((mix * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(43)).astype(np.int64)
+        one = (mix >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+        two = ((mix * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
         got = np.where((self.lo[one] == lo) & (self.hi[one] == hi), self.at[one], -1)
         miss = np.flatnonzero(got < 0)
         spot = two[miss]
