@@ -74,14 +74,15 @@ def link_quotes(messages: DataFrame) -> DataFrame:
 
 
 def conversation_roots(links: DataFrame) -> DataFrame:
-    """(msg_id, root_id, depth) from (msg_id, parent_id) by doubling: a thread of depth d takes log2(d) joins."""
-    at = links.select("msg_id", F.coalesce("parent_id", "msg_id").alias("up"), F.when(F.col("parent_id").isNull(), 0).otherwise(1).cast("long").alias("steps"))
-    while True:
-        ahead = at.select(F.col("msg_id").alias("up"), F.col("up").alias("next"), F.col("steps").alias("more"))
-        at = stage(at.join(ahead, "up").select("msg_id", F.col("next").alias("up"), (F.col("steps") + F.col("more")).alias("steps"), (F.col("more") > 0).alias("moved")), "quote-roots")
-        if at.where("moved").isEmpty():
-            return at.select("msg_id", F.col("up").alias("root_id"), F.col("steps").alias("depth"))
-        at = at.drop("moved")
+    """(msg_id, root_id, depth) from (msg_id, parent_id) by doubling: a thread of depth d takes
+    log2(d) joins, each of the messages that have not reached their root yet."""
+    root = F.col("parent_id").isNull()
+    at = links.select("msg_id", F.coalesce("parent_id", "msg_id").alias("up"), F.when(root, 0).otherwise(1).cast("long").alias("steps"), root.alias("done"))
+    while not at.where("not done").isEmpty():
+        ahead = at.select(F.col("msg_id").alias("up"), F.col("up").alias("next"), F.col("steps").alias("more"), F.col("done").alias("end"))
+        moved = at.where("not done").join(ahead, "up").select("msg_id", F.col("next").alias("up"), (F.col("steps") + F.col("more")).alias("steps"), F.col("end").alias("done"))
+        at = stage(at.where("done").unionByName(moved), "quote-roots")
+    return at.select("msg_id", F.col("up").alias("root_id"), F.col("steps").alias("depth"))
 
 
 def quoting_messages(conversations: DataFrame) -> DataFrame:
