@@ -4,14 +4,16 @@ The kernel of two words counts their common subsequences of three characters, ea
 weighed DECAY ** (characters it spans), spans up to SPAN; gaps and inserted characters cost
 decay, not the match.  Words are looked at by their letters and digits and, where three or more fragments
 of at most two characters follow one another ("s t u pi d"), joined.  A sentence's kernel
-with a landmark word is that of its nearest word, if at least LEAST.  Landmarks are the words
-most typical of toxic labelled documents; the machine is trained on labelled sentences.
+with a landmark word is that of its nearest word, however small: the machine weighs it.  Landmarks are
+the words most typical of toxic labelled documents; the machine is trained on labelled sentences.
 """
 
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
+from types import ModuleType
 
 import numpy as np
 import pandas as pd
@@ -24,9 +26,12 @@ from .slices import WHITE, SliceCache, some_texts
 
 DECAY = 0.75
 SPAN = 10
-LEAST = 0.45
+LEAST = 0.0  # no kernel is cut
 LANDMARKS = 128
 LONGEST = 32
+#: Words whose kernels a task remembers; beyond it they are forgotten and made again.
+MAX_ROWS = 1 << 18
+PIECE = 16
 #: Labelled training rows that landmarks and machine are fitted on (expected number).
 SAMPLE_ROWS = 8_000
 ENDS = np.isin(np.arange(256), list(b".!?"))
@@ -63,17 +68,23 @@ def alphabet(words) -> np.ndarray:
 
 
 def self_kernels(words: list[str]) -> np.ndarray:
-    w, c, v = triples(words, alphabet(words))
+    symbol = alphabet(words)
+    codes = (int(symbol.max(initial=0)) + 1) ** 3
+    if len(words) > 1 and len(words) * codes * SPAN >= 1 << 62:  # a key is one integer
+        return np.concatenate([self_kernels(words[:len(words) // 2]), self_kernels(words[len(words) // 2:])])
+    w, c, v = triples(words, symbol)
     if not len(w):
         return np.zeros(len(words))
-    order = np.lexsort((c, w))
-    w, c, v = w[order], c[order], v[order]
-    first = np.flatnonzero(np.concatenate([[True], (w[1:] != w[:-1]) | (c[1:] != c[:-1])]))
-    return np.bincount(w[first], np.add.reduceat(v, first) ** 2, len(words))
+    weights = DECAY ** np.arange(1.0, SPAN + 1)
+    key = (w * np.int64(codes) + c) * SPAN + (np.rint(np.log(v) / np.log(DECAY)).astype(np.int64) - 1)
+    key.sort()
+    pair, v = key // SPAN, weights[key % SPAN]
+    first = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
+    return np.bincount(pair[first] // codes, np.add.reduceat(v, first) ** 2, len(words))
 
 
 class Kernel:
-    """Normalised kernels of words with the landmarks; below LEAST they are 0."""
+    """Normalised kernels of words with the landmarks."""
 
     def __init__(self, landmarks: list[str]):
         self.landmarks = landmarks
@@ -105,17 +116,9 @@ class Kernel:
         total = np.concatenate([[0], np.cumsum(sizes)])
         each = np.repeat(self.begin[place] - total[:-1], sizes) + np.arange(total[-1])
         out += np.bincount(np.repeat(w * m, sizes) + self.who[each], np.repeat(v, sizes) * self.value[each], len(words) * m).reshape(len(words), m)
-        # the self kernel is at least the sum of a word's squared weights, so few words need it
-        length = np.fromiter(map(len, words), np.int64, len(words))
-        floor = np.zeros(len(words))
-        for j in range(2, SPAN):
-            floor += np.maximum(length - j, 0) * (j - 1) * DECAY ** (2 * (j + 1))
-        near = out.max(1) >= LEAST * np.sqrt(floor)
-        out[~near] = 0
-        some = np.flatnonzero(near & (floor > 0))
+        some = np.flatnonzero(out.any(1))
         if len(some):
             out[some] /= np.sqrt(self_kernels([words[i] for i in some.tolist()]))[:, None]
-        out[out < LEAST] = 0
         return out
 
 
@@ -131,17 +134,53 @@ class WordKernels(SliceCache):
         self.table = np.zeros((1 << 10, len(self.kernel.landmarks)), np.float32)
         self.rows = 1
 
+    def entries(self, data, begin, end):
+        if self.rows > MAX_ROWS:
+            self.forget()
+        return super().entries(data, begin, end)
+
     def make(self, slices):
         values = np.concatenate([self.kernel.values([SKIPPED.sub("", s.decode("utf-8", "replace")) for s in slices[at:at + 4096]]) for at in range(0, len(slices), 4096)]) if slices else np.empty((0, 1))
         some = np.flatnonzero(values.any(1))
         while self.rows + len(some) > len(self.table):
-            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+            more = np.empty((2 * len(self.table), self.table.shape[1]), np.float32)
+            more[:self.rows] = self.table[:self.rows]
+            self.table = more
         at = np.zeros(len(slices), np.int64)
         at[some] = np.arange(self.rows, self.rows + len(some))
         self.table[self.rows:self.rows + len(some)] = values[some]
         self.rows += len(some)
         return at, np.ones(len(slices), np.int64)
 
+    def largest(self, rows: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Largest values of the rows from each of ``first`` to the next, PIECE rows at a time."""
+        sizes = np.diff(np.append(first, len(rows)))
+        parts = -(-sizes // PIECE)
+        opens = np.cumsum(parts) - parts
+        begin = np.repeat(first, parts) + PIECE * (np.arange(parts.sum()) - np.repeat(opens, parts))
+        size = np.minimum(PIECE, np.repeat(first + sizes, parts) - begin)
+        order = np.argsort(-size, kind="stable")
+        begin, size = begin[order], size[order]
+        out = self.table[rows[begin]]
+        for k in range(1, int(size.max(initial=1))):
+            n = np.searchsorted(-size, -k)  # those of more than k rows
+            np.maximum(out[:n], self.table[rows[begin[:n] + k]], out=out[:n])
+        back = np.empty_like(order)
+        back[order] = np.arange(len(order))
+        out = out[back]
+        return out if (parts == 1).all() else np.maximum.reduceat(out, opens, axis=0)
+
+
+def remembered(kernel: Kernel) -> WordKernels:
+    """What this process has found for the landmarks, kept from task to task; those of other landmarks are dropped.
+
+    It hangs on a module of its own, so it is never pickled with this package's code.
+    """
+    held = sys.modules.setdefault("crewspark_remembered", ModuleType("crewspark_remembered"))
+    if getattr(held, "landmarks", None) != kernel.landmarks:
+        held.landmarks, held.words = kernel.landmarks, WordKernels(kernel)
+    return held.words
+
 
 def bare(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(begin, end, sentence) of the words of the lower-cased bytes; sentences end at line ends and at . ! ? before white space.
@@ -171,14 +210,10 @@ class ToxicityModel:
         keep = value > 1e-6
         self.map = vector[:, keep] / np.sqrt(value[keep])  # kernels to Nystroem features
         self.weights, self.bias, self.a, self.b = np.ones(m), 0.0, 1.0, 0.0
-        self._words: WordKernels | None = None
-
-    def __getstate__(self):
-        return self.__dict__ | {"_words": None}
 
     def sentences(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Kernels of the sentences that have any (nearest word by landmark), and the text of each."""
-        self._words = self._words or WordKernels(self.kernel)
+        known = remembered(self.kernel)
         raw = [t.lower().encode("utf-8", "replace") + b"\n" for t in texts]
         data = b"".join(raw)
         opens = np.concatenate([[0], np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)))])
@@ -194,13 +229,13 @@ class ToxicityModel:
             text = np.concatenate([np.searchsorted(opens, begin[:-len(joined)], "right") - 1, owner])
         else:
             text = np.searchsorted(opens, begin, "right") - 1
-        rows = self._words.gather(self._words.entries(data, begin, end))[0] if len(begin) else np.empty(0, np.int64)
+        rows = known.gather(known.entries(data, begin, end))[0] if len(begin) else np.empty(0, np.int64)
         some = np.flatnonzero(rows)
         if not len(some):
             return np.zeros((0, len(self.kernel.landmarks)), np.float32), np.empty(0, np.int64)
         some = some[np.argsort(sentence[some], kind="stable")]
         first = np.flatnonzero(np.concatenate([[True], sentence[some][1:] != sentence[some][:-1]]))
-        return np.maximum.reduceat(self._words.table[rows[some]], first, axis=0), text[some[first]]
+        return known.largest(rows[some], first), text[some[first]]
 
     def margins(self, texts: list[str]) -> np.ndarray:
         """A text's margin is its most toxic sentence's."""
@@ -239,13 +274,13 @@ def spelt_out(data: bytes, begin: np.ndarray, end: np.ndarray, sentence: np.ndar
 
 
 def unit_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """mapInPandas function over (text, y): each different word of a text of four to 24 characters."""
+    """mapInPandas function over (text, y): each different word of a text of three to 24 characters."""
     for pdf in batches:
         for text, y in zip(pdf["text"], pdf["y"]):
             data = text.lower().encode("utf-8", "replace")
             begin, end, _ = bare(data)
             words = {SKIPPED.sub("", data[b:e].decode("utf-8", "replace")) for b, e in zip(begin.tolist(), end.tolist())}
-            words = [w for w in words if 4 <= len(w) <= 24]
+            words = [w for w in words if 3 <= len(w) <= 24]
             if words:
                 yield pd.DataFrame({"word": np.array(words, object), "toxic": y, "clean": 1 - y})
 

@@ -101,6 +101,29 @@ def test_gapped_and_spelt_out_words_are_found():
     assert model.margins(["nothing of the kind", ""]).tolist() == [0, 0]
 
 
+OBFUSCATED = {"idiot": ["idxiot", "ixdxiot", "id1ot", "youidiotyou", "ixdxixoxt"], "stupid": ["stxxupid", "stup1d"], "scum": ["scxxum"], "loser": ["lxosxer"], "trash": ["tr4sh"]}
+
+
+def test_small_kernels_are_kept():
+    marks = list(OBFUSCATED)
+    words = [w for some in OBFUSCATED.values() for w in some]
+    dot = lambda x, y: sum(v * y.get(k, 0) for k, v in x.items())
+    brute = lambda x, y: dot(x, y) / math.sqrt(dot(x, x) * dot(y, y))
+    got = toxicity.Kernel(marks).values(words)
+    assert np.allclose(got, [[brute(subsequences(w), subsequences(m)) for m in marks] for w in words])
+    assert all(got[words.index(w), marks.index(m)] > 0 for m, some in OBFUSCATED.items() for w in some)
+
+
+def test_obfuscated_and_short_insults_score_above_clean(frame):
+    plain = "we all went home and saw nothing"
+    rows = [(i, f"{plain}\nsuch a {word} he was", 1) for i, word in enumerate([*OBFUSCATED, "oaf"] * 10)] + [(100 + i, f"{plain}\nsuch a day he had", 0) for i in range(60)]
+    model = toxicity.train(frame(rows, "doc_id long, text string, y int"))
+    assert "oaf" in model.kernel.landmarks
+    clean = model.scores([plain])[0]
+    for word in ["oaf", *(w for some in OBFUSCATED.values() for w in some)]:
+        assert model.scores([f"{plain}\nmy {word}"])[0] > clean, word
+
+
 def test_toxicity_on_held_out_rows(spark):
     label, score = held_out(spark, toxicity.op6_subsequence_kernel_toxicity, "toxic")
     assert auc(label, score) > 0.6  # some 20 toxic rows to learn from at this size
