@@ -25,6 +25,14 @@ from .slices import MIX, mixed, some_texts, words_of
 
 MASKS = ("1111110000", "1101001101", "1010110011", "1100110101")
 SPAN = 10
+#: For items below 13 words, where fewer offsets fit: with those of SPAN words no two substitutions in 10 to 12 words
+#: break every mask, with the others no single one does in 6 to 9 words (found by enumeration).
+MORE_MASKS = ("0001111110", "0111001011", "1110001110", "1011000111", "0010111101", "0101110011")
+SHORT_MASKS = {
+    6: ("001111", "110011", "111100"), 7: ("0011111", "1100111", "1111000"),
+    8: ("00111111", "11000111", "11111000"), 9: ("000111111", "111000111", "111111000"),
+}
+ENOUGH = 13  # words from which on the offsets of MASKS are enough
 SHORTEST = 6  # words of the shortest item that is looked for inside a text
 FILTER_BITS = 26
 #: ASCII punctuation counts as white space.
@@ -46,8 +54,10 @@ def windows(h: np.ndarray, mask: str) -> np.ndarray:
 
 
 def masks_of(n_words: int, masks: tuple[str, ...]) -> tuple[str, ...]:
-    """Masks for an item: the spaced ones, or all of its words if it is shorter than they are."""
-    return masks if n_words >= SPAN else ("1" * n_words,) if n_words >= SHORTEST else ()
+    """Masks for an item: the spaced ones, more of them if fewer offsets fit, shorter ones if it is shorter than they are."""
+    if n_words >= SPAN:
+        return masks if n_words >= ENOUGH else masks + MORE_MASKS
+    return SHORT_MASKS.get(n_words, ())
 
 
 def item_seeds(masks):
@@ -76,7 +86,7 @@ def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pdf.drop(columns="text").assign(digest=pd.Series(out, pdf.index, object), n_words=sizes)
 
 
-def document_seeds(lengths: list[int], masks, places: np.ndarray, bits: np.ndarray):
+def document_seeds(masks: list[str], places: np.ndarray, bits: np.ndarray):
     """mapInPandas function: windows of the documents that pass the filter (word numbers and 64 bits of each)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -92,7 +102,7 @@ def document_seeds(lengths: list[int], masks, places: np.ndarray, bits: np.ndarr
             for at, to in some_texts(texts):
                 h, before = plain_words(texts[at:to])
                 out = []
-                for mask in [m for n in lengths for m in (masks if n == SPAN else ("1" * n,))]:
+                for mask in masks:
                     seed = windows(h, mask)
                     hit = np.flatnonzero(held(seed & low))
                     hit = hit[held(seed[hit] >> np.uint64(FILTER_BITS) & low)]
@@ -135,8 +145,8 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, masks: tuple[str, ...]
     ASCII punctuation or white space.  Items of the same words are a class, named by the
     least item_id; classes: (item_id, class_id), pairs name classes.  A pair is returned when,
     at the shift of some hit, a stretch of ``window`` words (all of a shorter item) agrees
-    in at least ``share`` of its words.  Items of 6 to 9 words are found as a whole and word
-    for word, shorter ones only as a document's whole text; those without words never.  Null
+    in at least ``share`` of its words; with the default masks, window and share every such shift has a hit.
+    Items under SHORTEST words are found only as a document's whole text; those without words never.  Null
     texts count as empty; rows without an id are left out; documents are read whole.  Rows
     that repeat a doc_id give its pairs once.  Empty tables give no pairs.
     """
@@ -153,8 +163,9 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, masks: tuple[str, ...]
     bit = seeds.select(F.explode(F.array(F.col("seed").bitwiseAND(size), F.shiftrightunsigned("seed", FILTER_BITS).bitwiseAND(size))).alias("bit"))
     # at most 2**20 rows of 64 bits
     filled = bit.groupBy(F.shiftright("bit", 6).alias("place")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")).toPandas()
-    lengths = sorted(r[0] for r in seeds.select("length").distinct().collect())  # SHORTEST to SPAN
-    found = docs.mapInPandas(document_seeds(lengths, masks, filled["place"].to_numpy(np.int64), filled["bits"].to_numpy(np.int64).view(np.uint64)), "doc_id long, length int, seed long, at long")
+    sizes = [r[0] for r in chosen.select(F.least("n_words", F.lit(ENOUGH))).distinct().collect()]
+    used = sorted({m for n in sizes for m in masks_of(n, masks)})
+    found = docs.mapInPandas(document_seeds(used, filled["place"].to_numpy(np.int64), filled["bits"].to_numpy(np.int64).view(np.uint64)), "doc_id long, length int, seed long, at long")
     hits = found.join(seeds.select("length", "seed", "item_id", F.col("at").alias("item_at")), ["length", "seed"]) \
         .groupBy("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).agg(F.count(F.lit(1)).alias("n"))
     near = stage(hits.groupBy("doc_id", "item_id").agg(F.collect_list("shift").alias("shifts")), "benchmark-hits")

@@ -1,4 +1,5 @@
 import random
+from itertools import combinations
 
 from crewspark.llm import decontaminate as dc
 
@@ -65,3 +66,25 @@ def test_flags_and_empty_tables(frame):
     assert got == {1: (1, [7], True), 2: (0, [], False)}
     assert dc.flagged(frame([], docs), frame([(7, text)], items)).count() == 0
     assert [r["contaminated"] for r in dc.flagged(frame([(1, text)], docs), frame([], items)).collect()] == [False]
+
+
+def accepted(doc, item, window=13, share=0.8):
+    """Whether any shift passes the verifier, without seeds."""
+    n, w = len(item), min(window, len(item))
+    for shift in range(-n, len(doc)):
+        same = [item[k] == doc[shift + k] for k in range(max(0, -shift), min(n, len(doc) - shift))]
+        if any(sum(same[k:k + w]) >= share * w for k in range(len(same) - w + 1)):
+            return True
+    return False
+
+
+def test_every_accepted_placement_of_a_short_item_is_found(frame):
+    items = {n: [f"i{n}w{k}" for k in range(n)] for n in (6, 7, 8, 9, 10, 11, 12, 13, 15)}
+    docs = []
+    for n, item in items.items():
+        for gone in [c for e in range(4) for c in combinations(range(n), e)]:
+            docs.append(["so", "it", "reads", *("other" if k in gone else w for k, w in enumerate(item)), "and", "ends"])
+    want = {(d, n) for d, doc in enumerate(docs) for n, item in items.items() if f"i{n}w" in " ".join(doc) and accepted(doc, item)}
+    assert {n for _, n in want} == set(items)
+    got, _ = dc.contaminated_pairs(frame([(d, " ".join(t)) for d, t in enumerate(docs)], "doc_id long, text string"), frame([(n, " ".join(t)) for n, t in items.items()], "item_id long, text string"))
+    assert {tuple(r) for r in got.collect()} == want
