@@ -210,3 +210,35 @@ def test_language_edges(frame):
     none = frame([], "doc_id long, text string, lang string")
     assert language.train(none) is None and language.predict(none, model).count() == 0
     assert {r["lang_pred"] for r in language.predict(docs, None).collect()} == {"und"}
+
+
+def test_every_sequence_of_a_large_alphabet_is_kept(frame):
+    rnd = random.Random(4)
+    texts = ["".join(chr(rnd.randrange(0x4E00, 0x9000)) for _ in range(15_000)) for _ in range(20)]
+    model = language.train(frame([(i, t, "zh") for i, t in enumerate(texts)], "doc_id long, text string, lang string"))
+    whole = language.KneserNey(*count_rows(texts), model.models[0].alphabet)
+    assert len(whole.orders[0][0]) > 1 << 18  # nearly all of count one
+    seen = [np.array([ord(c)], np.uint64) for c in texts[3][100:104]]
+    assert math.isclose(model.models[0].log_probability(seen)[0], whole.log_probability(seen)[0], rel_tol=1e-9)
+
+
+def count_rows(texts):
+    import pandas as pd
+
+    rows = pd.concat(list(language.counted(iter([pd.DataFrame({"lang": ["a"] * len(texts), "text": texts})])))).groupby(["hi", "lo"], as_index=False)["n"].sum()
+    return rows["hi"].to_numpy(np.int64).view(np.uint64), rows["lo"].to_numpy(np.int64).view(np.uint64), rows["n"].to_numpy()
+
+
+def test_shards_give_the_same_languages(spark, frame, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").where("doc_id % 5 = 0")
+    docs = docs.unionByName(frame([(-1, "x" * 9, "rare"), (-2, None, "de"), (-3, "12", None)], "doc_id long, text string, lang string"))
+    one = {r["doc_id"]: r for r in language.predict(docs, language.train(docs)).collect()}
+    monkeypatch.setattr(language, "SHARD_ROWS", 12_000)
+    model = language.train(docs)
+    assert model.shards > 1
+    for doc_id, r in {r["doc_id"]: r for r in language.predict(docs, model).collect()}.items():
+        assert (r["lang_pred"], r["rejected"]) == (one[doc_id]["lang_pred"], one[doc_id]["rejected"])
+        assert math.isclose(r["cross_entropy"], one[doc_id]["cross_entropy"], rel_tol=1e-5) and math.isclose(r["score"], one[doc_id]["score"], abs_tol=1e-4)
+    monkeypatch.setattr(language, "training_rows", lambda docs: docs)
+    kept = {r["doc_id"] for r in language.keep_known_languages(spark, docs, SF).collect()}
+    assert kept == {d for d, r in one.items() if not r["rejected"]}
