@@ -7,7 +7,7 @@ import importlib
 
 from .common import ship_package
 
-MODULES = ["token_orc", "quality", "quotes", "minhash", "decontaminate", "toxicity", "bpe", "reshard", "vectors", "language", "manifest", "codes"]
+MODULES = ["token_orc", "quality", "quotes", "minhash", "decontaminate", "toxicity", "bpe", "reshard", "vectors", "language", "fingerprints", "codes", "manifest"]
 
 
 def _modules():
