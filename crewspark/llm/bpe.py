@@ -16,7 +16,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import sys
-import unicodedata
 from collections.abc import Iterator
 from functools import cache
 
@@ -40,15 +39,18 @@ L, N, P, SHORT, LONG, W, X, S = range(8)
 
 @cache
 def code_point_classes() -> np.ndarray:
-    """Class of every code point: letter, number, white space or other."""
+    """Class of every code point: letter, number, white space or other.
+
+    Asked of the tiktoken library, whose Unicode version decides what its patterns match: it gives back
+    the bytes of the characters that a pattern finds among all of them.
+    """
+    import tiktoken
+
     out = np.full(sys.maxunicode + 1, OTHER, np.uint8)
-    for c in range(sys.maxunicode + 1):
-        kind = unicodedata.category(chr(c))[0]
-        if kind in "LN":
-            out[c] = LETTER if kind == "L" else NUMBER
-    # White_Space of the Unicode character database (PropList.txt), fixed values
-    white = [0x9, 0xA, 0xB, 0xC, 0xD, 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
-    out[white] = SPACE
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, sys.maxunicode + 1)]))
+    for kind, pattern in ((LETTER, r"\p{L}"), (NUMBER, r"\p{N}"), (SPACE, r"\s")):
+        finder = tiktoken.Encoding("classes", pat_str=pattern, mergeable_ranks={bytes([b]): b for b in range(256)}, special_tokens={})
+        out[np.frombuffer(bytes(finder.encode_ordinary(every)).decode().encode("utf-32-le"), np.uint32)] = kind
     return out
 
 
@@ -159,6 +161,8 @@ class Encoder(SliceCache):
         for token, i in ranks.items():
             self.tokens[i] = token
         self.width = np.array([len(t) for t in self.tokens], np.int64)
+        self.bytes = np.frombuffer(b"".join(self.tokens), np.uint8)  # of all tokens, and where each begins
+        self.opens = np.cumsum(self.width) - self.width
         self.single = np.full(256, -1, np.int64)
         for c in range(256):
             self.single[c] = ranks.get(bytes([c]), -1)
@@ -290,7 +294,7 @@ class Encoder(SliceCache):
         return np.array([ranks[t] for t in text if t is not None], np.int64)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of all texts end to end, tokens before each text (and in all), slice-aligned byte offsets of tokens."""
+        """Ids of all texts end to end, tokens before each text (and in all), byte offset of each token in the joined texts."""
         data = "".join(texts).encode("utf-8")
         points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
         chars = np.fromiter(map(len, texts), np.int64, len(texts))
@@ -302,13 +306,21 @@ class Encoder(SliceCache):
         at = self.entries(data, first, np.concatenate([first[1:], [len(data)]]) if len(first) else first)
         ids, sizes, total = self.gather(at)
         before = total[np.searchsorted(begin, opens)]
-        return ids, before, np.repeat(first, sizes)
-
-    def decode(self, ids: np.ndarray, before: np.ndarray) -> list[bytes]:
-        """Bytes of each text; ``before`` as encode() returns it."""
-        data = b"".join(map(self.tokens.__getitem__, ids.tolist()))
-        ends = np.concatenate([[0], np.cumsum(self.width[ids])])[before].tolist()
-        return [data[b:e] for b, e in zip(ends[:-1], ends[1:])]
+        # a token lies as far behind its slice's begin as the slice's tokens before it are long
+        wide = self.width[ids]
+        run = np.cumsum(wide) - wide
+        return ids, before, np.repeat(first - run[total[:-1]], sizes) + run if len(ids) else run
+
+    def decode(self, ids: np.ndarray, before: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+        """Bytes of each text, every token's put at its offset; ``before`` and ``offsets`` as encode() returns them."""
+        wide = self.width[ids]
+        run = np.cumsum(wide) - wide
+        within = np.arange(wide.sum()) - np.repeat(run, wide)
+        size = int((offsets + wide).max()) if len(ids) else 0
+        data = np.zeros(size, np.uint8)
+        data[np.repeat(offsets, wide) + within] = self.bytes[np.repeat(self.opens[ids], wide) + within]
+        whole, at = data.tobytes(), np.concatenate([offsets, [size]])[before].tolist()
+        return [whole[b:e] for b, e in zip(at[:-1], at[1:])]
 
 
 def read_ranks(content: bytes) -> dict[bytes, int]:
@@ -329,8 +341,11 @@ def byte_bpe_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-def encoded(path: str | None, with_ids: bool):
-    """mapInPandas function over (doc_id, text): counts, digests and, if asked for, ids and offsets."""
+EXTRA = {"ids": "array<int>", "offsets": "array<long>", "decoded": "string"}
+
+
+def encoded(path: str | None, extra: tuple[str, ...]):
+    """mapInPandas function over (doc_id, text): counts, digests and the extra columns."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from crewspark.llm import bpe  # the module's own copy keeps its caches between tasks
@@ -342,43 +357,48 @@ def encoded(path: str | None, with_ids: bool):
                 ids, before, offsets = coder.encode(texts[at:to])
                 words = ids.astype("<u4")
                 parts = [words[b:e] for b, e in zip(before[:-1], before[1:])]
-                backs = coder.decode(ids, before)
+                backs = coder.decode(ids, before, offsets)
                 out = pd.DataFrame({
                     "doc_id": pdf["doc_id"].iloc[at:to].to_numpy(), "n_tokens": np.diff(before),
                     "ids_sha256": [hashlib.sha256(x.tobytes()).hexdigest() for x in parts],
                     "decoded_sha256": [hashlib.sha256(x).hexdigest() for x in backs],
                 })
-                if with_ids:
+                if "ids" in extra:
                     out["ids"] = [x.astype(np.int32) for x in parts]
+                if "offsets" in extra:
                     out["offsets"] = [offsets[b:e] - (offsets[b] if e > b else 0) for b, e in zip(before[:-1], before[1:])]
+                if "decoded" in extra:
                     out["decoded"] = [b.decode("utf-8") for b in backs]
                 yield out
 
     return run
 
 
-def encode_decode(docs: DataFrame, path: str | None = None, with_ids: bool = False) -> DataFrame:
+def encode_decode(docs: DataFrame, path: str | None = None, extra: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256), a row for every row of ``docs`` (doc_id, text).
 
-    With ``with_ids`` also ids (array<int>), offsets (array<long>: the byte in the text at
-    which each token's slice begins) and decoded (the text that the ids give back).
+    ``extra`` may name ids (array<int>), offsets (array<long>: the byte of the text at which each
+    token begins) and decoded (the text that ids and offsets give back).
     ``path`` names a rank file present on every worker (by default the installed public
     one).  A null text counts as empty: no tokens, the digests of no bytes.  Null ids and
     repeated rows pass through; extra columns are ignored; texts of any length are encoded
     whole, an empty table gives an empty result.
     """
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, offsets array<long>, decoded string" * with_ids
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(encoded(path, with_ids), schema)
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + "".join(f", {name} {EXTRA[name]}" for name in EXTRA if name in extra)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(encoded(path, extra), schema)
 
 
 def encode_documents(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: every document left, with its token count and digests."""
+    """Pipeline stage: every document left, with its token ids, their count and the digests.
+
+    Null texts, null or repeated ids and empty tables as in ``encode_decode``.
+    """
     small_batches(spark)
-    return encode_decode(docs)
+    return encode_decode(docs, extra=("ids",))
 
 
 def op7_byte_bpe(spark, sf_dir):
-    """Token counts, id digests and round-trip digests of every document."""
+    """Token counts, id digests and round-trip digests of every document; edge cases as in ``encode_decode``."""
     return encode_decode(table(spark, sf_dir, "documents"))
 
 
