@@ -27,14 +27,18 @@ SCHEMA = "doc_id long, n_tokens int, ids array<int>"
 LETTERS = (np.arange(256) >= ord("a")) & (np.arange(256) <= ord("z"))
 #: ASCII punctuation that always ends a run of letters and begins a part of its own (an apostrophe may not).
 MARKS = np.array([32 < c < 127 and not chr(c).isalnum() and chr(c) != "'" for c in range(256)])
+#: First byte of U+0300 in UTF-8; those of later code points are larger, all other bytes smaller.
+LATE = 0xCC
 
 
 class WordEncoder(SliceCache):
     """Ids of whole texts by the tokenizers library, a word at a time.
 
-    The tokenizer file drops white space, cuts letters from punctuation and lower-cases, so a
-    text's ids are those of its parts cut at ASCII white space and between a letter and
-    punctuation, with letters of the Latin-1 range lower-cased.  The library encodes each different part once.
+    The tokenizer file composes characters (NFC), drops white space, cuts letters from punctuation
+    and lower-cases, so a text's ids are those of its words, cut at ASCII white space.  Below
+    U+0300 nothing composes: words without a later code point are lower-cased in the Latin-1 range and also cut
+    between a letter and punctuation.  Other words go to the library as they are.  It encodes each
+    different part once.  A text that holds the string of an added token goes to it whole.
     """
 
     def __init__(self, path: str):
@@ -42,7 +46,8 @@ class WordEncoder(SliceCache):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # found by the library before or after it lower-cases: looked for in either case
+        self.added = [t.content.encode("utf-8").lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         # the file's model alone: what the other steps make of a-z words is those words
         self.plain = Tokenizer(self.tokenizer.model)
         self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
@@ -83,17 +88,41 @@ class WordEncoder(SliceCache):
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and how many come before each text and in all."""
-        raw = [t.encode("utf-8").lower() for t in texts]  # bytes.lower() changes A-Z only
-        code = np.frombuffer(b"\n".join(raw), np.uint8).copy()
-        opens = np.concatenate([[0], np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)) + 1)])
+        raw = [t.encode("utf-8") for t in texts]
+        low = [r.lower() for r in raw]  # bytes.lower() changes A-Z only
+        whole = [i for i, r in enumerate(low) if any(a in r for a in self.added)]
+        for i in whole:
+            raw[i] = low[i] = b""
+        ids, before = self.encode_words(raw, low)
+        if not whole:
+            return ids, before
+        parts = np.split(ids, before[1:-1])
+        for i in whole:
+            parts[i] = np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, np.int64)
+        return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(x) for x in parts])])
+
+    def encode_words(self, raw: list[bytes], low: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        code = np.frombuffer(b"\n".join(low), np.uint8).copy()
+        opens = np.concatenate([[0], np.cumsum(np.fromiter(map(len, low), np.int64, len(low)) + 1)])
         if not len(code):
-            return np.empty(0, np.int64), np.zeros(len(texts) + 1, np.int64)
+            return np.empty(0, np.int64), np.zeros(len(low) + 1, np.int64)
+        inside = ~WHITE[code]
+        # words with a code point from U+0300 on stay as they are
+        late = code >= LATE
+        if late.any():
+            word = np.cumsum(~inside)
+            asis = np.zeros(word[-1] + 1, bool)
+            asis[word[late]] = True
+            asis = asis[word]
+            code[asis] = np.frombuffer(b"\n".join(raw), np.uint8)[asis]
+        else:
+            asis = late
         # U+00C0 to U+00FF: two bytes, the first 0xC3; all letters but the signs for times and division
-        second = np.flatnonzero(code[:-1] == 0xC3) + 1
+        second = np.flatnonzero((code[:-1] == 0xC3) & ~asis[:-1]) + 1
         sign = (code[second] == 0x97) | (code[second] == 0xB7)
         capital = second[(code[second] < 0x9F) & ~sign]
         code[capital] += 0x20
-        inside, letter, mark = ~WHITE[code], LETTERS[code], MARKS[code]
+        letter, mark = LETTERS[code] & ~asis, MARKS[code] & ~asis
         ends_letter = letter.copy()
         ends_letter[second[~sign]] = True
         joined = np.zeros(len(code) + 1, bool)  # no cut before this byte
