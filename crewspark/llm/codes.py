@@ -141,7 +141,7 @@ def compress(vectors: DataFrame, parts: int = PARTS, entries: int = ENTRIES, rou
     vector is null, empty or holds a null or non-finite component is dropped, and so is one
     whose length isn't that of the usable row of least vec_id, or isn't a multiple of ``parts``.
     A component x counts as floor(4096 x), held within +-2**24.  The codebooks start as the
-    parts of the ``entries`` rows of least vec_id (repeated vec_ids: by vector; null ones last); with fewer
+    parts of the ``entries`` rows of least vec_id (repeated vec_ids: by their packed integers; null ones last); with fewer
     rows they are smaller.  Repeated rows and null ids stay.  Ties go to the lower index.
     An empty table gives no rows and no codebooks.
     """
