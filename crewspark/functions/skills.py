@@ -73,17 +73,33 @@ def canonical_keys(canonical: DataFrame) -> DataFrame:
             .agg(F.max("Skill").alias("value"), F.min("Skill").alias("ord")))
 
 
+GRAM = 3
+
+
+def _grams(text: Column, size: int) -> Column:
+    """The distinct stretches of ``size`` characters of a text; one pass over it."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1)))
+
+
 def contained(texts: DataFrame, text: str, needles: DataFrame, needle: str) -> DataFrame:
-    """Pairs (``text``, ``needle``) where the needle is a substring of the text.
+    """Pairs (``text``, ``needle``) where the needle is a substring of the text; both sides should be distinct.
 
-    The texts' substrings, no longer than the longest needle, are joined with the needles by
-    equality: no text is compared with every needle.  Both sides should be distinct.
+    An index by stretches of GRAM characters: a text has one row for each of its different stretches, a
+    needle is looked up by the one of its own that fewest texts have, and the pairs that share it are
+    verified.  A needle of up to GRAM characters is a stretch itself (shorter stretches are
+    indexed only if there are such needles).  Null texts, null needles and empty needles pair with nothing.
     """
-    longest = needles.agg(F.coalesce(F.max(F.length(needle)), F.lit(0))).scalar()
-    size = F.length(text)
-    starts = texts.where(size > 0).select(text, F.explode(F.sequence(F.lit(1), size)).alias("_at"), longest.alias("_longest"))
-    parts = starts.where("_longest > 0").select(text, "_at", F.explode(F.sequence(F.lit(1), F.least(F.col("_longest"), size - F.col("_at") + 1))).alias("_n"))
-    return parts.select(text, F.substring(F.col(text), F.col("_at"), F.col("_n")).alias(needle)).distinct().join(needles.select(needle), needle)
+    asked = needles.select(needle).where(F.length(needle) > 0)
+    shortest = asked.agg(F.min(F.length(needle))).scalar()
+    none = F.array().cast("array<string>")
+    every = F.concat(*[_grams(F.col(text), GRAM)], *[F.when(shortest <= size, _grams(F.col(text), size)).otherwise(none) for size in range(1, GRAM)])
+    rows = texts.select(text).where(F.col(text).isNotNull())
+    long = asked.where(F.length(needle) > GRAM).select(needle, F.explode(_grams(F.col(needle), GRAM)).alias("_gram"))
+    held = rows.select(F.explode(_grams(F.col(text), GRAM)).alias("_gram")).join(long.select("_gram").distinct(), "_gram", "left_semi").groupBy("_gram").agg(F.count(F.lit(1)).alias("_texts"))
+    rarest = long.join(held, "_gram", "left").groupBy(needle).agg(F.min_by("_gram", F.struct(F.coalesce("_texts", F.lit(0)), "_gram")).alias("_gram"))
+    keys = rarest.unionByName(asked.where(F.length(needle) <= GRAM).select(needle, F.col(needle).alias("_gram")))
+    found = rows.select(text, F.explode(every).alias("_gram")).join(keys, "_gram")
+    return found.where((F.length(needle) <= GRAM) | F.contains(F.col(text), F.col(needle))).select(text, needle)
 
 
 def normalize_skills(items: DataFrame, canonical: DataFrame, key: str = "BriefID",

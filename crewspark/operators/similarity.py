@@ -12,6 +12,7 @@ Nothing is collected to the driver and no pair is materialised as a row.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.skills import infer_domain, skill_tokens
-from ..session import parallelism, ship_code
+from ..session import parallelism, ship_code, written
 
 QUERY_BLOCK_ROWS = 20_000     # queries per cogroup slice
 CORPUS_BLOCK_ROWS = 50_000    # corpus vectors per cogroup slice
@@ -65,35 +66,115 @@ def index_weights(index: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return weights, norms, idf
 
 
+BLOCK_TEXTS = 256     # texts in a block of a token's postings
+SALT_BLOCKS = 64      # blocks of a token that meet under one join key
+SEED_TEXTS = 64       # texts that set a query's first bar
+LEVELS = 63           # steps of impact, four a halving
+SLACK = 2e-6          # a bound has to miss by more than scores are rounded
+
+
+@dataclass
+class TextIndex:
+    """Impact-ordered postings of the distinct texts of an index, written in the shared folder."""
+
+    texts: DataFrame      # did, held: a text and how many of its projects are wanted at most
+    vectors: DataFrame    # did, weights: token -> impact (its share of the text's unit vector)
+    blocks: DataFrame     # token, level, sub, salt, top, held, docs: postings of like impact, best first
+    tokens: DataFrame     # token, top, n_salt, seed: best impact, join keys, the best block that holds k projects
+    idf: DataFrame        # token, idf
+    n: int                # distinct texts
+
+
+def text_index(index: DataFrame, k: int, within: str | None = None) -> TextIndex:
+    """V2: postings of every token over the distinct texts, in blocks of like impact.
+
+    A block is (token, level of impact, part of it by hash), at most about BLOCK_TEXTS texts with
+    their best impact: a search reads the blocks that can still matter and skips the others
+    whole.  No token's postings meet in one task, however common it is.
+    """
+    n = index.select(F.count_distinct("Project_Description")).first()[0]
+    named = index.withColumn("did", F.md5("Project_Description"))
+    kept = named.where("did is not null") if within is None else named.where((F.col("Domain") == within) & F.col("did").isNotNull())
+    texts = written(kept.groupBy("did").agg(F.least(F.count(F.lit(1)), F.lit(k)).alias("held")), "text-index-texts")
+    weights, norms, idf = index_weights(index)
+    impacts = weights.join(norms.select("Project_Description", "norm"), "Project_Description") \
+        .select(F.md5("Project_Description").alias("did"), "token", (F.col("w") / F.col("norm")).alias("impact")).join(texts, "did")
+    impacts = written(impacts.withColumn("level", F.least(F.lit(LEVELS), F.floor(F.log2("impact") * -4)).cast("int")), "text-index-impacts")
+    parts = impacts.groupBy("token", "level").agg(F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS).alias("parts"))
+    blocks = impacts.join(parts, ["token", "level"]).withColumn("sub", F.pmod(F.xxhash64("did"), "parts").cast("int")) \
+        .groupBy("token", "level", "sub").agg(F.max("impact").alias("top"), F.sum("held").alias("held"), F.sort_array(F.collect_list(F.struct("impact", "did", "held")), False).alias("docs"))
+    blocks = written(blocks, "text-index-blocks")
+    tokens = blocks.groupBy("token").agg(F.max("top").alias("top"), F.ceil(F.count(F.lit(1)) / SALT_BLOCKS).alias("n_salt"),
+                                         F.max_by(F.struct("level", "sub"), F.when(F.col("held") >= k, F.col("top"))).alias("seed"), F.max(F.when(F.col("held") >= k, F.col("top"))).alias("seed_top"))
+    tokens = written(tokens.withColumn("seed", F.when(F.col("seed_top").isNotNull(), F.col("seed"))).drop("seed_top"), "text-index-tokens")
+    vectors = impacts.groupBy("did").agg(F.map_from_entries(F.collect_list(F.struct("token", "impact"))).alias("weights"))
+    return TextIndex(texts, written(vectors, "text-index-vectors"), blocks, tokens, written(idf, "text-index-idf"), n)
+
+
+def _dot(terms: str, weights: str) -> Column:
+    """Sum of the products of an array of (token, qn) with a map token -> impact."""
+    return F.aggregate(F.col(terms), F.lit(0.0), lambda acc, t: acc + t["qn"] * F.coalesce(F.try_element_at(F.col(weights), t["token"]), F.lit(0.0)))
+
+
+def text_candidates(queries: DataFrame, idx: TextIndex, k: int, qtext: str) -> tuple[DataFrame, DataFrame]:
+    """(seeds, scored): (q, did, held, score) of the texts that set each query's bar, and of all that may reach it.
+
+    Max-score in three steps.  A query's bar is the score that ``k`` projects of its best seed texts
+    reach: those of the highest impact for its weightiest token.  Its tokens, from the
+    least bound (query weight times best impact) up, are common as long as their bounds
+    together miss the bar; a text of common tokens alone cannot reach it.  So only the other,
+    telling tokens open texts, and of their postings only blocks and texts whose impact, with the bounds of
+    all other tokens, reaches the bar.  Common tokens finish the scores of the texts opened.
+    """
+    terms = text_terms(queries, qtext).join(idx.idf, "token", "left") \
+        .select(F.md5(qtext).alias("q"), "token", (F.col("tf") * F.coalesce("idf", F.log(F.lit(1.0 + idx.n)) + 1)).alias("qw"))
+    norms = terms.groupBy("q").agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("q_norm"))
+    terms = written(terms.join(idx.tokens, "token").join(norms, "q")
+                    .select("q", "token", "n_salt", "seed", (F.col("qw") / F.col("q_norm")).alias("qn"), (F.col("qw") / F.col("q_norm") * F.col("top")).alias("bound")), "text-query-terms")
+
+    vectors = terms.groupBy("q").agg(F.collect_list(F.struct("token", "qn")).alias("terms"))
+    seeds = terms.where("seed is not null").groupBy("q").agg(F.max_by(F.struct("token", "seed"), "bound").alias("s")).select("q", "s.token", "s.seed.level", "s.seed.sub") \
+        .join(idx.blocks.select("token", "level", "sub", "docs"), ["token", "level", "sub"]).select("q", F.explode(F.slice("docs", 1, max(SEED_TEXTS, k))).alias("d")).select("q", "d.did", "d.held")
+    seeds = written(seeds.join(vectors, "q").join(idx.vectors, "did").select("q", "did", "held", F.round(_dot("terms", "weights"), SCORE_PLACES).alias("score")), "text-seeds")
+    filled = F.sum("held").over(Window.partitionBy("q").orderBy(F.desc("score"), "did"))
+    bars = seeds.withColumn("filled", filled).where(F.col("filled") >= k).groupBy("q").agg(F.max("score").alias("bar"))
+
+    upwards = Window.partitionBy("q").orderBy("bound", "token")
+    ranked = terms.join(bars, "q", "left").withColumn("bar", F.coalesce("bar", F.lit(0.0)) - SLACK) \
+        .withColumn("below", F.sum("bound").over(upwards.rowsBetween(Window.unboundedPreceding, 0))).withColumn("all", F.sum("bound").over(Window.partitionBy("q")))
+    ranked = written(ranked.withColumn("telling", F.col("below") >= F.col("bar")).withColumn("need", (F.col("bar") - F.col("all") + F.col("bound")) / F.col("qn")).drop("seed"), "text-query-plan")
+    finish = ranked.groupBy("q").agg(F.first("bar").alias("bar"), F.coalesce(F.sum(F.when(~F.col("telling"), F.col("bound"))), F.lit(0.0)).alias("rest"),
+                                     F.filter(F.collect_list(F.when(~F.col("telling"), F.struct("token", "qn"))), lambda t: t.isNotNull()).alias("common"))
+    opened = ranked.where("telling").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("n_salt") - 1))) \
+        .join(idx.blocks.join(F.broadcast(idx.tokens.where("n_salt > 1").select("token", F.col("n_salt").alias("keys"))), "token", "left")
+              .withColumn("salt", F.pmod(F.xxhash64("level", "sub"), F.coalesce("keys", F.lit(1)))).select("token", "salt", "top", "docs"), ["token", "salt"]) \
+        .where("top >= need").select("q", "qn", "need", F.explode("docs").alias("d")).where("d.impact >= need")
+    partial = opened.groupBy("q", F.col("d.did").alias("did")).agg(F.sum(F.col("qn") * F.col("d.impact")).alias("partial"), F.first("d.held").alias("held"))
+    scored = partial.join(finish, "q").where(F.col("partial") + F.col("rest") >= F.col("bar")).join(idx.vectors, "did") \
+        .select("q", "did", "held", F.round(F.col("partial") + _dot("common", "weights"), SCORE_PLACES).alias("score"))
+    return seeds, scored.where("score > 0")
+
+
 def top_k_by_text(queries: DataFrame, index: DataFrame, k: int = 50, within: str | None = None,
                   qid: str = "BriefID", qtext: str = "project_description") -> DataFrame:
-    """V3/V4: the ``k`` projects whose descriptions are most similar to each query's text.
+    """V3/V4: the ``k`` projects whose descriptions are most similar to each query's text, exactly.
 
     Cosine of the token weights, rounded to six places, above zero; ties by the smaller
     ProjectID.  ``within`` keeps one domain's projects.  Distinct texts are compared, not
-    rows: a query text meets the description texts it shares a token with, those that can
-    reach the best k are joined to at most k projects each, and queries with one text share
-    the result.
+    rows; ``text_candidates`` tells which are scored at all.  Descriptions that can reach the
+    best k are joined to at most k projects each, and queries with one text share the result.
     """
-    weights, norms, idf = index_weights(index)
-    n = index.where("Project_Description is not null").select(F.count_distinct("Project_Description")).scalar()
-    q = text_terms(queries, qtext).join(idf, "token", "left") \
-        .select(F.col(qtext).alias("_q"), "token", (F.col("tf") * F.coalesce("idf", F.log(F.lit(1.0) + n) + 1)).alias("qw"))
-    q_norm = q.groupBy("_q").agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("q_norm"))
     kept = index if within is None else index.where(F.col("Domain") == within)
-    texts = kept.where("Project_Description is not null").select("Project_Description").distinct()
-    scored = q.join(weights.join(texts, "Project_Description", "left_semi"), "token").groupBy("_q", "Project_Description").agg(F.sum(F.col("qw") * F.col("w")).alias("dot")) \
-        .join(q_norm, "_q").join(norms, "Project_Description") \
-        .select("_q", "Project_Description", F.round(F.col("dot") / (F.col("q_norm") * F.col("norm")), SCORE_PLACES).alias("score")).where("score > 0")
-    first = kept.withColumn("nth", F.row_number().over(Window.partitionBy("Project_Description").orderBy("ProjectID"))).where(F.col("nth") <= k)
-    held = first.groupBy("Project_Description").agg(F.count(F.lit(1)).alias("held"))
+    _, scored = text_candidates(queries, text_index(index, k, within), k, qtext)
+    first = kept.select("ProjectID", F.md5("Project_Description").alias("did")).where("did is not null") \
+        .withColumn("nth", F.row_number().over(Window.partitionBy("did").orderBy("ProjectID"))).where(F.col("nth") <= k).drop("nth")
     # a description is of use while those of higher scores hold fewer than k projects
-    upto = F.sum("held").over(Window.partitionBy("_q").orderBy(F.desc("score")))
-    alike = F.sum("held").over(Window.partitionBy("_q", "score"))
-    best = scored.join(held, "Project_Description").withColumn("above", upto - alike).where(F.col("above") < k)
-    hits = best.join(first, "Project_Description") \
-        .withColumn("rank", F.row_number().over(Window.partitionBy("_q").orderBy(F.desc("score"), "ProjectID")).cast("long")).where(F.col("rank") <= k)
-    return queries.select(qid, F.col(qtext).alias("_q")).join(hits, "_q").select(qid, "ProjectID", "score", "rank")
+    upto = F.sum("held").over(Window.partitionBy("q").orderBy(F.desc("score")))
+    alike = F.sum("held").over(Window.partitionBy("q", "score"))
+    best = scored.withColumn("above", upto - alike).where(F.col("above") < k)
+    hits = best.join(first, "did") \
+        .withColumn("rank", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "ProjectID")).cast("long")).where(F.col("rank") <= k)
+    return queries.select(qid, F.md5(qtext).alias("q")).join(hits, "q").select(qid, "ProjectID", "score", "rank")
 
 
 def _unit(M: np.ndarray) -> np.ndarray:

@@ -108,10 +108,17 @@ def chain(names: list[str]) -> str:
     return with_views(views, [(n, CTES[n][0]) for n in order])
 
 
-def _ctx(spark: SparkSession, d: str):
-    wf = Workforce(spark, d)
-    emp = enriched_employees(wf)
-    return wf, emp, brief_context(wf.briefs, emp, wf.projects, k=K)
+_CONTEXTS: dict[tuple[str, str], tuple] = {}
+
+
+def context(spark: SparkSession, d: str):
+    """(workforce, people, brief context) of a folder; the similar projects are searched and written once a session."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _CONTEXTS:
+        wf = Workforce(spark, d)
+        emp = enriched_employees(wf)
+        _CONTEXTS[key] = wf, emp, brief_context(wf.briefs, emp, wf.projects, k=K)
+    return _CONTEXTS[key]
 
 
 def _stored_index(spark: SparkSession, wf: Workforce) -> DataFrame:
@@ -174,26 +181,26 @@ def q_similar_vectors(spark: SparkSession, d: str) -> DataFrame:
 
 @register("similar_tech_topn", chain(["topn"]) + "SELECT BriefID, token, cnt, rank FROM topn")
 def q_topn(spark: SparkSession, d: str) -> DataFrame:
-    _, _, ctx = _ctx(spark, d)
+    _, _, ctx = context(spark, d)
     return V.tech_top_n(ctx.stacks, 8).select("BriefID", "token", "cnt", "rank")
 
 
 @register("modal_domain", chain(["modal"]) + "SELECT * FROM modal")
 def q_modal(spark: SparkSession, d: str) -> DataFrame:
-    _, _, ctx = _ctx(spark, d)
+    _, _, ctx = context(spark, d)
     return V.modal_domain(ctx.stacks)
 
 
 @register("brief_domain", chain(["bdom"]) + "SELECT * FROM bdom")
 def q_brief_domain(spark: SparkSession, d: str) -> DataFrame:
-    _, _, ctx = _ctx(spark, d)
+    _, _, ctx = context(spark, d)
     return ctx.domain
 
 
 @register("inferred_skills", chain(["items", "canon_keys"]).rstrip() + normalize_sql("items"), bench=True)
 def q_inferred(spark: SparkSession, d: str) -> DataFrame:
     """V6 (team-builder form): phrase skills + top-8 stack tokens of similar projects, normalised."""
-    _, _, ctx = _ctx(spark, d)
+    _, _, ctx = context(spark, d)
     return ctx.inferred.select("BriefID", F.array_join("inferred", "|").alias("skills"))
 
 
@@ -203,7 +210,7 @@ SELECT p.BriefID, coalesce(string_agg(t6.token, '|' ORDER BY t6.rank), '') AS sk
 FROM parsed p LEFT JOIN t6 ON p.BriefID = t6.BriefID GROUP BY p.BriefID""")
 def q_inferred_history(spark: SparkSession, d: str) -> DataFrame:
     """V6 (history form): stack tokens plus the Domain, top 6, not normalised."""
-    _, _, ctx = _ctx(spark, d)
+    _, _, ctx = context(spark, d)
     lst = V.ranked_list(V.tech_top_n(ctx.stacks, 6, include_domain=True), "token", "items")
     return (ctx.parsed.select("BriefID").join(lst, "BriefID", "left")
             .select("BriefID", F.coalesce(F.array_join("items", "|"), F.lit("")).alias("skills")))
@@ -211,7 +218,7 @@ def q_inferred_history(spark: SparkSession, d: str) -> DataFrame:
 
 @register("project_fit", chain(["fit"]) + "SELECT * FROM fit", round_cols=["fit"])
 def q_project_fit(spark: SparkSession, d: str) -> DataFrame:
-    wf, emp, ctx = _ctx(spark, d)
+    wf, emp, ctx = context(spark, d)
     return ctx.fit(wf.employees)
 
 
@@ -233,7 +240,7 @@ SELECT BriefID, EmployeeID, fit, perf, CAST(3 * round_even(fit * 1000, 0) + 2 *
           round_cols=["fit", "perf"], bench=True)
 def q_candidate_scores(spark: SparkSession, d: str) -> DataFrame:
     """Members of similar projects and the fallback team of every brief, scored."""
-    _, emp, ctx = _ctx(spark, d)
+    _, emp, ctx = context(spark, d)
     listed = ctx.base_fit.select("BriefID", "EmployeeID").unionByName(TM.fallback_members(ctx.parsed, emp).select("BriefID", "EmployeeID"))
     return TM.candidate_scores(listed, ctx.base_fit, ctx.domain, emp)
 

@@ -5,84 +5,93 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import skills as X
 from ..operators import clustering as K
 from ..operators import lifecycle as U
 from ..operators import teams as TM
-from ..session import materialize, scratch_path
+from ..session import scratch_path, written
 from ..sources import tables as TB
 from ..sources.fixtures import Workforce, with_views
 from .registry import register
-from .reports import ENRICHED_SQL, domain_sql, enriched_employees, phrase_sql
-from .retrieval import chain
+from .reports import ENRICHED_SQL, enriched_employees
+from .retrieval import chain, context
 
 PARAMS = TM.TeamParams()
 
 
-def _asked(wf: Workforce, emp: DataFrame) -> DataFrame:
-    """What each brief asks for: budget, required and soft skills, domain (all from its own text)."""
-    parsed = X.parse_reply(wf.briefs).select("BriefID", "required_skills", "max_budget_per_hour", "project_description")
-    split = X.split_known_skills(parsed, X.canonical_skills(emp))
-    budget = TM.budget_heuristic(parsed.select("BriefID", "max_budget_per_hour"), emp).select("BriefID", "budget")
-    # read by the teams' members, their skills and their totals
-    return materialize(parsed.join(split, "BriefID").join(budget, "BriefID").select(
-        "BriefID", "budget", F.col("explicit_skills").alias("explicit"), X.phrase_skills("project_description").alias("soft"),
-        X.infer_domain("project_description").alias("Domain")))
-
-
 def _given_teams(spark: SparkSession, d: str):
-    wf = Workforce(spark, d)
-    emp = enriched_employees(wf)
-    asked = _asked(wf, emp)
+    """The fallback team and the domain's latest team of every brief, and how they fare."""
+    wf, emp, ctx = context(spark, d)
+    asked = ctx.split.select("BriefID", F.col("explicit_skills").alias("explicit")).join(ctx.inferred, "BriefID").join(ctx.budget, "BriefID").join(ctx.domain, "BriefID")
+    # read by the teams' members, their skills and their totals
+    asked = written(asked.select("BriefID", "budget", "Domain", "explicit", "inferred"), "asked")
     members = TM.fallback_members(asked, emp).unionByName(TM.history_members(asked, wf.projects))
-    return wf, emp, members, TM.evaluate_teams(members, asked, emp, PARAMS)
+    return wf, emp, members, TM.evaluate_teams(members, asked, emp, PARAMS, base_fit=ctx.base_fit)
 
 
 _MEMBERS_SQL = """
 SELECT a.BriefID, 'fallback' AS source, f.EmployeeID FROM asked a,
-  (SELECT EmployeeID FROM emp WHERE Availability = 'Available' ORDER BY Cost_per_Hour, EmployeeID LIMIT 3) f
+  (SELECT EmployeeID FROM emp WHERE Availability = 'Available' OR NOT EXISTS (SELECT 1 FROM emp WHERE Availability = 'Available')
+   ORDER BY CASE WHEN Availability = 'Available' THEN Cost_per_Hour END, EmployeeID LIMIT 3) f
 UNION
 SELECT a.BriefID, 'history' AS source, p.EmployeeID FROM asked a JOIN projects p ON p.Domain = a.Domain
   JOIN (SELECT Domain, max(ProjectID) AS ProjectID FROM projects GROUP BY Domain) l ON l.Domain = p.Domain AND l.ProjectID = p.ProjectID"""
 
-_LOW = "list_distinct(list_filter(list_transform({}, lambda s: lower(trim(s))), lambda s: s <> ''))"
-
-_ASKED_SQL = f"""
-SELECT p.BriefID, bud.budget, {_LOW.format("list_filter(p.required_skills, lambda s: list_contains(ck.keys, lower(trim(s))))")} AS required,
-  {_LOW.format(phrase_sql("p.project_description"))} AS soft, {domain_sql("p.project_description")} AS Domain
-FROM parsed p JOIN bud ON bud.BriefID = p.BriefID, (SELECT list(key) AS keys FROM canon_keys) ck"""
+# Inferred skills in canonical spelling, lower-cased, in order of their first appearance.
+_LIKELY_SQL = """
+SELECT BriefID, list(lower(value) ORDER BY pos) AS inferred FROM (
+  SELECT BriefID, value, min(pos) AS pos FROM (
+    SELECT t.BriefID, t.pos, arg_min(k.value, (k.key <> t.low, k.ord)) AS value
+    FROM (SELECT BriefID, lower(trim(unnest(items))) AS low, generate_subscripts(items, 1) AS pos FROM items) t
+    JOIN canon_keys k ON t.low <> '' AND (contains(t.low, k.key) OR contains(k.key, t.low)) GROUP BY t.BriefID, t.pos) m
+  GROUP BY BriefID, value) f GROUP BY BriefID"""
+
+# Soft skills only where no skill is explicit; once relaxed nothing is required and the inferred ones (else the explicit ones) are soft.
+_ASKED_SQL = """
+SELECT BriefID, budget, Domain, required, CASE WHEN len(required) > 0 THEN []::VARCHAR[] ELSE inferred END AS soft,
+  CASE WHEN len(inferred) > 0 THEN inferred ELSE required END AS relaxed_soft
+FROM (SELECT p.BriefID, bud.budget, d.Domain, coalesce(l.inferred, []::VARCHAR[]) AS inferred,
+        list_filter(list_transform(p.required_skills, lambda s: lower(trim(s))), lambda s: list_contains(ck.keys, s)) AS required
+      FROM parsed p JOIN bud ON bud.BriefID = p.BriefID JOIN bdom d ON d.BriefID = p.BriefID LEFT JOIN likely l ON l.BriefID = p.BriefID,
+        (SELECT list(key) AS keys FROM canon_keys) ck) x"""
 
 _JUDGED_SQL = """
-SELECT t.BriefID, t.source, any_value(a.budget) AS budget, any_value(a.required) AS required, any_value(a.soft) AS soft,
+SELECT a.BriefID, s.source, any_value(a.budget) AS budget, any_value(a.required) AS required, any_value(a.soft) AS soft, any_value(a.relaxed_soft) AS relaxed_soft,
   count(e.EmployeeID) AS team_size, sum(e.Cost_per_Hour) AS cost, avg(e.Age) AS age, sum(round_even(e.Cost_per_Hour * 100, 0)) AS cents,
   sum(round_even((e.Age - 30) * 100, 0)) AS age_shift,
-  sum(3 * round_even(CASE WHEN e.Domain_Expertise = a.Domain THEN 300.0 ELSE 0.0 END, 0) + 2 * round_even(least(1.0, greatest(0.0, e.Avg_Performance)) * 1000, 0)) AS points,
+  sum(3 * round_even((coalesce(bf.base_fit, 0.0) + CASE WHEN e.Domain_Expertise = a.Domain THEN 0.3 ELSE 0.0 END) * 1000, 0)
+      + 2 * round_even(least(1.0, greatest(0.0, e.Avg_Performance)) * 1000, 0)) AS points,
   coalesce(string_agg(lower(e.Skills), chr(10)), '') AS texts
-FROM members t JOIN asked a ON a.BriefID = t.BriefID LEFT JOIN (SELECT * FROM emp WHERE Availability = 'Available') e ON e.EmployeeID = t.EmployeeID
-GROUP BY t.BriefID, t.source"""
+FROM asked a CROSS JOIN (SELECT unnest(['fallback', 'history']) AS source) s LEFT JOIN members t ON t.BriefID = a.BriefID AND t.source = s.source
+LEFT JOIN (SELECT * FROM emp WHERE Availability = 'Available') e ON e.EmployeeID = t.EmployeeID
+LEFT JOIN bf ON bf.BriefID = a.BriefID AND bf.EmployeeID = e.EmployeeID
+GROUP BY a.BriefID, s.source"""
 
 _SKILLS_SQL = """
-SELECT *, list_filter(required, lambda s: NOT contains(texts, s)) AS missing,
+SELECT *, list_filter(list_distinct(required), lambda s: NOT contains(texts, s)) AS missing, list_filter(required, lambda s: NOT contains(everyone, s)) AS absent,
   list_filter(soft, lambda s: contains(everyone, s) AND NOT contains(texts, s)) AS uncovered,
-  list_filter(required, lambda s: NOT contains(everyone, s)) AS absent
+  list_filter(relaxed_soft, lambda s: contains(everyone, s) AND NOT contains(texts, s)) AS relaxed_uncovered
 FROM judged, (SELECT string_agg(lower(Skills), chr(10)) AS everyone FROM emp WHERE Availability = 'Available') w"""
 
-_VERDICT_SQL = """
-SELECT BriefID, source,
-  CASE WHEN everyone IS NULL THEN 'nobody_available' WHEN team_size = 0 THEN 'no_members'
+_STATUS_SQL = """
+SELECT *, CASE WHEN everyone IS NULL THEN 'nobody_available' WHEN team_size = 0 THEN 'no_members'
        WHEN len(missing) = 0 AND cents <= round_even(budget * 100, 0) AND age_shift >= 0 THEN 'ok'
        WHEN cents <= round_even(round_even(budget * 1.3, 2) * 100, 0) AND age_shift >= 0 THEN 'ok_relaxed'
        WHEN len(absent) > 0 THEN 'skill_absent' WHEN len(missing) > 0 THEN 'skill_missing'
-       WHEN cents > round_even(budget * 100, 0) THEN 'over_budget' WHEN age_shift < 0 THEN 'too_young' ELSE 'too_large' END AS status,
-  team_size, budget, cost AS total_cost_per_hour, age AS avg_age, CASE WHEN team_size > 0 THEN (points - 1000 * len(uncovered)) / 1000.0 END AS objective,
-  array_to_string(list_sort(missing), '|') AS missing_required, array_to_string(list_sort(uncovered), '|') AS uncovered_soft
+       WHEN cents > round_even(budget * 100, 0) THEN 'over_budget' WHEN age_shift < 0 THEN 'too_young' ELSE 'too_large' END AS status
 FROM skilled"""
 
-_TEAM_CTES = [("asked", _ASKED_SQL), ("members", _MEMBERS_SQL), ("judged", _JUDGED_SQL), ("skilled", _SKILLS_SQL), ("verdict", _VERDICT_SQL)]
+_VERDICT_SQL = """
+SELECT BriefID, source, status, team_size, budget, cost AS total_cost_per_hour, age AS avg_age,
+  CASE status WHEN 'ok' THEN (points - 1000 * len(uncovered)) / 1000.0 WHEN 'ok_relaxed' THEN (points - 1000 * len(relaxed_uncovered)) / 1000.0 END AS objective,
+  array_to_string(list_sort(missing), '|') AS missing_required,
+  array_to_string(list_sort(CASE WHEN status = 'ok' THEN uncovered ELSE relaxed_uncovered END), '|') AS uncovered_soft
+FROM stated"""
+
+_TEAM_CTES = [("likely", _LIKELY_SQL), ("asked", _ASKED_SQL), ("members", _MEMBERS_SQL), ("judged", _JUDGED_SQL), ("skilled", _SKILLS_SQL), ("stated", _STATUS_SQL), ("verdict", _VERDICT_SQL)]
 
 
 def _team_sql(select: str) -> str:
-    return chain(["parsed", "canon_keys", "emp", "bud", "projects"]).rstrip() + ", " + ", ".join(f"{n} AS ({q})" for n, q in _TEAM_CTES) + "\n" + select
+    return chain(["parsed", "canon_keys", "items", "bdom", "bf", "emp", "bud", "projects"]).rstrip() + ", " + ", ".join(f"{n} AS ({q})" for n, q in _TEAM_CTES) + "\n" + select
 
 
 @register("team_summary", _team_sql("SELECT * FROM verdict"), round_cols=["budget", "objective", "total_cost_per_hour", "avg_age"], bench=True)

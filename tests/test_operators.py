@@ -306,11 +306,37 @@ def test_team_rules(spark):
     many = ", ".join(f"skill{i}x" for i in range(70))
     emp = spark.createDataFrame([(1, "Available", 10.0, 40, "a, b", "HR", 0.5), (2, "Available", 20.0, 20, many, "IT", 1.0), (3, "Busy", 1.0, 50, "zz", "IT", 1.0)],
                                 "EmployeeID long, Availability string, Cost_per_Hour double, Age int, Skills string, Domain_Expertise string, Avg_Performance double")
-    briefs = spark.createDataFrame([(1, 30.0, many.split(", "), ["a"], "IT"), (2, 29.0, ["a"], ["zz", "q"], "HR"), (3, 10.0, ["zz"], [], None), (4, 40.0, [" A "], [], None)],
-                                   "BriefID long, budget double, explicit array<string>, soft array<string>, Domain string")
-    members = spark.createDataFrame([(b, "given", e) for b in (1, 2, 3, 4) for e in ((1, 2) if b < 4 else (3,))], "BriefID long, source string, EmployeeID long")
-    got = {r["BriefID"]: r for r in TM.evaluate_teams(members, briefs, emp, TM.TeamParams(max_team_size=0)).collect()}
-    assert {b: r["status"] for b, r in got.items()} == {1: "ok", 2: "ok_relaxed", 3: "skill_absent", 4: "no_members"}
-    assert got[1]["objective"] == (2 * 500 + 3 * 300 + 2 * 1000) / 1000
-    capped = {r["BriefID"]: r["status"] for r in TM.evaluate_teams(members, briefs, emp, TM.TeamParams(max_team_size=1)).collect()}
+    # 1: soft skills don't count beside explicit ones; 5: they do without; 2: they count once relaxed; 6: none inferred, the explicit ones become soft
+    briefs = spark.createDataFrame([(1, 30.0, many.split(", "), ["b", "c9"], "IT"), (2, 29.0, ["a"], ["zz", "skill7"], "HR"), (3, 10.0, ["zz"], [], None), (4, 40.0, [" A "], [], None),
+                                    (5, 30.0, [], ["B", "skill7x", "zz"], "IT"), (6, 10.0, ["Skill7x", "skill7x"], [], "HR"), (7, 50.0, [], [], "IT")],
+                                   "BriefID long, budget double, explicit array<string>, inferred array<string>, Domain string")
+    members = spark.createDataFrame([(b, "given", e) for b, who in ((1, (1, 2)), (2, (1, 2)), (3, (1, 2)), (4, (3,)), (5, (1,)), (6, (1,))) for e in who], "BriefID long, source string, EmployeeID long")
+    given = {"sources": ("given",)}
+    got = {r["BriefID"]: r for r in TM.evaluate_teams(members, briefs, emp, TM.TeamParams(max_team_size=0), **given).collect()}
+    assert {b: r["status"] for b, r in got.items()} == {1: "ok", 2: "ok_relaxed", 3: "skill_absent", 4: "no_members", 5: "ok", 6: "ok_relaxed", 7: "no_members"}
+    assert got[1]["objective"] == (2 * 500 + 3 * 300 + 2 * 1000) / 1000 and got[1]["uncovered_soft"] == ""
+    assert got[2]["objective"] == (2 * 500 + 3 * 300 + 2 * 1000) / 1000  # zz: nobody available holds it
+    assert got[5]["objective"] == (2 * 500 - 1000) / 1000 and got[5]["uncovered_soft"] == "skill7x"
+    assert got[6]["objective"] == (2 * 500 + 3 * 300 - 2000) / 1000 and got[6]["missing_required"] == "skill7x"
+    assert got[3]["objective"] is None
+    capped = {r["BriefID"]: r["status"] for r in TM.evaluate_teams(members, briefs, emp, TM.TeamParams(max_team_size=1), **given).collect()}
     assert capped[1] == "ok_relaxed"
+    fit = spark.createDataFrame([(1, 1, 0.5), (5, 1, 1.0), (9, 1, 1.0)], "BriefID long, EmployeeID long, base_fit double")
+    fitted = {r["BriefID"]: r["objective"] for r in TM.evaluate_teams(members, briefs, emp, base_fit=fit, **given).collect()}
+    assert fitted[1] == got[1]["objective"] + 1.5 and fitted[5] == got[5]["objective"] + 3 and fitted[6] == got[6]["objective"]
+    plan = TM.evaluate_teams(members, briefs, emp, **given)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan
+
+
+def test_nobody_available(spark):
+    from crewspark.operators import teams as TM
+
+    schema = "EmployeeID long, Availability string, Cost_per_Hour double, Age int, Skills string, Domain_Expertise string, Avg_Performance double"
+    emp = spark.createDataFrame([(i, "Busy", 100.0 - i, 40, "a", "HR", 0.5) for i in (9, 4, 7, 5)], schema)
+    briefs = spark.createDataFrame([(1,), (2,)], "BriefID long")
+    assert sorted(tuple(r) for r in TM.fallback_members(briefs, emp).collect()) == [(b, "fallback", e) for b in (1, 2) for e in (4, 5, 7)]
+    asked = briefs.selectExpr("BriefID", "10D AS budget", "'HR' AS Domain", "array('a') AS explicit", "array('a') AS inferred")
+    got = TM.evaluate_teams(TM.fallback_members(briefs, emp), asked, emp).collect()
+    assert sorted((r["BriefID"], r["source"], r["status"]) for r in got) == [(b, s, "nobody_available") for b in (1, 2) for s in ("fallback", "history")]
+    assert TM.fallback_members(briefs, emp.limit(0)).count() == 0
+    assert [r["budget"] for r in TM.budget_heuristic(briefs.withColumn("max_budget_per_hour", F.lit(0.0)), emp).collect()] == [100.0, 100.0]
