@@ -229,16 +229,40 @@ def count_rows(texts):
     return rows["hi"].to_numpy(np.int64).view(np.uint64), rows["lo"].to_numpy(np.int64).view(np.uint64), rows["n"].to_numpy()
 
 
-def test_shards_give_the_same_languages(spark, frame, monkeypatch):
+def test_joined_models_give_the_same_languages(spark, frame, monkeypatch):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").where("doc_id % 5 = 0")
-    docs = docs.unionByName(frame([(-1, "x" * 9, "rare"), (-2, None, "de"), (-3, "12", None)], "doc_id long, text string, lang string"))
-    one = {r["doc_id"]: r for r in language.predict(docs, language.train(docs)).collect()}
-    monkeypatch.setattr(language, "SHARD_ROWS", 12_000)
+    docs = docs.unionByName(frame([(-1, "x" * 9, "rare"), (-2, None, "de"), (-3, "12", None), (None, "the house", "en"), (-4, "", "de"), (-5, "\u4e00\u4e01 new letters", None), (2**60 + 1, "the end", None)], "doc_id long, text string, lang string"))
+    held = language.train(docs)
+    one = {r["doc_id"]: r for r in language.predict(docs, held).collect()}
+    monkeypatch.setattr(language, "HELD_ROWS", 100)
+    monkeypatch.setattr(language, "GROUP_CHARS", 100_000)
     model = language.train(docs)
-    assert model.shards > 1
-    for doc_id, r in {r["doc_id"]: r for r in language.predict(docs, model).collect()}.items():
+    assert model.models is None and held.models is not None and model.slope == held.slope and np.allclose(model.limits, held.limits, rtol=1e-5)
+    got = {r["doc_id"]: r for r in language.predict(docs, model).collect()}
+    assert set(got) == set(one) and language.predict(docs, model).count() == docs.count()
+    for doc_id, r in got.items():
         assert (r["lang_pred"], r["rejected"]) == (one[doc_id]["lang_pred"], one[doc_id]["rejected"])
         assert math.isclose(r["cross_entropy"], one[doc_id]["cross_entropy"], rel_tol=1e-5) and math.isclose(r["score"], one[doc_id]["score"], abs_tol=1e-4)
     monkeypatch.setattr(language, "training_rows", lambda docs: docs)
-    kept = {r["doc_id"] for r in language.keep_known_languages(spark, docs, SF).collect()}
-    assert kept == {d for d, r in one.items() if not r["rejected"]}
+    kept = language.keep_known_languages(spark, docs, SF)
+    assert {r["doc_id"] for r in kept.collect()} == {d for d, r in one.items() if not r["rejected"]} and kept.columns == docs.columns
+
+
+def test_any_number_of_labels(spark, frame):
+    """A dirty label column: 1,500 labels of one row each beside two real languages."""
+    docs = frame([(i, t, lang) for i, (t, lang) in enumerate([("the house and the garden of the king", "en"), ("das Haus und der Garten von dem Wald", "de")] * 20)]
+                 + [(1000 + i, f"q{chr(97 + i % 26)}x z", f"label {i}") for i in range(1500)], "doc_id long, text string, lang string")
+    model = language.train(docs)
+    assert len(model.langs) == 1502 and np.isfinite(model.limits).all()
+    got = {r["doc_id"]: r["lang_pred"] for r in language.predict(docs.where("doc_id < 1000"), model).collect()}
+    assert all(got[i] == ("de" if i % 2 else "en") for i in got)
+
+
+def test_nothing_labelled_keeps_all(spark, frame):
+    docs = frame([(1, "text", None), (2, None, None), (None, "12", None)], "doc_id long, text string, lang string")
+    assert language.keep_known_languages(spark, docs, SF).count() == 3
+
+
+def test_rare_languages_have_limits(frame):
+    docs = frame([(i, "the house and the garden", "en") for i in range(5000)] + [(9999, "das Haus und der Garten", "de")], "doc_id long, text string, lang string")
+    assert np.isfinite(language.train(docs).limits).all()
