@@ -26,14 +26,16 @@ from .slices import MIX, mixed, some_texts, words_of
 MASKS = ("1111110000", "1101001101", "1010110011", "1100110101")
 SPAN = 10
 #: For items below 13 words, where fewer offsets fit: with those of SPAN words no two substitutions in 10 to 12 words
-#: break every mask, with the others no single one does in 6 to 9 words (found by enumeration).
+#: break every mask, with the others no single one does in 5 to 9 words (found by enumeration).  An item of up to four
+#: words has to agree in all of them: it is one hash.
 MORE_MASKS = ("0001111110", "0111001011", "1110001110", "1011000111", "0010111101", "0101110011")
 SHORT_MASKS = {
+    1: ("1",), 2: ("11",), 3: ("111",), 4: ("1111",), 5: ("00111", "11011", "11100"),
     6: ("001111", "110011", "111100"), 7: ("0011111", "1100111", "1111000"),
     8: ("00111111", "11000111", "11111000"), 9: ("000111111", "111000111", "111111000"),
 }
 ENOUGH = 13  # words from which on the offsets of MASKS are enough
-SHORTEST = 6  # words of the shortest item that is looked for inside a text
+SALTS = 8  # join keys that a seed's rows are dealt over
 FILTER_BITS = 26
 #: ASCII punctuation counts as white space.
 PUNCTUATION = bytes(32 if not (chr(c).isalnum() or c >= 128) else c for c in range(256))
@@ -57,7 +59,7 @@ def masks_of(n_words: int, masks: tuple[str, ...]) -> tuple[str, ...]:
     """Masks for an item: the spaced ones, more of them if fewer offsets fit, shorter ones if it is shorter than they are."""
     if n_words >= SPAN:
         return masks if n_words >= ENOUGH else masks + MORE_MASKS
-    return SHORT_MASKS.get(n_words, ())
+    return SHORT_MASKS[n_words]
 
 
 def item_seeds(masks):
@@ -109,6 +111,9 @@ def document_seeds(masks: list[str], places: np.ndarray, bits: np.ndarray):
                     doc = np.searchsorted(before, hit, "right") - 1
                     whole = hit + len(mask) <= before[doc + 1]  # not across two texts
                     hit, doc = hit[whole], doc[whole]
+                    if len(mask) < 5 and len(hit):  # one hash is the whole item: a text's first place of it will do
+                        first = np.unique(np.stack([doc, seed[hit].view(np.int64)]), axis=1, return_index=True)[1]
+                        hit, doc = hit[first], doc[first]
                     out.append(pd.DataFrame({"doc_id": ids[at:to][doc], "length": len(mask), "seed": seed[hit].view(np.int64), "at": hit - before[doc]}))
                 if out:
                     yield pd.concat(out)
@@ -146,9 +151,9 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, masks: tuple[str, ...]
     least item_id; classes: (item_id, class_id), pairs name classes.  A pair is returned when,
     at the shift of some hit, a stretch of ``window`` words (all of a shorter item) agrees
     in at least ``share`` of its words; with the default masks, window and share every such shift has a hit.
-    Items under SHORTEST words are found only as a document's whole text; those without words never.  Null
-    texts count as empty; rows without an id are left out; documents are read whole.  Rows
-    that repeat a doc_id give its pairs once.  Empty tables give no pairs.
+    Items of any length are looked for inside the texts (a one-word item in all that hold the word); those
+    without words never.  Null texts count as empty; rows without an id are left out; documents are read whole.  Rows
+    that repeat a doc_id give its pairs once; extra columns are ignored.  Empty tables give no pairs.
     """
     spark = docs.sparkSession
     docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
@@ -166,17 +171,15 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, masks: tuple[str, ...]
     sizes = [r[0] for r in chosen.select(F.least("n_words", F.lit(ENOUGH))).distinct().collect()]
     used = sorted({m for n in sizes for m in masks_of(n, masks)})
     found = docs.mapInPandas(document_seeds(used, filled["place"].to_numpy(np.int64), filled["bits"].to_numpy(np.int64).view(np.uint64)), "doc_id long, length int, seed long, at long")
-    hits = found.join(seeds.select("length", "seed", "item_id", F.col("at").alias("item_at")), ["length", "seed"]) \
+    # a passage that very many documents hold is one seed: its rows are dealt over several keys
+    salted = seeds.select("length", "seed", "item_id", F.col("at").alias("item_at"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    hits = found.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(salted, ["length", "seed", "salt"]) \
         .groupBy("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).agg(F.count(F.lit(1)).alias("n"))
     near = stage(hits.groupBy("doc_id", "item_id").agg(F.collect_list("shift").alias("shifts")), "benchmark-hits")
     wanted = docs.join(near.select("doc_id").distinct(), "doc_id", "left_semi")
     both = wanted.join(near, "doc_id").join(chosen.select("item_id", F.col("text").alias("item_text")), "item_id")
     pairs = both.select("doc_id", "text", "item_id", "item_text", "shifts").mapInPandas(overlapping(window, share), "doc_id long, item_id long")
-    if chosen.where(f"n_words < {SHORTEST}").isEmpty():
-        return stage(pairs.distinct(), "benchmark-pairs"), classes.select("item_id", "class_id")
-    short = classes.where(f"n_words < {SHORTEST}").select("digest", F.col("class_id").alias("item_id")).distinct()
-    same = docs.mapInPandas(digest, "doc_id long, digest binary, n_words long").where(f"n_words between 1 and {SHORTEST - 1}").join(short, "digest").select("doc_id", "item_id")
-    return stage(pairs.unionByName(same).distinct(), "benchmark-pairs"), classes.select("item_id", "class_id")
+    return stage(pairs.distinct(), "benchmark-pairs"), classes.select("item_id", "class_id")
 
 
 def flagged(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -189,13 +192,13 @@ def flagged(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents that hold a benchmark passage go; rows without an id stay."""
+    """Pipeline stage: documents that hold a benchmark passage go; rows without an id stay, all others as in ``contaminated_pairs``."""
     pairs, _ = contaminated_pairs(docs, table(spark, sf_dir, "benchmark"))
     return docs.join(pairs.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
 
 
 def op5_spaced_seed_decontamination(spark, sf_dir):
-    """Every document with the benchmark items that it holds a passage of."""
+    """Every document with the benchmark items that it holds a passage of; edge cases as in ``contaminated_pairs``."""
     return flagged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 

@@ -19,10 +19,6 @@ def brute(docs, items, window=13, share=0.8):
         doc = words(t)
         for item, i in first.items():
             n = len(item)
-            if n < dc.SHORTEST:
-                if tuple(doc) == item:
-                    out.add((d, i))
-                continue
             masks = dc.masks_of(n, dc.MASKS)
             for shift in range(-n, len(doc)):
                 hit = any(all(doc[shift + at + k] == item[at + k] for k, b in enumerate(m) if b == "1")
@@ -79,7 +75,7 @@ def accepted(doc, item, window=13, share=0.8):
 
 
 def test_every_accepted_placement_of_a_short_item_is_found(frame):
-    items = {n: [f"i{n}w{k}" for k in range(n)] for n in (6, 7, 8, 9, 10, 11, 12, 13, 15)}
+    items = {n: [f"i{n}w{k}" for k in range(n)] for n in (*range(1, 14), 15)}
     docs = []
     for n, item in items.items():
         for gone in [c for e in range(4) for c in combinations(range(n), e)]:
