@@ -26,9 +26,13 @@ from .slices import WHITE, SliceCache, some_texts
 
 DECAY = 0.75
 SPAN = 10
-LEAST = 0.0  # no kernel is cut
 LANDMARKS = 128
-LONGEST = 32
+#: Longer words are read in windows of so many characters, a new one every STEP: every stretch of up to
+#: LONGEST - STEP + 1 characters lies whole in one, with what a landmark of that length can match.
+LONGEST, STEP = 32, 8
+LONGEST_LANDMARK = LONGEST - STEP + 1
+#: Codes of a triple up to which their places are one array; more are looked up in order.
+DENSE = 1 << 22
 #: Words whose kernels a task remembers; beyond it they are forgotten and made again.
 MAX_ROWS = 1 << 18
 PIECE = 16
@@ -97,11 +101,20 @@ class Kernel:
         self.who, self.value = pair % max(len(landmarks), 1), value  # landmarks that have a triple, code by code
         self.value = self.value / np.maximum(self.norm, 1e-30)[self.who]
         codes, first = np.unique(pair // max(len(landmarks), 1), return_index=True)
-        self.place = np.zeros(self.base**3, np.int32)  # of a code among the landmarks' triples, from 1
-        self.place[codes] = np.arange(1, len(codes) + 1)
+        self.codes, self.place = codes, None
+        if self.base**3 <= DENSE:
+            self.place = np.zeros(self.base**3, np.int32)  # of a code among the landmarks' triples, from 1
+            self.place[codes] = np.arange(1, len(codes) + 1)
         self.begin = np.concatenate([[0], first, [len(pair)]])
         self.begin[0] = self.begin[1] if len(codes) else 0
 
+    def places(self, c: np.ndarray) -> np.ndarray:
+        """Place of each code among the landmarks' triples, from 1; 0 for others."""
+        if self.place is not None or not len(self.codes):
+            return self.place[c] if self.place is not None else np.zeros(len(c), np.int64)
+        at = np.minimum(np.searchsorted(self.codes, c), len(self.codes) - 1)
+        return np.where(self.codes[at] == c, at + 1, 0)
+
     def values(self, words: list[str]) -> np.ndarray:
         """words x landmarks."""
         m = len(self.landmarks)
@@ -109,7 +122,7 @@ class Kernel:
         if not words or not m:
             return out
         w, c, v = triples(words, self.symbol)
-        place = self.place[c]
+        place = self.places(c)
         hit = np.flatnonzero(place)
         w, place, v = w[hit].astype(np.int64), place[hit], v[hit]
         sizes = self.begin[place + 1] - self.begin[place]
@@ -185,7 +198,7 @@ def remembered(kernel: Kernel) -> WordKernels:
 def bare(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(begin, end, sentence) of the words of the lower-cased bytes; sentences end at line ends and at . ! ? before white space.
 
-    Words of over LONGEST bytes are read as pieces of LONGEST that overlap by half.
+    Words of over LONGEST characters are read in windows of LONGEST, STEP apart.
     """
     code = np.frombuffer(data, np.uint8)
     white = WHITE[code]
@@ -193,10 +206,12 @@ def bare(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     inside = np.concatenate([[False], ~white, [False]])
     begin = np.flatnonzero(inside[1:] & ~inside[:-1])
     end = np.flatnonzero(inside[:-1] & ~inside[1:])
-    parts = np.maximum(1, -(-(end - begin - LONGEST // 2) // (LONGEST // 2)))
-    if parts.max(initial=1) > 1:
-        start = np.repeat(begin, parts) + LONGEST // 2 * (np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts))
-        begin, end = start, np.minimum(start + LONGEST, np.repeat(end, parts))
+    if (end - begin > LONGEST).any():
+        chars = np.append(np.flatnonzero((code & 0xC0) != 0x80), len(code))  # first byte of each character, and the end
+        first, last = np.searchsorted(chars, begin), np.searchsorted(chars, end)
+        parts = 1 + np.maximum(0, -(-(last - first - LONGEST) // STEP))
+        opens = np.repeat(first, parts) + STEP * (np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts))
+        begin, end = chars[opens], chars[np.minimum(opens + LONGEST, np.repeat(last, parts))]
     return begin, end, np.cumsum(ends)[begin]
 
 
@@ -274,13 +289,13 @@ def spelt_out(data: bytes, begin: np.ndarray, end: np.ndarray, sentence: np.ndar
 
 
 def unit_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """mapInPandas function over (text, y): each different word of a text of three to 24 characters."""
+    """mapInPandas function over (text, y): each different word of a text of three to LONGEST_LANDMARK characters."""
     for pdf in batches:
         for text, y in zip(pdf["text"], pdf["y"]):
             data = text.lower().encode("utf-8", "replace")
             begin, end, _ = bare(data)
             words = {SKIPPED.sub("", data[b:e].decode("utf-8", "replace")) for b, e in zip(begin.tolist(), end.tolist())}
-            words = [w for w in words if 3 <= len(w) <= 24]
+            words = [w for w in words if 3 <= len(w) <= LONGEST_LANDMARK]
             if words:
                 yield pd.DataFrame({"word": np.array(words, object), "toxic": y, "clean": 1 - y})
 
@@ -343,7 +358,11 @@ def train(sample: DataFrame) -> ToxicityModel:
 
 
 def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    """(doc_id, score), a row for every row of ``docs`` (doc_id, text); a null text counts as empty, texts are read whole."""
+    """(doc_id, score), a row for every row of ``docs`` (doc_id, text).
+
+    A null text counts as empty, texts are read whole, null and repeated ids pass through, other columns are
+    ignored and an empty table gives an empty result.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -353,7 +372,7 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
 
 def op6_subsequence_kernel_toxicity(spark, sf_dir):
-    """Toxicity score of every document, learnt from the training fold's labels."""
+    """Toxicity score of every document, learnt from the training fold's labels; edge cases as in ``score``."""
     docs = table(spark, sf_dir, "documents")
     model = train(labelled_sample(docs, table(spark, sf_dir, "labels"), "toxic", 4, 2, SAMPLE_ROWS))
     return score(docs, model).select("doc_id", (crc_fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))

@@ -82,7 +82,7 @@ def brute_kernel(a, b):
     dot = lambda x, y: sum(v * y.get(k, 0) for k, v in x.items())
     x, y = subsequences(a), subsequences(b)
     k = dot(x, y) / math.sqrt(dot(x, x) * dot(y, y)) if x and y else 0.0
-    return k if k >= toxicity.LEAST else 0.0
+    return k
 
 
 def test_kernel_equals_brute_force():
@@ -114,6 +114,42 @@ def test_small_kernels_are_kept():
     assert all(got[words.index(w), marks.index(m)] > 0 for m, some in OBFUSCATED.items() for w in some)
 
 
+def test_many_characters_need_little_memory():
+    import tracemalloc
+
+    rnd = random.Random(3)
+    marks = ["".join(chr(0x4E00 + 16 * i + k) for k in rnd.sample(range(16), 4)) for i in range(125)]
+    assert len(set("".join(marks))) == 500
+    words = [m[:2] + "x" + m[2:] for m in marks] + ["\u4e00" * 20, "abc"] + ["".join(chr(rnd.randrange(0x4E00, 0x4E00 + 2000)) for _ in range(30)) for _ in range(50)]
+    tracemalloc.start()
+    kernel = toxicity.Kernel(marks)
+    got = kernel.values(words)
+    assert tracemalloc.get_traced_memory()[1] < 64e6
+    tracemalloc.stop()
+    dense, toxicity.DENSE = toxicity.DENSE, 1 << 60
+    assert kernel.place is None and np.allclose(got, [[brute_kernel(w, m) for m in marks] for w in words])
+    toxicity.DENSE = dense
+
+
+def test_two_thousand_characters():
+    marks = ["".join(chr(0x4E00 + 16 * i + k) for k in range(16)) for i in range(125)]
+    assert len(set("".join(marks))) == 2000
+    assert np.allclose(toxicity.Kernel(marks).values([marks[7], marks[9] + "a"]).argmax(1), [7, 9])
+
+
+@pytest.mark.parametrize("first", [ord("a"), 0xE0, 0x4E00, 0x1F600])
+def test_long_words_are_read_whole(first):
+    """An insult at any place of an unbroken run of other characters, of one to four bytes each."""
+    rnd = random.Random(6)
+    filler = "".join(chr(first + rnd.randrange(24)) for _ in range(6000))
+    mark = "unverschaemterkerl" + "ß" * 4
+    model = toxicity.ToxicityModel([mark, "idiot"])
+    for at in (0, 1, 15, 16, 17, 31, 32, 200, 5000):
+        for word, least in ((mark, 0.5), ("idiot", 0.15)):
+            assert model.margins([filler[:at] + word + filler[at:at + 40]])[0] > least, (at, word)
+    assert model.margins([chr(0x4E00) * 100_000, "y" * 33]).tolist() == [0, 0]
+
+
 def test_obfuscated_and_short_insults_score_above_clean(frame):
     plain = "we all went home and saw nothing"
     rows = [(i, f"{plain}\nsuch a {word} he was", 1) for i, word in enumerate([*OBFUSCATED, "oaf"] * 10)] + [(100 + i, f"{plain}\nsuch a day he had", 0) for i in range(60)]
