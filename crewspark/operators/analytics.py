@@ -184,13 +184,16 @@ def table_profile(df: DataFrame) -> DataFrame:
                           "__rows AS rows")
 
 
-def register_views(spark: SparkSession, **views: DataFrame) -> None:
-    """Q1: expose frames to ``spark.sql`` under the given names."""
-    for name, df in views.items():
-        df.createOrReplaceTempView(name)
-
-
 def run_sql(spark: SparkSession, sql: str, **views: DataFrame) -> DataFrame:
-    """Q1: ad-hoc SQL over registered views; the result stays a DataFrame."""
-    register_views(spark, **views)
-    return spark.sql(sql)
+    """Q1: ad-hoc SQL over the given frames by name; the result stays a DataFrame.
+
+    The names hold for this statement only: it is given as common table expressions, so no view of the
+    session is made or replaced and several users of a session don't meet.
+    """
+    named = ", ".join(f"`{name}` AS (SELECT * FROM {{{name}}})" for name in views)
+    body = sql.strip().rstrip(";").replace("{", "{{").replace("}", "}}")
+    if not named:
+        return spark.sql(sql)
+    if body[:4].lower() == "with":
+        body = f"SELECT * FROM ({body})"
+    return spark.sql(f"WITH {named} {body}", **views)

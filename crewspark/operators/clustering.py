@@ -1,17 +1,24 @@
 """Workforce clustering (K1–K7) with MLlib and DataFrame aggregates.
 
 Standardisation divides by the population standard deviation (MLlib's
-StandardScaler uses the sample one, so it is not used).  Silhouette is the
-squared-Euclidean form, computed exactly from per-cluster sums — no pairs.
+StandardScaler uses the sample one, so it is not used).  There are two silhouettes: the
+squared-Euclidean form, computed exactly from per-cluster sums without pairs, and the
+Euclidean form, whose square roots need every pair, in bounded tiles.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship_code, written
+
 FEATURES = ["Age", "Cost_per_Hour", "Avg_Performance"]
 
 
@@ -66,31 +73,109 @@ def kmeans(df: DataFrame, features: list[str] = FEATURES, k: int = 4, seed: int
     return labels, centres, float(cost)
 
 
-MAX_CLUSTERS = 1_000  # centres/cluster statistics are a model of k rows
+TILE_ROWS = 2_048     # rows of either side that meet in one task
+CENTRE_PLACES = 9     # digits that centres are kept to, so that the order of summation doesn't matter
+
 
+def kmeans_starts(std: DataFrame, k: int = 4, starts: int = 10, rounds: int = 30, features: list[str] = FEATURES,
+                  key: str = "EmployeeID") -> tuple[DataFrame, list[list[list[float]]], list[float]]:
+    """K3: (labels, centres of every start, cost of every start); the labels are of the start of least cost.
 
-def _small_rows(df: DataFrame, what: str) -> list:
-    """Fetch a k-row model table (centres, per-cluster sums) after a size check."""
-    rows = df.limit(MAX_CLUSTERS + 1).collect()
-    if len(rows) > MAX_CLUSTERS:
-        raise ValueError(f"{what}: more than {MAX_CLUSTERS} rows")
-    return rows
+    ``std``: standardised rows.  Start s begins at the ``k`` rows of least md5("s:key").  All starts advance in the
+    same scan: a row adds itself to its nearest centre (ties: the lower) of each, a partial aggregate of
+    starts * k rows a task, until no centre moves or ``rounds`` are done.  An empty cluster keeps its centre.
+    """
+    data = written(std.select(F.col(key).cast("long").alias(key), *[F.col(c).cast("double").alias(c) for c in features]), "kmeans-rows")
+    check_inputs(data.count(), k, features)
+    hashes = [F.md5(F.concat(F.lit(f"{s}:"), F.col(key).cast("string")).cast("binary")) for s in range(starts)]
+    centres = [[[round(float(r[c]), CENTRE_PLACES) for c in features] for r in data.orderBy(h, key).limit(k).collect()] for h in hashes]
+
+    def nearest(which: list[list[float]]):
+        return F.array_min(F.array(*[F.struct(reduce(lambda a, b: a + b, [(F.col(c) - F.lit(x)) * (F.col(c) - F.lit(x)) for c, x in zip(features, centre)]).alias("d2"), F.lit(i).cast("long").alias("cluster"))
+                                     for i, centre in enumerate(which)]))
+
+    def all_nearest():
+        return data.select(*features, F.posexplode(F.array(*[nearest(c) for c in centres])).alias("start", "near"))
+
+    for _ in range(rounds):
+        sums = all_nearest().groupBy("start", F.col("near.cluster").alias("cluster")).agg(*[F.avg(c).alias(c) for c in features]).collect()
+        moved = [[list(c) for c in some] for some in centres]
+        for r in sums:
+            moved[r["start"]][r["cluster"]] = [round(float(r[c]), CENTRE_PLACES) for c in features]
+        if moved == centres:
+            break
+        centres = moved
+    costs = {r["start"]: round(r["cost"], CENTRE_PLACES) for r in all_nearest().groupBy("start").agg(F.sum("near.d2").alias("cost")).collect()}
+    best = min(costs, key=lambda s: (costs[s], s))
+    return data.select(key, nearest(centres[best])["cluster"].alias("cluster")), centres, [costs[s] for s in range(starts)]
+
+
+def tiled(left: DataFrame, right: DataFrame, run: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str, key: str, rows: int | None = None) -> DataFrame:
+    """``run`` over every pair of a block of ``left`` and a block of ``right`` of about ``rows`` rows each."""
+    rows = rows or TILE_ROWS
+    right = right.select(*[F.col(c).alias(c) for c in right.columns])  # both sides may come from one frame
+    n, m = (max(1, math.ceil(side.count() / rows)) for side in (left, right))
+    deal = lambda side, own, count, other, copies: side.withColumn(own, F.pmod(F.xxhash64(key), F.lit(count))).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    ship_code()
+    tiles = deal(left, "_i", n, "_j", m).groupBy("_i", "_j").cogroup(deal(right, "_j", m, "_i", n).groupBy("_i", "_j"))
+    return tiles.applyInPandas(run, schema)
+
+
+def _squares(x: pd.DataFrame, y: pd.DataFrame, features: list[str]) -> np.ndarray:
+    """Squared distances of all pairs, from the differences (exact zeros stay zero)."""
+    out = np.zeros((len(x), len(y)))
+    for c in features:
+        out += (x[c].to_numpy(np.float64)[:, None] - y[c].to_numpy(np.float64)[None, :]) ** 2
+    return out
 
 
 def assign(std: DataFrame, centres: DataFrame, features: list[str] = FEATURES, key: str = "EmployeeID") -> DataFrame:
     """K4: nearest centre by squared distance (ties → lower centre id).
 
-    ``centres`` (cluster, <features>) is a k-row model; each row's distances
-    to the k centres are column expressions, so this is a single projection.
+    ``centres`` (cluster, <features>), any number of them: blocks of rows meet blocks of centres, and a row keeps
+    the least (distance, centre) of all blocks.  Without centres there are no rows.
+    """
+    centres = centres.select(F.col("cluster").cast("long").alias("cluster"), F.col("cluster").cast("long").alias(key), *features)
+
+    def run(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        if not len(x) or not len(y):
+            return pd.DataFrame({key: [], "d2": [], "cluster": []})
+        y = y.sort_values("cluster")
+        d2 = _squares(x, y, features)
+        at = d2.argmin(1)
+        return pd.DataFrame({key: x[key].to_numpy(), "d2": d2[np.arange(len(x)), at], "cluster": y["cluster"].to_numpy()[at]})
+
+    best = tiled(std.select(F.col(key).cast("long").alias(key), *features), centres, run, f"{key} long, d2 double, cluster long", key)
+    return best.groupBy(key).agg(F.min(F.struct("d2", "cluster"))["cluster"].alias("cluster"))
+
+
+def silhouette_euclidean(std: DataFrame, labels: DataFrame, features: list[str] = FEATURES, key: str = "EmployeeID") -> DataFrame:
+    """K5: mean silhouette of Euclidean distances, one row; NaN unless there are 2 to n - 1 clusters.
+
+    Distances don't decompose into cluster sums, so every pair is looked at, a tile of TILE_ROWS * TILE_ROWS
+    pairs in a task; a tile gives one row per point and cluster, never a row a pair.  Work grows with the
+    square of the rows; ``silhouette`` is the form that doesn't.
     """
-    cen = sorted(_small_rows(centres, "centres"), key=lambda r: int(r["cluster"]))
-    cands = []
-    for r in cen:
-        d2 = reduce(lambda a, b: a + b, [(F.col(c) - F.lit(float(r[c]))) * (F.col(c) - F.lit(float(r[c])))
-                                          for c in features])
-        cands.append(F.struct(d2.alias("d2"), F.lit(int(r["cluster"])).cast("long").alias("cluster")))
-    best = F.array_min(F.array(*cands))
-    return std.select(key, best["cluster"].alias("cluster"))
+    pts = written(std.select(F.col(key).cast("long").alias(key), *features).join(labels.select(F.col(key).cast("long").alias(key), F.col("cluster").cast("long").alias("cluster")), key), "silhouette-rows")
+    sizes = pts.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
+    n, k = pts.count(), sizes.count()
+
+    def run(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        if not len(x) or not len(y):
+            return pd.DataFrame({key: [], "cluster": [], "other": [], "total": []})
+        y = y.sort_values("cluster")
+        other, first = np.unique(y["cluster"].to_numpy(), return_index=True)
+        sums = np.add.reduceat(np.sqrt(_squares(x, y, features)), first, axis=1)
+        return pd.DataFrame({key: np.repeat(x[key].to_numpy(), len(other)), "cluster": np.repeat(x["cluster"].to_numpy(), len(other)), "other": np.tile(other, len(x)), "total": sums.ravel()})
+
+    totals = tiled(pts, pts, run, f"{key} long, cluster long, other long, total double", key).groupBy(key, "cluster", "other").agg(F.sum("total").alias("total"))
+    means = totals.join(sizes.select(F.col("cluster").alias("other"), "size"), "other")
+    own = F.col("cluster") == F.col("other")
+    per = means.groupBy(key).agg(F.max(F.when(own, F.col("size"))).alias("size"), F.max(F.when(own & (F.col("size") > 1), F.col("total") / (F.col("size") - 1))).alias("a"),
+                                 F.min(F.when(~own, F.col("total") / F.col("size"))).alias("b"))
+    top = F.greatest("a", "b")
+    s = F.when((F.col("size") == 1) | (top == 0), 0.0).otherwise((F.col("b") - F.col("a")) / top)
+    return per.agg((F.avg(s) if 2 <= k < n else F.lit(float("nan"))).alias("silhouette"))
 
 
 def silhouette(std: DataFrame, labels: DataFrame, features: list[str] = FEATURES,
@@ -98,37 +183,27 @@ def silhouette(std: DataFrame, labels: DataFrame, features: list[str] = FEATURES
     """K5: mean silhouette with squared-Euclidean dissimilarity (MLlib's definition).
 
     Σ_y∈C ||x−y||² = |C|·||x||² − 2·x·ΣC + Σ_C||y||², so every point needs only
-    the per-cluster count, vector sum and squared-norm sum (a k-row table).
-    One row: silhouette, or NaN when there are not more rows than clusters.
+    the per-cluster count, vector sum and squared-norm sum: blocks of points meet blocks of those rows.
+    One row: silhouette, or NaN when there are not more rows than clusters or fewer than two clusters.
     """
-    pts = std.join(labels, key).withColumn("nn", reduce(lambda a, b: a + b, [F.col(c) * F.col(c) for c in features]))
-    stats = _small_rows(pts.groupBy("cluster").agg(
-        F.count(F.lit(1)).alias("cn"), F.sum("nn").alias("cs"), *[F.sum(c).alias(f"sum_{c}") for c in features]),
-        "cluster statistics")
-    stats = sorted(stats, key=lambda r: int(r["cluster"]))
-    k = len(stats)
-    n = sum(int(r["cn"]) for r in stats)
-    if k < 2:
-        return std.sparkSession.range(1).select(F.lit(float("nan")).alias("silhouette"))
-    own_a, own_n, others = None, None, []
-    for r in stats:
-        cn = float(r["cn"])
-        dot = reduce(lambda a, b: a + b, [F.col(c) * F.lit(float(r[f"sum_{c}"])) for c in features])
-        tot = F.lit(cn) * F.col("nn") - 2 * dot + F.lit(float(r["cs"]))
-        mine = F.col("cluster") == F.lit(int(r["cluster"]))
-        own_a = (F.when(mine, tot / F.lit(cn - 1) if cn > 1 else F.lit(None)) if own_a is None
-                 else own_a.when(mine, tot / F.lit(cn - 1) if cn > 1 else F.lit(None)))
-        own_n = F.when(mine, F.lit(cn)) if own_n is None else own_n.when(mine, F.lit(cn))
-        others.append(F.when(~mine, tot / F.lit(cn)))
-    b = F.least(*others) if len(others) > 1 else others[0]
-    per = pts.select(own_a.alias("a"), own_n.alias("cn"), b.alias("b"))
-    s = per.select(F.when((F.col("cn") == 1) | F.col("b").isNull(), F.lit(0.0))
-                   .when(F.col("a") < F.col("b"), 1 - F.col("a") / F.col("b"))
-                   .when(F.col("a") > F.col("b"), F.col("b") / F.col("a") - 1)
-                   .otherwise(F.lit(0.0)).alias("s"))
-    if n <= k:
-        return s.agg(F.lit(float("nan")).alias("silhouette"))
-    return s.agg(F.avg("s").alias("silhouette"))
+    pts = written(std.select(F.col(key).cast("long").alias(key), *features).join(labels.select(F.col(key).cast("long").alias(key), F.col("cluster").cast("long").alias("cluster")), key)
+                  .withColumn("nn", reduce(lambda a, b: a + b, [F.col(c) * F.col(c) for c in features])), "silhouette-rows")
+    stats = written(pts.groupBy("cluster").agg(F.count(F.lit(1)).alias("cn"), F.sum("nn").alias("cs"), *[F.sum(c).alias(c) for c in features]).withColumn(key, F.col("cluster")), "silhouette-sums")
+    n, k = pts.count(), stats.count()
+
+    def run(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        if not len(x) or not len(y):
+            return pd.DataFrame({key: [], "cn": [], "a": [], "b": []})
+        cn = y["cn"].to_numpy(np.float64)
+        total = cn * x["nn"].to_numpy()[:, None] - 2 * x[features].to_numpy(np.float64) @ y[features].to_numpy(np.float64).T + y["cs"].to_numpy()
+        own = x["cluster"].to_numpy()[:, None] == y["cluster"].to_numpy()
+        a = np.where(own, total / np.maximum(cn - 1, 1), -np.inf).max(1)
+        b = np.where(own, np.inf, total / cn).min(1)
+        return pd.DataFrame({key: x[key].to_numpy(), "cn": np.where(own, cn, 0).max(1), "a": np.where(own.any(1), a, -np.inf), "b": b})
+
+    found = tiled(pts, stats, run, f"{key} long, cn double, a double, b double", key).groupBy(key).agg(F.max("cn").alias("cn"), F.max("a").alias("a"), F.min("b").alias("b"))
+    s = F.when(F.col("cn") == 1, 0.0).when(F.col("a") < F.col("b"), 1 - F.col("a") / F.col("b")).when(F.col("a") > F.col("b"), F.col("b") / F.col("a") - 1).otherwise(0.0)
+    return found.agg((F.avg(s) if 2 <= k < n else F.lit(float("nan"))).alias("silhouette"))
 
 
 def pca_2d(std: DataFrame, features: list[str] = FEATURES, key: str = "EmployeeID") -> DataFrame:

@@ -72,3 +72,18 @@ def completed_from_teams(teams: DataFrame, briefs: DataFrame) -> DataFrame:
             .select("BriefID", "team",
                     F.concat(F.lit("New Project based on: "), F.substring("q", 1, 30), F.lit("…")).alias("Project_Name"),
                     F.concat(F.lit("Completed project based on request: "), F.col("q")).alias("Project_Description")))
+
+
+def performance_state(rows: DataFrame) -> DataFrame:
+    """U4: (EmployeeID, total, n) of the history rows' scores; states of several parts of a history add up."""
+    return rows.groupBy("EmployeeID").agg(F.sum("Individual_Performance_Score").alias("total"), F.count("Individual_Performance_Score").alias("n"))
+
+
+def updated_state(state: DataFrame, appended: DataFrame) -> DataFrame:
+    """The state after an append: the appended rows' own state is added, the history is not read."""
+    return state.unionByName(performance_state(appended)).groupBy("EmployeeID").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+
+
+def state_averages(state: DataFrame) -> DataFrame:
+    """(EmployeeID, Avg_Performance): the mean of a person's scores, null where all are null."""
+    return state.select("EmployeeID", F.when(F.col("n") > 0, F.col("total") / F.col("n")).alias("Avg_Performance"))

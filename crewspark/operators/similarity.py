@@ -24,6 +24,7 @@ from ..session import parallelism, ship_code, written
 
 QUERY_BLOCK_ROWS = 20_000     # queries per cogroup slice
 CORPUS_BLOCK_ROWS = 50_000    # corpus vectors per cogroup slice
+MIN_BLOCK_ROWS = 4_096        # corpus vectors below which a block is not cut further
 QUERY_TILE_ROWS = 256         # queries multiplied at a time inside a slice
 SCORE_PLACES = 6              # scores are ranked at this precision, ties by id
 
@@ -155,6 +156,56 @@ def text_candidates(queries: DataFrame, idx: TextIndex, k: int, qtext: str) -> t
     return seeds, scored.where("score > 0")
 
 
+@dataclass
+class DescriptionIndex:
+    """An index that takes changes: projects, the distinct texts they use, and their terms.
+
+    entries: ProjectID, Domain, Project_Description; texts: did, Project_Description, users (projects that use it);
+    terms: did, token, tf; tokens: token, df (texts that hold it); n: distinct texts.
+    """
+
+    entries: DataFrame
+    texts: DataFrame
+    terms: DataFrame
+    tokens: DataFrame
+    n: int
+
+    @staticmethod
+    def build(entries: DataFrame) -> "DescriptionIndex":
+        spark = entries.sparkSession
+        empty = DescriptionIndex(entries.limit(0), spark.createDataFrame([], "did string, Project_Description string, users long"),
+                                 spark.createDataFrame([], "did string, token string, tf long"), spark.createDataFrame([], "token string, df long"), 0)
+        return empty.updated(entries)
+
+    def updated(self, changed: DataFrame, gone: DataFrame | None = None) -> "DescriptionIndex":
+        """The index after projects were changed, added (``changed``: as entries) or removed (``gone``: ProjectID).
+
+        Old entries of those projects are struck out; only texts that no project used before are read for
+        tokens, and document frequencies change by the texts that came and went.
+        """
+        changed = written(changed.select(*self.entries.columns), "index-changed")
+        ids = changed.select("ProjectID") if gone is None else changed.select("ProjectID").unionByName(gone.select("ProjectID")).distinct()
+        struck = self.entries.join(ids, "ProjectID", "left_semi")
+        use = lambda rows, sign: rows.where("Project_Description is not null").select(F.md5("Project_Description").alias("did"), "Project_Description", F.lit(sign).cast("long").alias("users"))
+        counts = self.texts.withColumn("before", F.col("users")).unionByName(use(changed, 1).unionByName(use(struck, -1)).withColumn("before", F.lit(0).cast("long")))
+        counts = written(counts.groupBy("did").agg(F.first("Project_Description").alias("Project_Description"), F.sum("users").alias("users"), F.sum("before").alias("before")), "index-texts")
+        came, went = counts.where("before = 0 and users > 0"), counts.where("before > 0 and users = 0")
+        fresh = written(text_terms(came, "Project_Description").select(F.md5("Project_Description").alias("did"), "token", "tf"), "index-terms")
+        lost = self.terms.join(went.select("did"), "did", "left_semi")
+        df = self.tokens.unionByName(fresh.groupBy("token").agg(F.count(F.lit(1)).alias("df"))).unionByName(lost.groupBy("token").agg((-F.count(F.lit(1))).alias("df")))
+        tokens = written(df.groupBy("token").agg(F.sum("df").alias("df")).where("df > 0"), "index-tokens")
+        texts = counts.where("users > 0").select("did", "Project_Description", "users")
+        entries = written(self.entries.join(ids, "ProjectID", "left_anti").unionByName(changed), "index-entries")
+        terms = written(self.terms.join(went.select("did"), "did", "left_anti").unionByName(fresh), "index-all-terms")
+        return DescriptionIndex(entries, texts, terms, tokens, self.n + came.count() - went.count())
+
+    def norms(self) -> DataFrame:
+        """(did, n_terms, norm) of every text, as ``index_weights`` gives them."""
+        idf = F.log((F.lit(1) + self.n) / (1 + F.col("df"))) + 1
+        w = self.terms.join(self.tokens, "token").select("did", (F.col("tf") * idf).alias("w"))
+        return w.groupBy("did").agg(F.count(F.lit(1)).alias("n_terms"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+
+
 def top_k_by_text(queries: DataFrame, index: DataFrame, k: int = 50, within: str | None = None,
                   qid: str = "BriefID", qtext: str = "project_description") -> DataFrame:
     """V3/V4: the ``k`` projects whose descriptions are most similar to each query's text, exactly.
@@ -215,8 +266,9 @@ def top_k_similar(queries: DataFrame, corpus: DataFrame, k: int = 50, qid: str =
     spark = queries.sparkSession
     n_q = queries.count() if n_queries is None else int(n_queries)
     n_c = corpus.count() if n_corpus is None else int(n_corpus)
-    nq = max(1, math.ceil(n_q / QUERY_BLOCK_ROWS), min(parallelism(spark), math.ceil(n_q / 256)))
-    nc = max(1, math.ceil(n_c / CORPUS_BLOCK_ROWS))
+    # the corpus is copied once per QUERY_BLOCK_ROWS queries, whatever the cluster's size; more cores cut the corpus
+    nq = max(1, math.ceil(n_q / QUERY_BLOCK_ROWS))
+    nc = max(1, math.ceil(n_c / CORPUS_BLOCK_ROWS), min(parallelism(spark), n_c // MIN_BLOCK_ROWS))
     q = (queries.select(F.col(qid).cast("long").alias("qid"), F.col(qvec).alias("vec"))
          .withColumn("qb", F.pmod(F.xxhash64("qid"), F.lit(nq)).cast("int"))
          .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(nc - 1)))))
@@ -351,62 +403,64 @@ def embed_text(docs: DataFrame, id_col: str, text_col: str, num_features: int =
     return model.transform(src).select(id_col, vector_to_array("_unit").alias("embedding"))
 
 
-def similar_ivf(queries: DataFrame, corpus: DataFrame, k: int = 50, cells: int | None = None,
-                probe: int | None = None, seed: int = 42, qid: str = "BriefID", qvec: str = "qvec",
-                cid: str = "ProjectID", cvec: str = "embedding") -> DataFrame:
-    """V5: approximate neighbours for large corpora (inverted file).
+CODE_BITS = 512
+CODE_SHARE = 0.2      # of a block's vectors that are compared in full
+
+
+def _codes(M: np.ndarray, bits: int, seed: int) -> np.ndarray:
+    """On which side of ``bits`` random planes each row lies, packed into bytes."""
+    planes = np.random.default_rng(seed).normal(size=(M.shape[1], bits))
+    return np.packbits(M @ planes > 0, axis=1)
+
 
-    The corpus is split into ``cells`` by MLlib k-means on unit vectors (√N by
-    default); each query is routed to its ``probe`` nearest cells (by default three
-    quarters of them) and scored
-    exactly against those cells only, inside the same blocked cogroup as V3
-    (cells larger than ``CORPUS_BLOCK_ROWS`` are split, so a crowded cell is
-    spread over several tasks).  Work per query is probe/cells of the exact
-    search; results are exact whenever the true neighbours lie in the probed cells.
+def similar_by_codes(queries: DataFrame, corpus: DataFrame, k: int = 50, share: float = CODE_SHARE, bits: int = CODE_BITS,
+                     seed: int = 42, qid: str = "BriefID", qvec: str = "qvec", cid: str = "ProjectID", cvec: str = "embedding") -> DataFrame:
+    """V5: approximate neighbours by random-projection codes, nearest codes first until enough rows are found.
+
+    Every vector gets a code once: the sides of ``bits`` random planes it lies on; the share of bits in which two
+    codes differ estimates their angle.  In each block of the corpus a query opens the vectors in
+    growing distance of the codes, ring after ring, until it has ``share`` of the block and at least ``k`` (all of a
+    smaller block), and compares only those in full.  So a query always gets ``k`` rows if the corpus has them, no
+    block is larger for being crowded, and the result is exact for share 1.  Codes pay where vectors are longer
+    than bits / 64 numbers; for short ones the exact product of V3 is as quick.
     """
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
-
-    c = corpus.select(F.col(cid).cast("long").alias("cid"), unit_vector(cvec).alias("vec"))
-    n_c = c.count()
-    n_cells = max(1, min(n_c, int(cells or round(math.sqrt(max(1, n_c))))))
-    km = KMeans(k=n_cells, seed=seed, featuresCol="f", predictionCol="cell", maxIter=20).fit(
-        c.select(array_to_vector("vec").alias("f")))
-    centres = np.array([np.asarray(x, dtype=np.float64) for x in km.clusterCenters()])
-    n_cells = centres.shape[0]
-    n_probe = max(1, min(probe or math.ceil(0.75 * n_cells), n_cells))
-    assigned = km.transform(c.withColumn("f", array_to_vector("vec"))).select(
-        "cid", "vec", F.col("cell").cast("int").alias("cell"))
-    sizes = assigned.groupBy("cell").count()
-    biggest = sizes.agg(F.max("count")).first()[0] or 1
-    n_sub = max(1, math.ceil(biggest / CORPUS_BLOCK_ROWS))
-    cblk = assigned.withColumn("sub", F.pmod(F.xxhash64("cid"), F.lit(n_sub)).cast("int"))
-
-    def route(batches):
+    spark = queries.sparkSession
+    nq = max(1, math.ceil(queries.count() / QUERY_BLOCK_ROWS))
+    n_c = corpus.count()
+    nc = max(1, math.ceil(n_c / CORPUS_BLOCK_ROWS), min(parallelism(spark), n_c // MIN_BLOCK_ROWS))
+
+    def coded(batches):
         for pdf in batches:
-            if pdf.empty:
-                continue
-            Q = np.stack(pdf["vec"].to_numpy()).astype(np.float64)
-            far = (centres ** 2).sum(1) - 2 * _unit(Q) @ centres.T  # squared distance less a constant
-            near = np.argsort(far, axis=1, kind="stable")[:, :n_probe]
-            yield pd.DataFrame({"qid": np.repeat(pdf["qid"].to_numpy(), n_probe).astype("int64"),
-                                "vec": np.repeat(pdf["vec"].to_numpy(), n_probe),
-                                "cell": near.reshape(-1).astype("int32")})
+            if len(pdf):
+                yield pdf.assign(code=[c.tobytes() for c in _codes(_unit(np.stack(pdf["vec"].to_numpy()).astype(np.float64)), bits, seed)])
 
     ship_code()
-    qs = (queries.select(F.col(qid).cast("long").alias("qid"), F.col(qvec).alias("vec"))
-          .mapInPandas(route, "qid long, vec array<float>, cell int")
-          .withColumn("sub", F.explode(F.sequence(F.lit(0), F.lit(n_sub - 1)))))
+    side = lambda rows, id_, vec, own, n, other, m: rows.select(F.col(id_).cast("long").alias("id"), F.col(vec).alias("vec")) \
+        .mapInPandas(coded, "id long, vec array<float>, code binary") \
+        .withColumn(own, F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(m - 1))))
+    q, c = side(queries, qid, qvec, "qb", nq, "cb", nc), side(corpus, cid, cvec, "cb", nc, "qb", nq)
 
     def block(qpdf: pd.DataFrame, cpdf: pd.DataFrame) -> pd.DataFrame:
+        out = [pd.DataFrame({"qid": [], "cid": [], "score": [], "rank": []})]
         if qpdf.empty or cpdf.empty:
-            return pd.DataFrame({"qid": [], "cid": [], "score": [], "rank": []})
-        Q = np.stack(qpdf["vec"].to_numpy()).astype(np.float64)
-        C = np.stack(cpdf["vec"].to_numpy()).astype(np.float64)
-        return _top_rows(qpdf["qid"].to_numpy(), Q, cpdf["cid"].to_numpy(), C, k)
-
-    hits = (qs.groupBy("cell", "sub").cogroup(cblk.select("cid", "vec", "cell", "sub").groupBy("cell", "sub"))
-            .applyInPandas(block, "qid long, cid long, score double, rank long"))
+            return out[0]
+        cpdf = cpdf.sort_values("id")  # among equal scores the smaller id comes first
+        cids, C = cpdf["id"].to_numpy(), _unit(np.stack(cpdf["vec"].to_numpy()).astype(np.float64))
+        codes = np.frombuffer(b"".join(cpdf["code"]), np.uint64).reshape(len(cids), -1)
+        opened = min(len(cids), max(k, math.ceil(share * len(cids))))
+        qids, Q = qpdf["id"].to_numpy(), _unit(np.stack(qpdf["vec"].to_numpy()).astype(np.float64))
+        asked = np.frombuffer(b"".join(qpdf["code"]), np.uint64).reshape(len(qids), -1)
+        for i in range(len(qids)):
+            far = np.bitwise_count(codes ^ asked[i]).sum(1, dtype=np.int64)
+            ring = np.partition(far, opened - 1)[opened - 1]
+            near = np.flatnonzero(far < ring)
+            near = np.sort(np.concatenate([near, np.flatnonzero(far == ring)[:opened - len(near)]]))
+            score = np.round(C[near] @ Q[i], SCORE_PLACES)
+            best = np.argsort(-score, kind="stable")[:k]
+            out.append(pd.DataFrame({"qid": qids[i], "cid": cids[near[best]], "score": score[best], "rank": np.arange(1, len(best) + 1)}))
+        return pd.concat(out)
+
+    hits = q.groupBy("qb", "cb").cogroup(c.groupBy("qb", "cb")).applyInPandas(block, "qid long, cid long, score double, rank long")
     w = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("cid"))
     hits = hits.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k)
     return hits.select(F.col("qid").alias(qid), F.col("cid").alias(cid), "score", "rank")

@@ -262,6 +262,14 @@ def q_version_diff_rev(spark: SparkSession, d: str) -> DataFrame:
                           ["EmployeeID"])
 
 
+@register("version_diff_buckets", W(["employee_versions"]) + _diff_sql(_V0, _V1))
+def q_version_diff_buckets(spark: SparkSession, d: str) -> DataFrame:
+    """The same as ``version_diff`` between two stored snapshots, joining only buckets whose digests differ."""
+    ev = Workforce(spark, d).employee_versions
+    before, after = (TB.BucketedSnapshot(spark, scratch_path(spark, f"employees-v{v}"), ["EmployeeID"]).write(ev.where(F.col("version") == v).drop("version")) for v in (0, 1))
+    return before.diff(after)
+
+
 def _employee_table(spark: SparkSession, d: str) -> TB.VersionedTable:
     """Commit the employee lifecycle of the reference: load, add column, merge averages."""
     wf = Workforce(spark, d)
@@ -305,6 +313,18 @@ def q_csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return TB.read_csv(spark, path, S.EMPLOYEES)
 
 
+@register("csv_corrupt_rows", W(["employees"]) + """
+SELECT Availability, corrupt, count(*) AS people FROM (SELECT Availability, Role = 'QA Engineer' AS corrupt FROM employees) x GROUP BY ALL""")
+def q_csv_corrupt(spark: SparkSession, d: str) -> DataFrame:
+    """A landing file in which QA engineers' ages are words: those lines are kept as they came, not read as nulls."""
+    path = scratch_path(spark, "employees-dirty-csv")
+    people = Workforce(spark, d).employees
+    TB.write_csv(people.withColumn("Age", F.when(F.col("Role") == "QA Engineer", F.concat(F.lit("about "), F.col("Age").cast("string"))).otherwise(F.col("Age").cast("string"))), path)
+    rows, corrupt = TB.read_csv_checked(spark, path, S.EMPLOYEES)
+    states = corrupt.select(F.regexp_extract(TB.CORRUPT, ",(Available|Busy),", 1).alias("Availability"), F.lit(True).alias("corrupt"))
+    return rows.select("Availability", F.lit(False).alias("corrupt")).unionByName(states).groupBy("Availability", "corrupt").agg(F.count(F.lit(1)).alias("people"))
+
+
 @register("partitioned_load", W(["projects"]) + f"SELECT * FROM projects WHERE Domain = '{DOMAIN}'")
 def q_partitioned_load(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "projects-by-domain")

@@ -257,10 +257,9 @@ def q_embed_text(spark: SparkSession, d: str) -> DataFrame:
 
 @register("similar_projects_ann", None)
 def q_similar_ann(spark: SparkSession, d: str) -> DataFrame:
-    """V5: approximate neighbours (inverted file over k-means cells); rows-only, recall
-    against V3 is tested."""
+    """V5: approximate neighbours by random-projection codes; rows-only, recall against V3 is tested."""
     vectors = Workforce(spark, d).embeddings
-    return V.similar_ivf(vector_queries(vectors), vectors.withColumnRenamed("vec_id", "neighbour"), k=K, qid="vec_id", cid="neighbour")
+    return V.similar_by_codes(vector_queries(vectors), vectors.withColumnRenamed("vec_id", "neighbour"), k=K, qid="vec_id", cid="neighbour")
 
 
 @register("phrase_skills_of_description", chain(["parsed"]) +

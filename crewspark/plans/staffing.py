@@ -290,6 +290,42 @@ def q_silhouette(spark: SparkSession, d: str) -> DataFrame:
     return K.silhouette(std, K.assign(std, _domain_centres(emp, std)))
 
 
+@register("silhouette_euclidean", with_views(["employees", "projects"], _CLUSTER_CTES).rstrip() + """
+, pts AS (SELECT s.*, a.cluster FROM std s JOIN assigned a ON a.EmployeeID = s.EmployeeID),
+tot AS (SELECT x.EmployeeID, x.cluster, y.cluster AS other, sum(sqrt(""" + " + ".join(f"(x.{c} - y.{c}) * (x.{c} - y.{c})" for c in _F) + """)) AS total, count(*) AS size
+        FROM pts x, pts y GROUP BY ALL),
+per AS (SELECT EmployeeID, max(CASE WHEN cluster = other THEN size END) AS size, max(CASE WHEN cluster = other AND size > 1 THEN total / (size - 1) END) AS a,
+          min(CASE WHEN cluster <> other THEN total / size END) AS b FROM tot GROUP BY EmployeeID)
+SELECT avg(CASE WHEN size = 1 OR greatest(a, b) = 0 THEN 0.0 ELSE (b - a) / greatest(a, b) END) AS silhouette FROM per""", round_cols=["silhouette"])
+def q_silhouette_euclidean(spark: SparkSession, d: str) -> DataFrame:
+    """K5 on the K4 labels with Euclidean distances, every pair in bounded tiles."""
+    emp, std = _std(spark, d)
+    return K.silhouette_euclidean(std, K.assign(std, _domain_centres(emp, std)))
+
+
+_K, _STARTS, _ROUNDS = 4, 10, 30
+
+
+def _starts_sql() -> str:
+    """All starts of K3 side by side, a round a CTE; rounds after the last change change nothing."""
+    sel = ", ".join(f"round(avg(p.{c}), 9) AS {c}" for c in _F)
+    keep = ", ".join(f"coalesce(n.{c}, c.{c}) AS {c}" for c in _F)
+    near = (f"SELECT s.*, c.start, arg_min(c.cluster, ({_D2}, c.cluster)) AS cluster, min({_D2}) AS d2 FROM std s, {{}} c GROUP BY ALL")
+    ctes = ["c0 AS MATERIALIZED (SELECT start, row_number() OVER (PARTITION BY start ORDER BY md5(start || ':' || EmployeeID), EmployeeID) - 1 AS cluster, "
+            + ", ".join(f"round({c}, 9) AS {c}" for c in _F) + f" FROM std, (SELECT unnest(range({_STARTS})) AS start) t QUALIFY cluster < {_K})"]
+    for r in range(_ROUNDS):
+        ctes.append(f"c{r + 1} AS MATERIALIZED (SELECT c.start, c.cluster, {keep} FROM c{r} c LEFT JOIN (SELECT p.start, p.cluster, {sel} FROM ({near.format(f'c{r}')}) p GROUP BY ALL) n "
+                    "ON n.start = c.start AND n.cluster = c.cluster)")
+    ctes.append(f"fin AS MATERIALIZED ({near.format(f'c{_ROUNDS}')})")
+    return ", " + ", ".join(ctes) + " SELECT EmployeeID, cluster FROM fin WHERE start = (SELECT arg_min(start, (cost, start)) FROM (SELECT start, round(sum(d2), 9) AS cost FROM fin GROUP BY start) t)"
+
+
+@register("kmeans_best_of_starts", with_views(["employees", "projects"], [("emp", ENRICHED_SQL), ("std0", _STD_SQL), ("std", "SELECT * FROM std0")]).rstrip() + _starts_sql())
+def q_kmeans_starts(spark: SparkSession, d: str) -> DataFrame:
+    """K3: k=4, the best of ten starts chosen by hash, all advanced in one scan a round."""
+    return K.kmeans_starts(_std(spark, d)[1], _K, _STARTS, _ROUNDS)[0]
+
+
 @register("kmeans_clusters", None)
 def q_kmeans(spark: SparkSession, d: str) -> DataFrame:
     """K3: k=4, seed 42, best of 10 starts (rows-only; invariants in tests)."""
@@ -324,6 +360,70 @@ def q_reenrich(spark: SparkSession, d: str) -> DataFrame:
     return M.update_only(emp, A.avg_performance(t.read(v)), ["EmployeeID"], ["Avg_Performance"])
 
 
+@register("reenrich_incremental", with_views(["employees", "projects"]) + """
+, hist AS (SELECT ProjectID, EmployeeID, Individual_Performance_Score FROM projects
+           UNION ALL SELECT ProjectID, EmployeeID, Individual_Performance_Score FROM (""" + _RECORDS_SQL + """) r)
+SELECT e.*, coalesce(a.Avg_Performance, 0.0) AS Avg_Performance
+FROM employees e LEFT JOIN (SELECT EmployeeID, avg(Individual_Performance_Score) AS Avg_Performance
+                            FROM hist GROUP BY EmployeeID) a ON e.EmployeeID = a.EmployeeID""",
+          round_cols=["Avg_Performance"])
+def q_reenrich_incremental(spark: SparkSession, d: str) -> DataFrame:
+    """The same as ``reenrich_after_append``, from the stored sums of the history and the appended rows alone."""
+    from ..functions import schema as S
+    from ..operators import merge as M
+
+    wf = Workforce(spark, d)
+    t = history_table(wf)
+    v = t.append(U.completion_records(_fallback_completion(wf), wf.employees, wf.projects), base=0)
+    state = U.updated_state(stored_performance(wf), t.appended(v))
+    emp = S.with_default(wf.employees, "Avg_Performance", 0.0, S.T.DoubleType())
+    return M.update_only(emp, U.state_averages(state), ["EmployeeID"], ["Avg_Performance"], check_unique=False)
+
+
+_STATES: dict[tuple[str, str], DataFrame] = {}
+
+
+def stored_performance(wf: Workforce) -> DataFrame:
+    """The performance state of the projects history's version 0, written once a session."""
+    key = (wf.spark.sparkContext.applicationId, wf.sf_dir)
+    if key not in _STATES:
+        _STATES[key] = written(U.performance_state(history_table(wf).read(0)), "performance-state")
+    return _STATES[key]
+
+
+def _changed_entries(wf: Workforce) -> DataFrame:
+    """Index entries of the projects that the update batch touches, after the merge; other projects are not merged."""
+    from ..operators import merge as M
+    from ..operators import similarity as V
+
+    keys = wf.project_updates.select("ProjectID").distinct()
+    rows = wf.projects.join(keys, "ProjectID", "left_semi")
+    return V.build_index(M.upsert(rows, wf.project_updates, ["ProjectID", "EmployeeID"]).select(*wf.projects.columns))
+
+
+_REINDEXED_SQL = with_views(["projects", "project_updates"]) + """
+, merged AS (SELECT coalesce(u.ProjectID, t.ProjectID) AS ProjectID,
+                    CASE WHEN u.__hit THEN u.Domain ELSE t.Domain END AS Domain,
+                    CASE WHEN u.__hit THEN u.Project_Description ELSE t.Project_Description END AS Project_Description
+             FROM projects t FULL OUTER JOIN (SELECT *, true AS __hit FROM project_updates) u
+               ON t.ProjectID = u.ProjectID AND t.EmployeeID = u.EmployeeID),
+pindex AS (SELECT ProjectID, min(Domain) AS Domain, min(Project_Description) AS Project_Description FROM merged GROUP BY ProjectID),
+cterms AS (SELECT t, token, count(*) AS tf FROM (SELECT t, unnest(regexp_extract_all(lower(t), '[a-z0-9+#]+')) AS token FROM (SELECT DISTINCT Project_Description AS t FROM pindex WHERE Project_Description IS NOT NULL) x) y GROUP BY t, token),
+idf AS (SELECT token, ln((1 + n) / (1 + count(*))) + 1 AS idf FROM cterms, (SELECT count(DISTINCT t) AS n FROM cterms) x GROUP BY token, n),
+norms AS (SELECT c.t, count(*) AS n_terms, sqrt(sum(tf * idf * tf * idf)) AS norm FROM cterms c JOIN idf ON idf.token = c.token GROUP BY c.t)
+SELECT i.ProjectID, i.Domain, i.Project_Description, n.n_terms, n.norm FROM pindex i LEFT JOIN norms n ON n.t = i.Project_Description"""
+
+
+@register("reindex_incremental", _REINDEXED_SQL, round_cols=["norm"])
+def q_reindex_incremental(spark: SparkSession, d: str) -> DataFrame:
+    """The index after merging project updates, by striking out and adding the changed projects only."""
+    from ..operators import similarity as V
+
+    wf = Workforce(spark, d)
+    index = V.DescriptionIndex.build(V.build_index(wf.projects)).updated(_changed_entries(wf))
+    return index.entries.withColumn("did", F.md5("Project_Description")).join(index.norms(), "did", "left").drop("did")
+
+
 @register("reindex_after_merge", with_views(["projects", "project_updates"]) + """
 , merged AS (SELECT coalesce(u.ProjectID, t.ProjectID) AS ProjectID,
                     CASE WHEN u.__hit THEN u.Domain ELSE t.Domain END AS Domain,

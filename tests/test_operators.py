@@ -208,15 +208,19 @@ def test_top_k_blocks_agree(spark, monkeypatch):
     assert one == many and len(one) == 10 * q.count()
 
 
-def test_ivf_recall_and_exact_when_all_cells_probed(spark):
-    wf = Workforce(spark, SF_MID)
+def test_codes_recall_and_exact_when_all_opened(spark, monkeypatch):
+    wf = Workforce(spark, "/root/testdata/sf0.1")
     idx = wf.embeddings.withColumnRenamed("vec_id", "ProjectID")
-    q = wf.embeddings.where("vec_id % 10 = 0").select(F.col("vec_id").alias("BriefID"), F.col("embedding").alias("qvec"))
+    q = wf.embeddings.where("vec_id % 20 = 0").select(F.col("vec_id").alias("BriefID"), F.col("embedding").alias("qvec"))
     exact = {tuple(r) for r in V.top_k_similar(q, idx, k=50).collect()}
-    assert {tuple(r) for r in V.similar_ivf(q, idx, k=50, cells=6, probe=6).collect()} == exact
+    assert {tuple(r) for r in V.similar_by_codes(q, idx, k=50, share=1.0).collect()} == exact
+    approx = {(r[0], r[1]) for r in V.similar_by_codes(q, idx, k=50).select("BriefID", "ProjectID").collect()}
     pairs = {(r[0], r[1]) for r in exact}
-    approx = {(r[0], r[1]) for r in V.similar_ivf(q, idx, k=50).select("BriefID", "ProjectID").collect()}
-    assert len(approx) == len(pairs) and len(pairs & approx) / len(pairs) >= 0.8
+    assert len(approx) == 50 * q.count() and len(pairs & approx) / len(pairs) >= 0.9 and V.CODE_SHARE < 0.25
+    monkeypatch.setattr(V, "CORPUS_BLOCK_ROWS", 30)  # blocks smaller than k are opened whole
+    small = idx.limit(100)
+    assert {tuple(r) for r in V.similar_by_codes(q.limit(3), small, k=50, share=0.01).collect()} == {tuple(r) for r in V.top_k_similar(q.limit(3), small, k=50).collect()}
+
 
 def test_embed_text_unit_vectors(spark):
     docs = spark.createDataFrame([(1, "spark and delta"), (2, "spark spark"), (3, "")], "id long, t string")
