@@ -93,11 +93,11 @@ def text_index(index: DataFrame, k: int, within: str | None = None) -> TextIndex
     their best impact: a search reads the blocks that can still matter and skips the others
     whole.  No token's postings meet in one task, however common it is.
     """
-    n = index.select(F.count_distinct("Project_Description")).first()[0]
-    named = index.withColumn("did", F.md5("Project_Description"))
-    kept = named.where("did is not null") if within is None else named.where((F.col("Domain") == within) & F.col("did").isNotNull())
-    texts = written(kept.groupBy("did").agg(F.least(F.count(F.lit(1)), F.lit(k)).alias("held")), "text-index-texts")
-    weights, norms, idf = index_weights(index)
+    used = F.count_if(F.lit(True) if within is None else F.col("Domain") == within)
+    every = written(index.where("Project_Description is not null").groupBy("Project_Description").agg(used.alias("used"))
+                    .select("Project_Description", F.md5("Project_Description").alias("did"), F.least("used", F.lit(k)).alias("held")), "text-index-texts")
+    weights, norms, idf = index_weights(every)
+    texts = every.where("held > 0").select("did", "held")
     impacts = weights.join(norms.select("Project_Description", "norm"), "Project_Description") \
         .select(F.md5("Project_Description").alias("did"), "token", (F.col("w") / F.col("norm")).alias("impact")).join(texts, "did")
     impacts = written(impacts.withColumn("level", F.least(F.lit(LEVELS), F.floor(F.log2("impact") * -4)).cast("int")), "text-index-impacts")
@@ -105,11 +105,10 @@ def text_index(index: DataFrame, k: int, within: str | None = None) -> TextIndex
     blocks = impacts.join(parts, ["token", "level"]).withColumn("sub", F.pmod(F.xxhash64("did"), "parts").cast("int")) \
         .groupBy("token", "level", "sub").agg(F.max("impact").alias("top"), F.sum("held").alias("held"), F.sort_array(F.collect_list(F.struct("impact", "did", "held")), False).alias("docs"))
     blocks = written(blocks, "text-index-blocks")
-    tokens = blocks.groupBy("token").agg(F.max("top").alias("top"), F.ceil(F.count(F.lit(1)) / SALT_BLOCKS).alias("n_salt"),
-                                         F.max_by(F.struct("level", "sub"), F.when(F.col("held") >= k, F.col("top"))).alias("seed"), F.max(F.when(F.col("held") >= k, F.col("top"))).alias("seed_top"))
-    tokens = written(tokens.withColumn("seed", F.when(F.col("seed_top").isNotNull(), F.col("seed"))).drop("seed_top"), "text-index-tokens")
+    full = F.when(F.col("held") >= k, F.struct("top", "level", "sub"))  # a block that holds k projects by itself
+    tokens = blocks.groupBy("token").agg(F.max("top").alias("top"), F.ceil(F.count(F.lit(1)) / SALT_BLOCKS).alias("n_salt"), F.max(full).alias("seed"))
     vectors = impacts.groupBy("did").agg(F.map_from_entries(F.collect_list(F.struct("token", "impact"))).alias("weights"))
-    return TextIndex(texts, written(vectors, "text-index-vectors"), blocks, tokens, written(idf, "text-index-idf"), n)
+    return TextIndex(texts, vectors, blocks, tokens, idf, every.count())
 
 
 def _dot(terms: str, weights: str) -> Column:
@@ -136,7 +135,7 @@ def text_candidates(queries: DataFrame, idx: TextIndex, k: int, qtext: str) -> t
     vectors = terms.groupBy("q").agg(F.collect_list(F.struct("token", "qn")).alias("terms"))
     seeds = terms.where("seed is not null").groupBy("q").agg(F.max_by(F.struct("token", "seed"), "bound").alias("s")).select("q", "s.token", "s.seed.level", "s.seed.sub") \
         .join(idx.blocks.select("token", "level", "sub", "docs"), ["token", "level", "sub"]).select("q", F.explode(F.slice("docs", 1, max(SEED_TEXTS, k))).alias("d")).select("q", "d.did", "d.held")
-    seeds = written(seeds.join(vectors, "q").join(idx.vectors, "did").select("q", "did", "held", F.round(_dot("terms", "weights"), SCORE_PLACES).alias("score")), "text-seeds")
+    seeds = seeds.join(vectors, "q").join(idx.vectors, "did").select("q", "did", "held", F.round(_dot("terms", "weights"), SCORE_PLACES).alias("score"))
     filled = F.sum("held").over(Window.partitionBy("q").orderBy(F.desc("score"), "did"))
     bars = seeds.withColumn("filled", filled).where(F.col("filled") >= k).groupBy("q").agg(F.max("score").alias("bar"))
 
