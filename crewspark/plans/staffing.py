@@ -380,6 +380,29 @@ def q_reenrich_incremental(spark: SparkSession, d: str) -> DataFrame:
     return M.update_only(emp, U.state_averages(state), ["EmployeeID"], ["Avg_Performance"], check_unique=False)
 
 
+@register("profile_merged", with_views(["employees", "projects"]) + """
+, hist AS (SELECT ProjectID, EmployeeID, Tech_Stack_Used, Individual_Performance_Score FROM projects
+           UNION ALL SELECT ProjectID, EmployeeID, Tech_Stack_Used, Individual_Performance_Score FROM (""" + _RECORDS_SQL + """) r)
+""" + " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) AS rows, count(*) - count({c}) AS nulls, {low} AS low, {high} AS high, true AS distinct_near FROM hist" for c, low, high in (
+    ("ProjectID", "min(ProjectID)::DOUBLE", "max(ProjectID)::DOUBLE"), ("EmployeeID", "min(EmployeeID)::DOUBLE", "max(EmployeeID)::DOUBLE"), ("Tech_Stack_Used", "NULL::DOUBLE", "NULL::DOUBLE"),
+    ("Individual_Performance_Score", "min(Individual_Performance_Score)::DOUBLE", "max(Individual_Performance_Score)::DOUBLE"))))
+def q_profile_merged(spark: SparkSession, d: str) -> DataFrame:
+    """The history's profile after an append, merged from the sketches of its two versions; distinct_near: the
+    sketched number of distinct values is within 6 % of the exact one."""
+    from ..operators import analytics as A
+    from ..operators import profile as P
+
+    wf = Workforce(spark, d)
+    cols = ["ProjectID", "EmployeeID", "Tech_Stack_Used", "Individual_Performance_Score"]
+    t = history_table(wf)
+    v = t.append(U.completion_records(_fallback_completion(wf), wf.employees, wf.projects), base=0)
+    kept = [written(P.sketch_profile(rows.select(*cols)), "profile") for rows in (t.read(0), t.appended(v))]
+    report = P.profile_report(P.merged_profiles(*kept)).withColumnRenamed("distinct_values", "sketched")
+    exact = A.table_profile(t.read(v).select(*cols)).select("column_name", "distinct_values")
+    near = F.abs(F.col("sketched") - F.col("distinct_values")) <= 0.06 * F.col("distinct_values")
+    return report.join(exact, "column_name").select("column_name", "rows", "nulls", "low", "high", near.alias("distinct_near"))
+
+
 _STATES: dict[tuple[str, str], DataFrame] = {}
 
 
