@@ -9,7 +9,9 @@ from ..functions import skills as X
 from ..operators import similarity as V
 from ..operators import teams as TM
 from ..operators.context import brief_context
-from ..session import scratch_path
+from ..operators.lifecycle import consecutive_ids
+from ..operators.textvectors import text_vectors
+from ..session import scratch_path, written
 from ..sources.fixtures import Workforce, with_views
 from .registry import register
 from .reports import (CANON_KEYS_SQL, CANONICAL_SQL, ENRICHED_SQL, PARSED_SQL, domain_sql,
@@ -262,6 +264,27 @@ def q_similar_ann(spark: SparkSession, d: str) -> DataFrame:
     return V.similar_by_codes(vector_queries(vectors), vectors.withColumnRenamed("vec_id", "neighbour"), k=K, qid="vec_id", cid="neighbour")
 
 
+@register("text_vector_neighbours", chain(["cw", "pindex"]) + """
+, nn AS (SELECT t, sqrt(sum(w * w)) AS n FROM cw GROUP BY t),
+asked AS (SELECT DISTINCT Project_Description AS t FROM pindex WHERE ProjectID % 100 = 0 AND Project_Description IS NOT NULL),
+s AS (SELECT a.t AS q, c.t AS d, round(sum(a.w * c.w) / (any_value(na.n) * any_value(nc.n)), 6) AS score
+      FROM cw a JOIN asked ON asked.t = a.t JOIN cw c ON c.token = a.token JOIN nn na ON na.t = a.t JOIN nn nc ON nc.t = c.t GROUP BY a.t, c.t)
+SELECT md5(q) AS query, md5(d) AS neighbour, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, md5(d)) AS rank FROM s QUALIFY rank <= 10""", round_cols=["score"])
+def q_text_vector_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    """V1 with V5: the ten nearest descriptions by dense text vectors of each description of a project whose id is
+    divisible by 100.  The vectors hold as many dimensions as these descriptions span, so the cosines are exact."""
+    wf = Workforce(spark, d)
+    index = V.build_index(wf.projects)
+    vectors, _ = text_vectors(index, dims=64)
+    # a number for each text, in the order of its hash: ties go to the smaller
+    numbered = written(consecutive_ids(vectors, "did", 0, "id").withColumn("vec", F.col("vec").cast("array<float>")), "numbered-vectors")
+    asked = index.where(F.col("ProjectID") % 100 == 0).select(F.md5("Project_Description").alias("did")).distinct()
+    near = V.similar_by_codes(numbered.join(asked, "did").select("id", F.col("vec").alias("qvec")), numbered.select(F.col("id").alias("other"), "vec"), k=10, share=1.0, qid="id", cid="other", cvec="vec")
+    name = numbered.select("id", "did")
+    return near.join(name.withColumnRenamed("did", "query"), "id").join(name.select(F.col("id").alias("other"), F.col("did").alias("neighbour")), "other") \
+        .where("score > 0").select("query", "neighbour", "score", "rank")
+
+
 @register("phrase_skills_of_description", chain(["parsed"]) +
           f"SELECT BriefID, array_to_string({phrase_sql('project_description')}, '|') AS skills FROM parsed")
 def q_phrase_desc(spark: SparkSession, d: str) -> DataFrame:
