@@ -1,12 +1,14 @@
-"""Resharding that moves the fewest bytes.
+"""Resharding that moves the fewest bytes, on files.
 
-The documents of every old shard are dealt into blocks by a hash of their id.  From the bytes
+A layout is a folder of Parquet files, one folder an old shard and in it one a block; blocks hold what some of
+the writing tasks had of the shard, about BLOCK_BYTES each.  From the bytes
 of each old shard and the capacity of each new one, a minimum-cost flow (a byte that stays
 costs nothing, a byte that moves costs one) says how many bytes go from where to where.  Each
 old shard's blocks are then given to its flows in order; only a block in which one flow
-ends is split.  Blocks that stay are left in their files, the others are rewritten.
+ends is split.  Blocks that stay whole are left in their files; blocks that move, and both parts of split
+ones, are written anew.  The new layout is read back from both.
 
-The driver holds one row per block: old shards x ``blocks``, whatever the corpus is.
+The driver holds one row per block, that is one for every BLOCK_BYTES of text.
 """
 
 from __future__ import annotations
@@ -85,55 +87,83 @@ def cuts(blocks: list[tuple[int, int, int]], flow: dict[tuple[int, int], int], o
     return out
 
 
-def reshard(docs: DataFrame, shards: int = 16, capacities: list[int] | None = None, blocks: int = 256, out: str | None = None) -> DataFrame:
-    """(doc_id, size, text_crc32, shard, slot, old_shard, block, moved): the new place of every row of ``docs``.
+BLOCK_BYTES = 64 << 20
+#: Blocks of a small shard, so that a split rewrites a small part of it.
+LEAST_BLOCKS = 16
+LAYOUT = "doc_id long, text string, size long, old_shard int, block int"
 
-    ``docs``: doc_id, text, old_shard (an int; null: in no shard yet, everything moves).  A
-    row's size is its text's UTF-8 bytes (null: none) plus 1.  ``capacities`` are the bytes of
-    the new shards 0 .. shards - 1, by default equal.  A row in a split block goes by the middle
-    of its bytes, so a shard misses its capacity by at most half a row for each part it
-    has.  Rows that move are written with all their text below ``out`` (a new folder in the
-    shared checkpoint folder by default), by shard and block; the others stay where they
-    are.  Slots are gapless from 0 in each shard.  Rows with the same or no id are rows like
-    any others; extra columns are ignored; an empty table gives an empty result.
+
+def write_layout(docs: DataFrame, out: str) -> None:
+    """Write ``docs`` (doc_id, text, old_shard) to the new folder ``out`` as a layout of old shards and blocks, without a shuffle.
+
+    A row's size is its text's UTF-8 bytes (null: none) plus 1.  A null old_shard (in no shard yet) is the folder -1.
     """
-    spark = docs.sparkSession
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(F.col("old_shard").cast("int"), F.lit(-1)).alias("old_shard"), size.alias("size")) \
-        .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int"))
-    sums = [tuple(r) for r in rows.groupBy("old_shard", "block").agg(F.sum("size")).collect()]
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", size.alias("size"), F.coalesce(F.col("old_shard").cast("int"), F.lit(-1)).alias("old_shard"))
+    # a row an old shard
+    blocks = rows.groupBy("old_shard").agg(F.greatest(F.lit(LEAST_BLOCKS), F.ceil(F.sum("size") / BLOCK_BYTES)).alias("blocks"))
+    dealt = rows.join(F.broadcast(blocks), "old_shard").withColumn("block", F.pmod(F.spark_partition_id(), "blocks").cast("int"))
+    dealt.select("doc_id", "text", "size", "old_shard", "block").write.partitionBy("old_shard", "block").parquet(out)
+
+
+def reshard_layout(spark, layout: str, out: str, shards: int = 16, capacities: list[int] | None = None) -> DataFrame:
+    """Rows (doc_id, text, size, shard, old_shard, block, moved) of the new layout, read from the files that stay in ``layout`` and those written below ``out``.
+
+    ``capacities`` are the bytes of the new shards 0 .. shards - 1, by default equal; together they must hold
+    the rows.  A row in a split block goes by the middle of its bytes, so a shard misses its capacity by at most
+    half a row for each part it has.  An empty layout gives no rows.
+    """
+    old = spark.read.schema(LAYOUT).parquet(layout)
+    sums = [tuple(r) for r in old.groupBy("old_shard", "block").agg(F.sum("size")).collect()]
+    columns = ["doc_id", "text", "size", "shard", "old_shard", "block"]
     if not sums:
-        return rows.select("doc_id", "size", F.lit(0).cast("long").alias("text_crc32"), F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"), "old_shard", "block", F.lit(True).alias("moved"))
-    old = sorted({s for s, _, _ in sums})
-    supply = [sum(n for s, _, n in sums if s == shard) for shard in old]
+        return old.withColumn("shard", F.lit(0)).select(*columns, F.lit(True).alias("moved"))
+    names = sorted({s for s, _, _ in sums})
+    supply = [sum(n for s, _, n in sums if s == shard) for shard in names]
     total = sum(supply)
     capacities = capacities or [total // shards + (j < total % shards) for j in range(shards)]
-    flow = min_cost_flow(supply, capacities, lambda i, j: int(old[i] != j))
-    places = spark.createDataFrame(cuts(sums, flow, old, list(range(shards))), "old_shard int, block int, from_byte long, shard int")
-    by_block = places.groupBy("old_shard", "block").agg(F.sort_array(F.collect_list(F.struct("from_byte", "shard"))).alias("parts"))
-    placed = rows.join(F.broadcast(by_block), ["old_shard", "block"])  # one row a block
-    before = Window.partitionBy("old_shard", "block").orderBy("doc_id", "size", "text").rowsBetween(Window.unboundedPreceding, -1)
+    flow = min_cost_flow(supply, capacities, lambda i, j: int(names[i] != j))
+    places = spark.createDataFrame(cuts(sums, flow, names, list(range(shards))), "old_shard int, block int, from_byte long, shard int")
+    by_block = stage(places.groupBy("old_shard", "block").agg(F.sort_array(F.collect_list(F.struct("from_byte", "shard"))).alias("parts")), "reshard-plan")
+    whole = by_block.where("size(parts) = 1").select("old_shard", "block", F.expr("parts[0].shard").alias("shard"))
+    kept, gone, split = (F.broadcast(x) for x in (whole.where("shard = old_shard"), whole.where("shard <> old_shard"), by_block.where("size(parts) > 1")))
+    on = ["old_shard", "block"]
+    # whole blocks go from file to file, without a shuffle
+    old.join(gone, on).select(*columns).write.partitionBy("shard").parquet(f"{out}/moved")
+    before = Window.partitionBy(*on).orderBy("doc_id", "size", "text").rowsBetween(Window.unboundedPreceding, -1)
     middle = F.coalesce(F.sum("size").over(before), F.lit(0)) + F.col("size") / 2
-    split = placed.where("size(parts) > 1").withColumn("middle", middle).withColumn("shard", F.expr("element_at(filter(parts, p -> p.from_byte <= middle), -1).shard"))
-    placed = placed.where("size(parts) = 1").withColumn("shard", F.expr("parts[0].shard")).select("doc_id", "text", "size", "old_shard", "block", "shard") \
-        .unionByName(split.select("doc_id", "text", "size", "old_shard", "block", "shard"))
+    parted = old.join(split, on).withColumn("middle", middle).withColumn("shard", F.expr("element_at(filter(parts, p -> p.from_byte <= middle), -1).shard"))
+    parted.select(*columns).write.partitionBy("shard").parquet(f"{out}/split")
+    anew = [spark.read.schema(f"{LAYOUT}, shard int").parquet(f"{out}/{kind}").select(*columns) for kind in ("moved", "split")]
+    rows = old.join(kept, on).select(*columns).unionByName(anew[0]).unionByName(anew[1])
+    return rows.withColumn("moved", F.col("shard") != F.col("old_shard"))
+
+
+def reshard(docs: DataFrame, shards: int = 16, capacities: list[int] | None = None, out: str | None = None) -> DataFrame:
+    """(doc_id, size, text_crc32, shard, slot, old_shard, block, moved): the new place of every row of ``docs``.
 
+    ``docs``: doc_id, text, old_shard (an int; null: in no shard yet, everything moves).  They are written as a
+    layout of their old shards below ``out`` (a new folder in the shared checkpoint folder by default), that
+    layout is resharded, and the rows are read back from its files (see ``write_layout`` and ``reshard_layout``).
+    Slots are gapless from 0 in each shard.  Rows with the same or no id are rows like
+    any others; extra columns are ignored; an empty table gives an empty result.
+    """
+    spark = docs.sparkSession
     out = out or scratch_path(spark, "reshard")
-    moved = placed.where("shard <> old_shard").select("doc_id", "text", "old_shard", "block", "shard")
-    moved.repartition("shard", "old_shard", "block").write.partitionBy("shard").parquet(out)
-    written = spark.read.schema("doc_id long, text string, old_shard int, block int, shard int").parquet(out).withColumn("size", size)
-    digest = ["doc_id", "size", F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("long").alias("text_crc32"), "shard", "old_shard", "block"]
-    found = stage(placed.where("shard = old_shard").select(*digest).unionByName(written.select(*digest)), "reshard-rows")
+    write_layout(docs, f"{out}/old")
+    rows = reshard_layout(spark, f"{out}/old", f"{out}/new", shards, capacities)
+    crc = F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("long").alias("text_crc32")
+    found = stage(rows.select("doc_id", "size", crc, "shard", "old_shard", "block", "moved"), "reshard-rows")
 
     piece = ["shard", "old_shard", "block"]
     bases = found.groupBy(*piece).agg(F.count(F.lit(1)).alias("n"))
     bases = bases.select(*piece, F.coalesce(F.sum("n").over(Window.partitionBy("shard").orderBy("old_shard", "block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
     numbered = found.withColumn("n", F.row_number().over(Window.partitionBy(*piece).orderBy("doc_id", "size", "text_crc32")))
-    return numbered.join(bases, piece).select("doc_id", "size", "text_crc32", "shard", (F.col("base") + F.col("n") - 1).alias("slot"), "old_shard", "block", (F.col("shard") != F.col("old_shard")).alias("moved"))
+    return numbered.join(bases, piece).select("doc_id", "size", "text_crc32", "shard", (F.col("base") + F.col("n") - 1).alias("slot"), "old_shard", "block", "moved")
 
 
 def op8_min_move_resharding(spark, sf_dir):
-    """Documents held by source in 12 shards (a stand-in for an old layout) go to 16 of equal bytes."""
+    """Documents held by source in 12 shards (a stand-in for an old layout) go to 16 of equal bytes; edge cases as in ``reshard``."""
     old = F.pmod(F.crc32(F.coalesce("source", F.lit("")).cast("binary")), F.lit(12)).cast("int")
     placed = reshard(table(spark, sf_dir, "documents").select("doc_id", "text", old.alias("old_shard")))
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard", "moved")

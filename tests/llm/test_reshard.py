@@ -1,8 +1,9 @@
+import glob
 import itertools
 import random
 import zlib
 
-from crewspark.llm.reshard import cuts, min_cost_flow, reshard
+from crewspark.llm.reshard import cuts, min_cost_flow, reshard, reshard_layout, write_layout
 
 
 def test_flow_is_cheapest():
@@ -40,7 +41,7 @@ def test_cuts_give_each_flow_its_bytes():
 def test_rows_are_moved_whole(frame):
     rnd = random.Random(7)
     rows = [(i, "é" * rnd.randrange(200), 0 if i % 3 else i % 5, "x") for i in range(2000)] + [(None, "no id", 1, "x"), (5, None, None, "x"), (5, None, None, "x"), (9, "far", 40, "x")]
-    got = reshard(frame(rows, "doc_id long, text string, old_shard int, slot string"), shards=8, blocks=16).collect()
+    got = reshard(frame(rows, "doc_id long, text string, old_shard int, slot string"), shards=8).collect()
     assert sorted((str(r["doc_id"]), r["size"], r["text_crc32"]) for r in got) == sorted((str(i), len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t, _, _ in rows)
     total = sum(r["size"] for r in got)
     for shard in range(8):
@@ -58,3 +59,41 @@ def test_nothing_to_move(frame):
     assert reshard(frame([], "doc_id long, text string, old_shard int")).count() == 0
     got = reshard(frame([(1, "a", 0), (2, "b", 1)], "doc_id long, text string, old_shard int"), shards=2, capacities=[2, 2]).collect()
     assert [(r["doc_id"], r["shard"], r["moved"]) for r in sorted(got)] == [(1, 0, False), (2, 1, False)]
+
+
+def test_only_affected_files_are_rewritten(spark, frame, tmp_path):
+    rows = [(i, "x" * (i % 97), i % 4) for i in range(4000)]
+    write_layout(frame(rows, "doc_id long, text string, old_shard int", 40), str(tmp_path / "old"))
+    files = {f: open(f, "rb").read() for f in glob.glob(f"{tmp_path}/old/**/*.parquet", recursive=True)}
+    assert len({f.split("/block=")[0] for f in files}) == 4 and len(files) > 60
+    got = reshard_layout(spark, str(tmp_path / "old"), str(tmp_path / "new"), shards=5)
+    out = got.collect()
+    assert sorted((r["doc_id"], r["text"]) for r in out) == [r[:2] for r in rows]
+    # rows that stay come from the old files, but for those of split blocks; nothing else is written anew
+    kept = {(r["old_shard"], r["block"]) for r in out if not r["moved"]}
+    anew = sum(spark.read.parquet(f"{tmp_path}/new/{kind}").count() for kind in ("moved", "split"))
+    blocks = {(r["old_shard"], r["block"]): {q["shard"] for q in out if (q["old_shard"], q["block"]) == (r["old_shard"], r["block"])} for r in out}
+    assert anew == sum(len(blocks[r["old_shard"], r["block"]]) > 1 or r["moved"] for r in out)
+    assert sum(len(s) > 1 for s in blocks.values()) <= 8 and len(kept) > 40 and anew < 0.4 * len(rows)
+    assert all(open(f, "rb").read() == content for f, content in files.items())
+    assert {f for f in got.inputFiles() if "/old/" in f}
+
+
+def test_query_rows(spark, frame, tmp_path):
+    from crewspark.llm.reshard import op8_min_move_resharding
+
+    rnd = random.Random(2)
+    rows = [(i, None if i % 50 == 0 else "é" * rnd.randrange(60), rnd.choice(["hot"] * 6 + ["a", "b", None])) for i in range(3000)]
+    frame(rows, "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = op8_min_move_resharding(spark, str(tmp_path)).collect()
+    assert sorted((r["doc_id"], r["size"], r["text_crc32"]) for r in got) == sorted((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t, _ in rows)
+    held = [sum(r["size"] for r in got if r["shard"] == s) for s in range(16)]
+    assert max(held) - min(held) < 2000 and sum(held) == sum(r["size"] for r in got)
+    for s in range(16):
+        assert sorted(r["slot"] for r in got if r["shard"] == s) == list(range(sum(r["shard"] == s for r in got)))
+    assert {(r["law"], r["grown_shard"]) for r in got} == {("bytes", None)}
+    old = {}
+    for r in got:
+        old[r["old_shard"]] = old.get(r["old_shard"], 0) + r["size"]
+    least = sum(held) - sum(min(old.get(s, 0), sum(held) // 16 + 1) for s in range(16))
+    assert abs(sum(r["size"] for r in got if r["moved"]) - least) < 2000
