@@ -1,8 +1,8 @@
 """Quality classifier: Naive Bayes support vectors over n-gram indicators.
 
-A text is read twice: as shapes (runs of capitals, other letters or digits are one symbol
-each, white space and every other character stand for themselves) and as words that do or do
-not repeat words just before them.  Indicators of n-grams of either are scaled by
+A text is read three times: as shapes (runs of capitals, other letters or digits are one symbol
+each, white space and every other character stand for themselves), as words that do or do
+not repeat words just before them, and as the words themselves.  Indicators of n-grams of each are scaled by
 their log-count ratio between the classes, and a linear hinge-loss model is fitted on them.
 """
 
@@ -22,8 +22,11 @@ from .common import crc_fold, keep_rows, table
 from .linear import dual_coordinate_descent, fitted_sigmoid, labelled_sample, sigmoid
 from .slices import MIX, mixed, some_texts, words_of
 
-BITS = 16
+BITS = 16  # of the places of shapes and repeats; words have as many of their own
+PLACES = 2 << BITS
 LONGEST = 4
+#: Words of the longest word n-gram, and training texts that have to hold one for it to count.
+LONGEST_WORDS, LEAST_TEXTS = 2, 5
 #: Labelled training rows that a model is fitted on (expected number).
 SAMPLE_ROWS = 12_000
 UPPER, LOWER, DIGIT, LINE, BLANK = range(1, 6)
@@ -43,12 +46,12 @@ def shapes() -> np.ndarray:
     return out
 
 
-def ngram_places(symbols: np.ndarray, begin: np.ndarray, salt: int) -> tuple[np.ndarray, np.ndarray]:
-    """(text, hashed place) of every n-gram of one to LONGEST symbols; texts begin at ``begin``."""
+def ngram_places(symbols: np.ndarray, begin: np.ndarray, salt: int, longest: int = LONGEST) -> tuple[np.ndarray, np.ndarray]:
+    """(text, hashed place) of every n-gram of one to ``longest`` symbols; texts begin at ``begin``."""
     owner = np.repeat(np.arange(len(begin) - 1), np.diff(begin))
     texts, places = [], []
     h = np.full(len(symbols), np.uint64(salt))
-    for n in range(1, LONGEST + 1):
+    for n in range(1, longest + 1):
         h = mixed(h[:max(len(symbols) - n + 1, 0)] * MIX[0] + symbols[n - 1:].astype(np.uint64))
         if not len(h):
             break
@@ -74,11 +77,13 @@ def indicators(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         same = np.flatnonzero((h[back:] == h[:-back]) & (owner[back:] == owner[:-back])) + back if len(h) > back else np.empty(0, np.int64)
         repeat[same] = 1 if back == 1 else 2
     t2, p2 = ngram_places(repeat, before, 2)
-    seen = np.zeros((len(texts), 1 << BITS), bool)
+    t3, p3 = ngram_places(h, before, 3, LONGEST_WORDS)
+    seen = np.zeros((len(texts), PLACES), bool)
     seen[t1, p1] = True
     seen[t2, p2] = True
+    seen[t3, p3 + (1 << BITS)] = True
     flat = np.flatnonzero(seen.ravel())
-    return flat & ((1 << BITS) - 1), np.searchsorted(flat, np.arange(len(texts) + 1) << BITS)
+    return flat % PLACES, np.searchsorted(flat, np.arange(len(texts) + 1) * PLACES)
 
 
 class QualityModel:
@@ -117,29 +122,30 @@ def sample_indicators(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]
 def train(sample: DataFrame) -> QualityModel:
     """A model from labelled rows (text, y); without both classes every text gets the same score.
 
-    The rows' indicators, at most 2**BITS a row, are gathered on the driver: ``sample`` is
+    The rows' indicators, at most PLACES a row, are gathered on the driver: ``sample`` is
     bounded by whoever chose it (SAMPLE_ROWS).
     """
     rows = sample.select("text", "y").mapInPandas(sample_indicators, "y int, places array<int>").toPandas()
     label = rows["y"].to_numpy() if len(rows) else np.empty(0, int)
     if len(set(label.tolist())) < 2:
-        model = QualityModel(np.zeros(1 << BITS), np.zeros(1 << BITS), 0.0)
+        model = QualityModel(np.zeros(PLACES), np.zeros(PLACES), 0.0)
         model.b = 0.0 if not len(label) else 2.0 if label[0] else -2.0
         return model
     places = [np.asarray(x, np.int64) for x in rows["places"]]
     order = sorted(range(len(places)), key=lambda i: places[i].tobytes())  # the fit doesn't depend on the rows' order
     label, places = label[order], [places[i] for i in order]
-    count = np.ones((2, 1 << BITS))
+    count = np.ones((2, PLACES))
     for y, at in zip(label, places):
         count[y, at] += 1
     ratio = np.log(count[1] / count[1].sum()) - np.log(count[0] / count[0].sum())
-    ratio[(count - 1).sum(0) == 0] = 0
+    held = (count - 1).sum(0)
+    ratio[(held == 0) | ((held < LEAST_TEXTS) & (np.arange(PLACES) >= 1 << BITS))] = 0
     data = []
     for at in places:
         v = ratio[at]
         v = v / max(np.sqrt(v @ v), 1e-6)
-        data.append((np.append(at, 1 << BITS), np.append(v, 1.0)))  # the last place is the bias
-    w = dual_coordinate_descent(data, np.where(label == 1, 1, -1), (1 << BITS) + 1)
+        data.append((np.append(at, PLACES), np.append(v, 1.0)))  # the last place is the bias
+    w = dual_coordinate_descent(data, np.where(label == 1, 1, -1), PLACES + 1)
     model = QualityModel(w[:-1] * ratio, ratio, float(w[-1]))
     margins = np.array([w[at] @ v for at, v in data])
     model.a, model.b = fitted_sigmoid(margins, label)
@@ -147,7 +153,11 @@ def train(sample: DataFrame) -> QualityModel:
 
 
 def score(docs: DataFrame, model: QualityModel) -> DataFrame:
-    """(doc_id, score), a row for every row of ``docs`` (doc_id, text); a null text counts as empty, texts are read whole."""
+    """(doc_id, score), a row for every row of ``docs`` (doc_id, text).
+
+    A null text counts as empty, texts are read whole, null and repeated ids pass through, other columns are
+    ignored and an empty table gives an empty result.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -161,13 +171,13 @@ def fitted(spark, docs: DataFrame, sf_dir: str) -> QualityModel:
 
 
 def keep_good(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents go whose text scores below 0.5; empty texts are scored like others."""
+    """Pipeline stage: documents go whose text scores below 0.5; empty and null texts are scored like others, every column stays."""
     model = fitted(spark, docs, sf_dir)
     return keep_rows(docs, lambda texts: model.scores(texts) >= 0.5)
 
 
 def op2_nb_svm_quality(spark, sf_dir):
-    """Quality score of every document, learnt from the training fold's labels."""
+    """Quality score of every document, learnt from the training fold's labels; edge cases as in ``score``."""
     docs = table(spark, sf_dir, "documents")
     return score(docs, fitted(spark, docs, sf_dir)).select("doc_id", (crc_fold("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 

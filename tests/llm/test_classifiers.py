@@ -59,6 +59,39 @@ def test_quality_indicators_equal_brute_force():
     assert begin[3] == begin[2]  # nothing in an empty text
 
 
+def test_quality_learns_from_wording(frame):
+    """Texts of one shape whose words alone differ, held out texts included."""
+    rnd = random.Random(12)
+    good, bad, both = ([f"{p}{k}word" for k in "abcdefghijklmnopqrst"] for p in "xyz")
+    text = lambda y: " ".join(rnd.choice(both) if rnd.random() < 0.7 else rnd.choice(good if y else bad) for _ in range(30))
+    model = quality.train(frame([(i, text(i % 2), i % 2) for i in range(400)], "doc_id long, text string, y int"))
+    label = np.arange(200) % 2
+    assert auc(label, model.scores([text(y) for y in label])) > 0.95
+
+
+def test_margins_equal_a_plain_computation(frame):
+    """Indicators, count ratios, scaling and score of a fitted model, text by text with sets and sums."""
+    rnd = random.Random(13)
+    texts = [" ".join(rnd.choice(["One", "two,", "3", "four!", "five\n", "é"]) for _ in range(rnd.randint(0, 12))) for _ in range(120)]
+    label = [int("four" in t) for t in texts]
+    model = quality.train(frame([(i, t, y) for i, (t, y) in enumerate(zip(texts, label))], "doc_id long, text string, y int"))
+    held = [set(quality.indicators([t])[0].tolist()) for t in texts]
+    counts = {y: {} for y in (0, 1)}
+    for h, y in zip(held, label):
+        for p in h:
+            counts[y][p] = counts[y].get(p, 0) + 1
+    totals = {y: quality.PLACES + sum(counts[y].values()) for y in (0, 1)}
+    for p in set().union(*held):
+        ones, zeros = counts[1].get(p, 0), counts[0].get(p, 0)
+        want = math.log((1 + ones) / totals[1]) - math.log((1 + zeros) / totals[0])
+        if p >= 1 << quality.BITS and ones + zeros < quality.LEAST_TEXTS:
+            want = 0.0
+        assert math.isclose(model.ratio[p], want, abs_tol=1e-12)
+    for t, h, margin in zip(texts, held, model.margins(texts)):
+        norm = math.sqrt(max(sum(model.ratio[p] ** 2 for p in h), 1e-12))
+        assert math.isclose(margin, sum(model.weights[p] for p in h) / norm + model.bias, rel_tol=1e-9, abs_tol=1e-9)
+
+
 @pytest.mark.parametrize("module", [quality, toxicity])
 def test_classifier_edges(frame, module):
     docs = frame([(1, "fine text", "x"), (None, None, None), (2, "", "y"), (2, "w" * 50_000, "y")], "doc_id long, text string, score string")
