@@ -16,8 +16,8 @@ def auc(label, score):
     return sum(pairs) / len(pairs)
 
 
-def held_out(spark, query, label):
-    rows = query(spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", label), "doc_id").where("held_out").toPandas()
+def held_out(spark, query, label, sf=SF):
+    rows = query(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", label), "doc_id").where("held_out").toPandas()
     return rows[label].to_numpy(), rows["score"].to_numpy()
 
 
@@ -194,8 +194,10 @@ def test_obfuscated_and_short_insults_score_above_clean(frame):
 
 
 def test_toxicity_on_held_out_rows(spark):
-    label, score = held_out(spark, toxicity.op6_subsequence_kernel_toxicity, "toxic")
-    assert auc(label, score) > 0.6  # some 20 toxic rows to learn from at this size
+    label, score = held_out(spark, toxicity.op6_subsequence_kernel_toxicity, "toxic", "/root/testdata/sf0.1")
+    flagged = score >= 0.3
+    assert auc(label, score) > 0.9  # about a tenth of the labels go against the words of their texts
+    assert label[flagged].mean() > 0.4 and flagged[label == 1].mean() > 0.85
 
 
 def count_model(text, lang="a"):
