@@ -116,11 +116,9 @@ def next_project_id(projects: DataFrame) -> DataFrame:
 
 def cost_histogram(employees: DataFrame, bins: int = 25) -> DataFrame:
     """Equal-width histogram between min and max cost, empty bins included."""
-    # one scalar subquery returning both statistics (a single aggregate pass)
-    stats = employees.select(F.struct(F.min("Cost_per_Hour").alias("lo"),
-                                      F.max("Cost_per_Hour").alias("hi")).alias("s")).scalar()
-    lo, hi = stats["lo"], stats["hi"]
-    width = (hi - lo) / F.lit(float(bins))
+    # two numbers; as literals they are not computed again for every column that uses them
+    low, high = employees.agg(F.min("Cost_per_Hour").cast("double"), F.max("Cost_per_Hour").cast("double")).first()
+    lo, width = F.lit(low).cast("double"), F.lit(None if low is None else (high - low) / bins).cast("double")
     b = F.when(width == 0, F.lit(0)).otherwise(
         F.least(F.lit(bins - 1), F.floor((F.col("Cost_per_Hour") - lo) / width).cast("int")))
     counts = (employees.where(F.col("Cost_per_Hour").isNotNull())

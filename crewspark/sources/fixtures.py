@@ -16,6 +16,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.analytics import run_sql
+
 # --- fixed values of the workforce model (from the reference generator) ---
 SKILLS = [
     "Python", "SQL", "Spark", "Scala", "Java", "Go", "React", "Vue",
@@ -230,10 +232,6 @@ class Workforce:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    def _register_raw(self, needed: list[str]) -> None:
-        for t in needed:
-            self.raw(t).createOrReplaceTempView(t)
-
     def _build(self, name: str) -> DataFrame:
         raw_needed = {
             "employees": ["supplier"],
@@ -243,9 +241,8 @@ class Workforce:
             "project_updates": ["lineitem", "orders"],
             "employee_versions": ["supplier"],
         }[name]
-        self._register_raw(raw_needed)
         sql = with_views([d for d in _closure([name]) if d != name]) if VIEW_DEPS[name] else ""
-        return self.spark.sql(sql + VIEW_SQL[name])
+        return run_sql(self.spark, sql + VIEW_SQL[name], **{t: self.raw(t) for t in raw_needed})
 
     def view(self, name: str) -> DataFrame:
         if not self.materialize:
