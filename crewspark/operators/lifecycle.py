@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 from ..functions.schema import PROJECTS, conform
 from ..session import written
 
-DEFAULT_SCORE = 0.85  # the reference's default final score per member
+# --- fixed values: the default final score per member and the texts of a completed project ---
+DEFAULT_SCORE = 0.85
+NAME_TEXT, DESCRIPTION_TEXT = "New Project based on: ", "Completed project based on request: "
+# --- end of fixed values ---
 
 
 def consecutive_ids(df: DataFrame, order_col: str, start, out: str = "seq") -> DataFrame:
@@ -70,8 +73,8 @@ def completed_from_teams(teams: DataFrame, briefs: DataFrame) -> DataFrame:
     text = briefs.select("BriefID", F.col("BriefText").alias("q"))
     return (teams.where(F.size("team") > 0).select("BriefID", "team").join(text, "BriefID")
             .select("BriefID", "team",
-                    F.concat(F.lit("New Project based on: "), F.substring("q", 1, 30), F.lit("…")).alias("Project_Name"),
-                    F.concat(F.lit("Completed project based on request: "), F.col("q")).alias("Project_Description")))
+                    F.concat(F.lit(NAME_TEXT), F.substring("q", 1, 30), F.lit("…")).alias("Project_Name"),
+                    F.concat(F.lit(DESCRIPTION_TEXT), F.col("q")).alias("Project_Description")))
 
 
 def performance_state(rows: DataFrame) -> DataFrame:
