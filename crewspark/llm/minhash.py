@@ -254,6 +254,10 @@ def between_blocks(steps, numerator: int, denominator: int):
     return run
 
 
+#: Join keys that the documents of one text are dealt over.
+SALTS = 16
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, similarity: tuple[int, int] = (85, 100), bands: int = 40, rows: int = 8,
                     batch: int = 40, miss: float = 1e-6, block: int = 512, seed: int = 11) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), a row for every row of ``docs`` (doc_id, text).
@@ -275,7 +279,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, similarity: tuple[int, in
     signer = Signer(bands, rows, seed)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = stage(docs.mapInPandas(sign(shingle, signer), "doc_id long, n_shingles long, digest binary, keys array<long>"), "minhash")
-    classes = signed.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"))
+    classes = signed.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("many"))
     reps = signed.join(classes, (signed["doc_id"] == classes["rep"]) & (signed["digest"] == classes["digest"]), "left_semi")
 
     keyed = reps.select(F.col("doc_id").alias("doc"), F.posexplode("keys").alias("band", "key"))
@@ -307,8 +311,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, similarity: tuple[int, in
         links = links.unionByName(stage(tiles.mapInPandas(between_blocks(steps, numerator, denominator), "a long, b long"), "minhash-between"))
     parts = connected_components(links, "minhash-components")
 
-    comps = classes.join(parts, classes["rep"] == parts["id"], "left").select("digest", F.coalesce("component", "rep").alias("comp"))
-    out = signed.select("doc_id", "n_shingles", "digest").join(comps, "digest", "left")
+    # texts of several documents: a large group of copies is dealt over SALTS keys; a text of one document is found by its id
+    copies = classes.where("many > 1").join(parts, F.col("rep") == F.col("id"), "left") \
+        .select("digest", F.coalesce("component", "rep").alias("shared"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    out = signed.select("doc_id", "n_shingles", "digest", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt")) \
+        .join(copies, ["digest", "salt"], "left").join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left") \
+        .withColumn("comp", F.when(F.col("digest").isNotNull(), F.coalesce("shared", "component")))
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id"))
     return out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(own == F.col("doc_id"), F.lit(False)).alias("kept"))
 
