@@ -322,13 +322,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, similarity: tuple[int, in
 
 
 def keep_one_of_each(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each group of near copies (five-word shingles, similarity 0.8) the one of least id stays; rows without an id stay."""
+    """Pipeline stage: of each group of near copies (five-word shingles, similarity 0.8) the one of least id stays; rows without an id and wordless texts stay, every column is kept."""
     gone = near_duplicates(docs, shingle=5, similarity=(80, 100), bands=50, rows=7).where("doc_id is not null and not kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
 def op4_minhash_near_dedup(spark, sf_dir):
-    """Shingle counts, components and kept flags of every document."""
+    """Shingle counts, components and kept flags of every document; edge cases as in ``near_duplicates``."""
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 

@@ -214,7 +214,7 @@ def token_index(spark: SparkSession, path: str) -> DataFrame:
 
 
 def op1_token_ids_orc(spark, sf_dir):
-    """Start, count and checksum of every document's ids, read back from the ORC files."""
+    """Start, count and checksum of every document's ids, read back from the ORC files; edge cases as in ``write_token_ids``."""
     out = scratch_path(spark, "token-ids")
     write_token_ids(table(spark, sf_dir, "documents"), out)
     return token_index(spark, out).drop("file")

@@ -118,7 +118,7 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.98, block: i
 
 
 def op9_embedding_near_dedup(spark, sf_dir):
-    """Near-duplicate links, components and kept flags of every row of embeddings."""
+    """Near-duplicate links, components and kept flags of every row of embeddings; edge cases as in ``near_duplicate_vectors``."""
     return near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
 
 
