@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import LETTER, NUMBER, SPACE, code_point_classes
-from .common import crc_fold, keep_rows, table
+from .common import crc_fold, keep_rows, stage, table
 from .linear import dual_coordinate_descent, fitted_sigmoid, labelled_sample, sigmoid
 from .slices import MIX, mixed, some_texts, words_of
 
@@ -26,7 +26,7 @@ BITS = 16  # of the places of shapes and repeats; words have as many of their ow
 PLACES = 2 << BITS
 LONGEST = 4
 #: Words of the longest word n-gram, and training texts that have to hold one for it to count.
-LONGEST_WORDS, LEAST_TEXTS = 2, 5
+LONGEST_WORDS, LEAST_TEXTS = 1, 5
 #: Labelled training rows that a model is fitted on (expected number).
 SAMPLE_ROWS = 12_000
 UPPER, LOWER, DIGIT, LINE, BLANK = range(1, 6)
@@ -111,40 +111,60 @@ class QualityModel:
         return sigmoid(self.a * self.margins(texts) + self.b)
 
 
-def sample_indicators(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def sample_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """mapInPandas function over (text, y): how many of the partition's texts of each class have each place."""
+    count = np.zeros((2, PLACES), np.int64)
     for pdf in batches:
         for low in range(0, len(pdf), 256):
             part = pdf.iloc[low:low + 256]
             places, begin = indicators(part["text"].tolist())
-            yield pd.DataFrame({"y": part["y"].to_numpy(), "places": [places[b:e].astype(np.int32) for b, e in zip(begin[:-1], begin[1:])]})
+            np.add.at(count, (np.repeat(part["y"].to_numpy(), np.diff(begin)), places), 1)
+    y, place = np.nonzero(count)
+    yield pd.DataFrame({"y": y, "place": place, "n": count[y, place]})
+
+
+def sample_indicators(useful: np.ndarray):
+    """mapInPandas function over (text, y): the useful places that each text has."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for low in range(0, len(pdf), 256):
+                part = pdf.iloc[low:low + 256]
+                places, begin = indicators(part["text"].tolist())
+                each = [places[b:e] for b, e in zip(begin[:-1], begin[1:])]
+                yield pd.DataFrame({"y": part["y"].to_numpy(), "places": [x[useful[x]].astype("<i4").tobytes() for x in each]})
+
+    return run
 
 
 def train(sample: DataFrame) -> QualityModel:
     """A model from labelled rows (text, y); without both classes every text gets the same score.
 
-    The rows' indicators, at most PLACES a row, are gathered on the driver: ``sample`` is
-    bounded by whoever chose it (SAMPLE_ROWS).
+    Places are counted in Spark, at most 2 * PLACES sums.  Those that tell the classes apart are then gathered on the
+    driver, row by row, for the fit: ``sample`` is bounded by whoever chose it (SAMPLE_ROWS).
     """
-    rows = sample.select("text", "y").mapInPandas(sample_indicators, "y int, places array<int>").toPandas()
-    label = rows["y"].to_numpy() if len(rows) else np.empty(0, int)
-    if len(set(label.tolist())) < 2:
+    sample = stage(sample.select("text", "y"), "quality-sample")
+    sums = sample.mapInPandas(sample_counts, "y int, place int, n long").groupBy("y", "place").agg(F.sum("n").alias("n")).toPandas()
+    rows_of = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
+    if len(rows_of) < 2:
         model = QualityModel(np.zeros(PLACES), np.zeros(PLACES), 0.0)
-        model.b = 0.0 if not len(label) else 2.0 if label[0] else -2.0
+        model.b = 0.0 if not rows_of else 2.0 if 1 in rows_of else -2.0
         return model
-    places = [np.asarray(x, np.int64) for x in rows["places"]]
-    order = sorted(range(len(places)), key=lambda i: places[i].tobytes())  # the fit doesn't depend on the rows' order
-    label, places = label[order], [places[i] for i in order]
     count = np.ones((2, PLACES))
-    for y, at in zip(label, places):
-        count[y, at] += 1
+    count[sums["y"], sums["place"]] += sums["n"]
     ratio = np.log(count[1] / count[1].sum()) - np.log(count[0] / count[0].sum())
     held = (count - 1).sum(0)
     ratio[(held == 0) | ((held < LEAST_TEXTS) & (np.arange(PLACES) >= 1 << BITS))] = 0
+    rows = sample.mapInPandas(sample_indicators(ratio != 0), "y int, places binary").toPandas()
+    rows = rows.sort_values(["places", "y"], kind="stable")  # the fit doesn't depend on the rows' order
+    label = rows["y"].to_numpy()
     data = []
-    for at in places:
+    for raw in rows["places"]:
+        at = np.frombuffer(raw, "<i4")
         v = ratio[at]
-        v = v / max(np.sqrt(v @ v), 1e-6)
-        data.append((np.append(at, PLACES), np.append(v, 1.0)))  # the last place is the bias
+        v = (v / max(np.sqrt(v @ v), 1e-6)).astype(np.float32)
+        data.append((np.append(at, PLACES).astype(np.int32), np.append(v, np.float32(1.0))))  # the last place is the bias
+    del rows
     w = dual_coordinate_descent(data, np.where(label == 1, 1, -1), PLACES + 1)
     model = QualityModel(w[:-1] * ratio, ratio, float(w[-1]))
     margins = np.array([w[at] @ v for at, v in data])
