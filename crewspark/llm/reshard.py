@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..session import scratch_path
+from ..session import parallelism, scratch_path
 from .common import stage, table
 
 
@@ -96,13 +96,16 @@ LAYOUT = "doc_id long, text string, size long, old_shard int, block int"
 def write_layout(docs: DataFrame, out: str) -> None:
     """Write ``docs`` (doc_id, text, old_shard) to the new folder ``out`` as a layout of old shards and blocks, without a shuffle.
 
-    A row's size is its text's UTF-8 bytes (null: none) plus 1.  A null old_shard (in no shard yet) is the folder -1.
+    A writing task makes one file a shard; small inputs of many parts are written by a task for every BLOCK_BYTES
+    (and core), so that there are few files.  A row's size is its text's UTF-8 bytes (null: none) plus 1.  A null old_shard (in no shard yet) is the folder -1.
     """
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", size.alias("size"), F.coalesce(F.col("old_shard").cast("int"), F.lit(-1)).alias("old_shard"))
-    # a row an old shard
-    blocks = rows.groupBy("old_shard").agg(F.greatest(F.lit(LEAST_BLOCKS), F.ceil(F.sum("size") / BLOCK_BYTES)).alias("blocks"))
-    dealt = rows.join(F.broadcast(blocks), "old_shard").withColumn("block", F.pmod(F.spark_partition_id(), "blocks").cast("int"))
+    spark = docs.sparkSession
+    held = [(s, n, max(LEAST_BLOCKS, -(-n // BLOCK_BYTES))) for s, n in rows.groupBy("old_shard").agg(F.sum("size")).collect()]  # a row an old shard
+    blocks = spark.createDataFrame(held, "old_shard int, bytes long, blocks long").drop("bytes")
+    tasks = max(parallelism(spark), -(-sum(n for _, n, _ in held) // BLOCK_BYTES))
+    dealt = rows.coalesce(tasks).join(F.broadcast(blocks), "old_shard").withColumn("block", F.pmod(F.spark_partition_id(), "blocks").cast("int"))
     dealt.select("doc_id", "text", "size", "old_shard", "block").write.partitionBy("old_shard", "block").parquet(out)
 
 

@@ -3,6 +3,7 @@ import itertools
 import random
 import zlib
 
+from crewspark.llm import reshard as reshard_module
 from crewspark.llm.reshard import cuts, min_cost_flow, reshard, reshard_layout, write_layout
 
 
@@ -61,7 +62,8 @@ def test_nothing_to_move(frame):
     assert [(r["doc_id"], r["shard"], r["moved"]) for r in sorted(got)] == [(1, 0, False), (2, 1, False)]
 
 
-def test_only_affected_files_are_rewritten(spark, frame, tmp_path):
+def test_only_affected_files_are_rewritten(spark, frame, tmp_path, monkeypatch):
+    monkeypatch.setattr(reshard_module, "BLOCK_BYTES", 5_000)
     rows = [(i, "x" * (i % 97), i % 4) for i in range(4000)]
     write_layout(frame(rows, "doc_id long, text string, old_shard int", 40), str(tmp_path / "old"))
     files = {f: open(f, "rb").read() for f in glob.glob(f"{tmp_path}/old/**/*.parquet", recursive=True)}
