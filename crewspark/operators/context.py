@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import skills as X
-from ..session import materialize
+from ..session import materialize, written
 from . import similarity as V
 from . import teams as TM
 
@@ -55,4 +55,6 @@ def brief_context(briefs: DataFrame, employees: DataFrame, projects: DataFrame,
                      .alias("items")))
     inferred = X.normalize_skills(items, canonical, out="inferred")
     budget = TM.budget_heuristic(parsed.select("BriefID", "max_budget_per_hour"), employees).select("BriefID", "budget")
-    return BriefContext(parsed, split, similar, rows, stacks, domain, inferred, budget, V.base_fit(rows), canonical)
+    # read by the scores and by the teams
+    base_fit = written(V.base_fit(rows), "base-fit")
+    return BriefContext(parsed, split, similar, rows, stacks, domain, inferred, budget, base_fit, canonical)

@@ -18,12 +18,23 @@ from .retrieval import chain, context
 PARAMS = TM.TeamParams()
 
 
+_ASKED: dict[tuple[str, str], DataFrame] = {}
+
+
+def _asked(spark: SparkSession, d: str) -> DataFrame:
+    """What each brief asks for (budget, domain, explicit and inferred skills), written once a session."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _ASKED:
+        _, _, ctx = context(spark, d)
+        asked = ctx.split.select("BriefID", F.col("explicit_skills").alias("explicit")).join(ctx.inferred, "BriefID").join(ctx.budget, "BriefID").join(ctx.domain, "BriefID")
+        _ASKED[key] = written(asked.select("BriefID", "budget", "Domain", "explicit", "inferred"), "asked")
+    return _ASKED[key]
+
+
 def _given_teams(spark: SparkSession, d: str):
     """The fallback team and the domain's latest team of every brief, and how they fare."""
     wf, emp, ctx = context(spark, d)
-    asked = ctx.split.select("BriefID", F.col("explicit_skills").alias("explicit")).join(ctx.inferred, "BriefID").join(ctx.budget, "BriefID").join(ctx.domain, "BriefID")
-    # read by the teams' members, their skills and their totals
-    asked = written(asked.select("BriefID", "budget", "Domain", "explicit", "inferred"), "asked")
+    asked = _asked(spark, d)
     members = TM.fallback_members(asked, emp).unionByName(TM.history_members(asked, wf.projects))
     return wf, emp, members, TM.evaluate_teams(members, asked, emp, PARAMS, base_fit=ctx.base_fit)
 
