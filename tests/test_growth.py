@@ -89,6 +89,63 @@ def test_briefs_with_one_description_share_its_answer(spark, monkeypatch):
     assert rows_of(ctx.fit_of(pairs)) == rows_of(base.where("BriefID is not null"))
 
 
+def shuffled(df):
+    """Rows that the shuffles of a collected frame's plan wrote."""
+    def walk(plan):
+        kind = plan.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return walk(plan.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return walk(plan.plan())
+        own = plan.metrics().apply("shuffleRecordsWritten").value() if kind == "ShuffleExchangeExec" else 0
+        below = plan.children()
+        return own + sum(walk(below.apply(i)) for i in range(below.size()))
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_pairs_of_briefs_and_roster_are_not_shuffled(spark):
+    fit = spark.createDataFrame([(b, e, 0.5) for b in range(60) for e in (b, b + 1, 1000)], "BriefID long, EmployeeID long, base_fit double")
+    domains = spark.range(60).selectExpr("id AS BriefID", "if(id < 50, 'Media', 'Retail') AS Domain")
+    people = spark.range(500).selectExpr("id AS EmployeeID", "if(id < 400, 'Media', 'Retail') AS Domain_Expertise")
+    df = V.project_fit(fit, domains, people)
+    got = df.collect()
+    want = {(b, e): 0.5 for b in range(60) for e in (b, b + 1, 1000)}
+    for b, e in [(b, e) for b in range(60) for e in (range(400) if b < 50 else range(400, 500))]:
+        want[b, e] = want.get((b, e), 0.0) + 0.3
+    assert {(r[0], r[1]): r[2] for r in got} == want and len(got) == len(want) > 21_000
+    assert shuffled(df) < 2_000
+
+
+def test_only_similar_projects_rows_are_shuffled(spark, monkeypatch):
+    briefs = spark.createDataFrame([(1, "Build a website with Python", "")], "BriefID long, BriefText string, Reply string")
+    projects = spark.range(3000).selectExpr("id div 3 AS ProjectID", "id AS EmployeeID", "concat('thing with ', if(id < 9, 'Python', 'Go')) AS Project_Description", "'SQL' AS Tech_Stack_Used", "'Media' AS Domain")
+    people = spark.createDataFrame([(1, "Python, SQL", "Available", 10.0, "Media")], "EmployeeID long, Skills string, Availability string, Cost_per_Hour double, Domain_Expertise string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = {}
+        for limit in (C.FOUND_IDS, 0):
+            monkeypatch.setattr(C, "FOUND_IDS", limit)
+            rows = C.brief_context(briefs, people, projects, k=2).rows
+            got[limit] = sorted(map(tuple, rows.collect())), shuffled(rows)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got[1 << 18][0] == got[0][0] and len(got[0][0]) == 6
+    assert got[1 << 18][1] < 100 < 3000 <= got[0][1]
+
+
+@pytest.mark.parametrize("part, cell", [(8192, 1 << 28), (3, 50)])
+def test_roster_meets_null_and_repeated_keys_as_a_full_join_does(spark, monkeypatch, part, cell):
+    monkeypatch.setattr(V, "ROSTER_ROWS", part)
+    monkeypatch.setattr(V, "CELL_PAIRS", cell)
+    fit = spark.createDataFrame([(1, 10, 0.5), (1, None, 1.0), (1, 15, 0.25), (None, 10, 1.0), (2, 11, 1.0), (4, 10, 0.5)], "BriefID long, EmployeeID long, base_fit double")
+    domains = spark.createDataFrame([(1, "A"), (1, "A"), (1, "B"), (2, None), (None, "A"), (3, "B"), (4, "C")], "BriefID long, Domain string")
+    people = spark.createDataFrame([(10, "A"), (10, "A"), (11, "A"), (None, "A"), (None, "A"), (10, "B"), (12, "B"), (13, None), (14, "A"), (16, "A")], "EmployeeID long, Domain_Expertise string")
+    members = domains.join(people, F.col("Domain") == F.col("Domain_Expertise")).selectExpr("BriefID", "EmployeeID", "0.3D AS boost")
+    both = fit.join(members, ["BriefID", "EmployeeID"], "full_outer").selectExpr("BriefID", "EmployeeID", "coalesce(base_fit, 0D) + coalesce(boost, 0D) AS fit")
+    assert rows_of(V.project_fit(fit, domains, people)) == rows_of(both)
+
+
 def test_language_calibration_reads_every_labelled_row(spark, monkeypatch):
     from crewspark.llm import language as L
 
